@@ -35,10 +35,19 @@ def build_session(master: str = "local[*]", app: str = "eventmart", shuffle_part
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call-site capture for error messages walks the Python stack on every
+        # Column call; jobs build plans with thousands of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
-    for key, value in (extra or {}).items():
+    # Wide projections compile to methods above the JIT's 8000-byte limit; let
+    # the JIT compile them instead of interpreting them per row.
+    java_opts = "-XX:-DontCompileHugeMethods"
+    extra = dict(extra or {})
+    extra["spark.driver.extraJavaOptions"] = (java_opts + " " + extra.get("spark.driver.extraJavaOptions", "")).strip()
+    extra["spark.executor.extraJavaOptions"] = (java_opts + " " + extra.get("spark.executor.extraJavaOptions", "")).strip()
+    for key, value in extra.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")

@@ -33,6 +33,8 @@ Copies (``with_copies``): purchases again 1 h later (a correction), sign-ups aga
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,40 +52,54 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_TYPE_CASE = "CASE _et " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in TYPE_MAP.items()) + " ELSE _et END"
 
 
-def _mapped_type(et: Column) -> Column:
-    expr = None
-    for src, dst in TYPE_MAP.items():
-        expr = (F.when(et == src, dst) if expr is None else expr.when(et == src, dst))
-    return expr.otherwise(et)
+def _json_object_sql(fields: dict[str, str]) -> str:
+    """SQL for JSON object text of string fields, NULL fields left out.
+
+    Built with string functions (values here never need escaping) rather than
+    ``to_json``: the optimizer fuses ``to_json`` with the normaliser's
+    ``from_json`` into an expression that disables whole-stage codegen.
+    """
+    members = ", ".join(f"""CASE WHEN ({v}) IS NOT NULL THEN concat('"{k}":"', {v}, '"') END"""
+                        for k, v in fields.items())
+    return f"concat('{{', concat_ws(',', {members}), '}}')"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    The driver's files are single row groups (one task); a large table has far
+    more splits than cores and is left alone, so no shuffle is added at scale.
+    After a split, ``observe`` records the rows read and keeps later filters
+    on derived columns above the exchange (the optimizer does not push
+    predicates through it), so the per-row derivation runs on all cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores).observe(f"rows_read_{uuid.uuid4().hex[:10]}", F.count(F.lit(1)).alias("rows"))
 
 
 def base_events(spark: SparkSession, sf_dir: str, *, with_copies: bool = False,
                 copies_only: bool = False) -> DataFrame:
     """Columns _id, _t, _t0, _uid, _et, _k, _copy (one scan of ``events``)."""
-    ev = read_table(spark, sf_dir, "events")
-    base = ev.select(
-        F.col("event_id").alias("_id"),
-        F.col("ts").cast("timestamp").alias("_t0"),
-        F.col("user_id").alias("_uid"),
-        F.col("event_type").alias("_et"),
-        F.get_json_object("props", "$.k").cast("int").alias("_k"),
-    )
+    ev = spread(read_table(spark, sf_dir, "events"))
+    base = ev.selectExpr("event_id AS _id", "CAST(ts AS TIMESTAMP) AS _t0", "user_id AS _uid",
+                         "event_type AS _et", "CAST(get_json_object(props, '$.k') AS INT) AS _k")
     if not (with_copies or copies_only):
-        return base.withColumn("_t", F.col("_t0")).withColumn("_copy", F.lit(COPY_NONE))
-    et = F.col("_et")
-    copy_kind = (F.when(et == "purchase", F.lit(COPY_NEWER))
-                 .when(et == "signup", F.lit(COPY_OLDER))
-                 .when(et == "view", F.lit(COPY_SAME)))
-    kinds = F.array(copy_kind) if copies_only else F.array(F.lit(COPY_NONE), copy_kind)
-    out = base.withColumn("_copy", F.explode(kinds)).where(F.col("_copy").isNotNull())
-    shifted = (F.when(F.col("_copy") == COPY_NEWER, F.col("_t0") + F.expr("INTERVAL 1 HOUR"))
-               .when(F.col("_copy") == COPY_OLDER, F.col("_t0") - F.expr("INTERVAL 1 HOUR"))
-               .otherwise(F.col("_t0")))
-    return out.withColumn("_t", shifted)
+        return base.selectExpr("*", "_t0 AS _t", f"{COPY_NONE} AS _copy")
+    kind = (f"CASE _et WHEN 'purchase' THEN {COPY_NEWER} WHEN 'signup' THEN {COPY_OLDER} "
+            f"WHEN 'view' THEN {COPY_SAME} END")
+    kinds = f"array({kind})" if copies_only else f"array({COPY_NONE}, {kind})"
+    return base.selectExpr("*", f"explode({kinds}) AS _copy").where("_copy IS NOT NULL").selectExpr(
+        "*", f"""CASE _copy WHEN {COPY_NEWER} THEN _t0 + INTERVAL 1 HOUR
+                 WHEN {COPY_OLDER} THEN _t0 - INTERVAL 1 HOUR ELSE _t0 END AS _t""")
 
 
 def raw_events(spark: SparkSession, sf_dir: str, *, with_copies: bool = False,
@@ -94,69 +110,60 @@ def raw_events(spark: SparkSession, sf_dir: str, *, with_copies: bool = False,
     (used when the rows are written out as JSON files).
     """
     b = base_events(spark, sf_dir, with_copies=with_copies, copies_only=copies_only)
-    i, t, uid, k = F.col("_id"), F.col("_t"), F.col("_uid"), F.col("_k")
-    even = (i % 2) == 0
-    m = _mapped_type(F.col("_et"))
-    site = F.concat(F.lit("site_"), (uid % 4).cast("string"))
-    site_ok = k != 98
-    type_text = F.when(i % 5 == 0, F.upper(m)).otherwise(m)
-    type_text = F.when(i % 7 == 0, F.concat(F.lit("  "), type_text, F.lit(" "))).otherwise(type_text)
-    time_text = F.when(k == 99, F.lit("not-a-time")).when(
-        even, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).otherwise(
-        F.concat(F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00:00")))
-    page = F.concat(F.lit("https://shop.example/"), (k % 50).cast("string"))
-    url = (F.when(k % 50 == 0, F.when(even, F.lit(None).cast("string")).otherwise(F.lit("")))
-           .when(i % 4 == 0, F.concat(F.lit(" https://shop.example/ "), (k % 50).cast("string"), F.lit("\t")))
-           .otherwise(page))
-    query = F.when(F.col("_et") == "error",
-                   F.when(k % 15 == 0, F.lit("  ")).otherwise(F.concat(F.lit("q"), (k % 15).cast("string"))))
-    flag = F.when(k < 20, _pick(i % 4, TRUE_TEXTS)).otherwise(_pick(i % 4, FALSE_TEXTS))
-    alt_query, alt_flag = (i % 8) == 0, (i % 6) == 0
-    props = F.to_json(F.struct(
-        F.when(~alt_query, query).alias("query"),
-        F.when(alt_query, query).alias("search_query"),
-        F.when(F.col("_et").isin(*PRODUCT_SOURCE_TYPES), F.concat(F.lit("p"), k.cast("string"))).alias("product_id"),
-        F.concat(F.lit("c"), (k % 10).cast("string")).alias("category_id"),
-        F.when(~alt_flag, flag).alias("zero_results"),
-        F.when(alt_flag, flag).alias("zero_result"),
-        F.when(k % 9 == 0, F.lit("newsletter")).alias("utm_source"),
-        F.when(k % 9 == 0, F.lit("email")).alias("utm_medium"),
-        F.when(k % 18 == 0, F.lit("spring")).alias("utm_campaign"),
-    ))
-    session = F.when(uid % 37 != 0, F.concat(uid.cast("string"), F.lit("-"),
-                                             F.floor(F.unix_timestamp(t) / SESSION_SECONDS).cast("string")))
-    ingest_secs = 60 + i % 600 + F.when(F.col("_copy") > 0, F.lit(86400)).otherwise(F.lit(0))
-    event_id = F.when(k != 97, i.cast("string"))
-    cols = {
-        "event_id": event_id,
-        "occurred_at": time_text,
-        "event_site_id": F.when(site_ok & even, site),
-        "site_id": F.when(site_ok & ~even, site),
-        "event_type": type_text,
-        "session_id": session,
-        "user_id": F.when(i % 3 != 0, uid.cast("string")),
-        "anonymous_id": F.when(i % 3 == 0, uid.cast("string")),
-        "url": url,
-        "referrer": F.when(uid % 5 != 0, F.concat(F.lit("https://ref.example/"), (uid % 5).cast("string"))),
+    site = "concat('site_', CAST(_uid % 4 AS STRING))"
+    typed = f"CASE WHEN _id % 5 = 0 THEN upper({_TYPE_CASE}) ELSE {_TYPE_CASE} END"
+    query = ("CASE WHEN _et = 'error' THEN CASE WHEN _k % 15 = 0 THEN '  ' "
+             "ELSE concat('q', CAST(_k % 15 AS STRING)) END END")
+    flag = (f"CASE WHEN _k < 20 THEN element_at(array({_sql_list(TRUE_TEXTS)}), CAST(_id % 4 + 1 AS INT)) "
+            f"ELSE element_at(array({_sql_list(FALSE_TEXTS)}), CAST(_id % 4 + 1 AS INT)) END")
+    props = _json_object_sql({
+        "query": f"CASE WHEN _id % 8 <> 0 THEN {query} END",
+        "search_query": f"CASE WHEN _id % 8 = 0 THEN {query} END",
+        "product_id": f"CASE WHEN _et IN ({_sql_list(PRODUCT_SOURCE_TYPES)}) THEN concat('p', CAST(_k AS STRING)) END",
+        "category_id": "concat('c', CAST(_k % 10 AS STRING))",
+        "zero_results": f"CASE WHEN _id % 6 <> 0 THEN {flag} END",
+        "zero_result": f"CASE WHEN _id % 6 = 0 THEN {flag} END",
+        "utm_source": "CASE WHEN _k % 9 = 0 THEN 'newsletter' END",
+        "utm_medium": "CASE WHEN _k % 9 = 0 THEN 'email' END",
+        "utm_campaign": "CASE WHEN _k % 18 = 0 THEN 'spring' END",
+    })
+    exprs = {
+        "event_id": "CASE WHEN _k <> 97 THEN CAST(_id AS STRING) END",
+        "occurred_at": """CASE WHEN _k = 99 THEN 'not-a-time'
+            WHEN _id % 2 = 0 THEN date_format(_t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+            ELSE concat(date_format(_t, 'yyyy-MM-dd HH:mm:ss.SSSSSS'), '+00:00') END""",
+        "event_site_id": f"CASE WHEN _k <> 98 AND _id % 2 = 0 THEN {site} END",
+        "site_id": f"CASE WHEN _k <> 98 AND _id % 2 <> 0 THEN {site} END",
+        "event_type": f"CASE WHEN _id % 7 = 0 THEN concat('  ', {typed}, ' ') ELSE {typed} END",
+        "session_id": (f"CASE WHEN _uid % 37 <> 0 THEN concat(CAST(_uid AS STRING), '-', "
+                       f"CAST(floor(unix_timestamp(_t) / {SESSION_SECONDS}) AS STRING)) END"),
+        "user_id": "CASE WHEN _id % 3 <> 0 THEN CAST(_uid AS STRING) END",
+        "anonymous_id": "CASE WHEN _id % 3 = 0 THEN CAST(_uid AS STRING) END",
+        "url": """CASE WHEN _k % 50 = 0 THEN CASE WHEN _id % 2 = 0 THEN NULL ELSE '' END
+            WHEN _id % 4 = 0 THEN concat(' https://shop.example/ ', CAST(_k % 50 AS STRING), '\t')
+            ELSE concat('https://shop.example/', CAST(_k % 50 AS STRING)) END""",
+        "referrer": "CASE WHEN _uid % 5 <> 0 THEN concat('https://ref.example/', CAST(_uid % 5 AS STRING)) END",
         "properties": props,
-        "received_at": F.date_format(F.timestamp_seconds(F.unix_timestamp(t) + i % 30), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        "_ingested_at": F.timestamp_micros(F.unix_micros(F.col("_t0")) + ingest_secs * 1_000_000),
+        "received_at": """date_format(timestamp_seconds(unix_timestamp(_t) + _id % 30), "yyyy-MM-dd'T'HH:mm:ss'Z'")""",
+        "_ingested_at": ("timestamp_micros(unix_micros(_t0) + "
+                         "(60 + _id % 600 + CASE WHEN _copy > 0 THEN 86400 ELSE 0 END) * 1000000)"),
+        "_copy": "_copy",
+        "_path_site": site,
+        "_path_date": "to_date(_t0)",
     }
-    out = b.select(*[c.alias(n) for n, c in cols.items()], F.col("_copy"), site.alias("_path_site"),
-                   F.to_date(F.col("_t0")).alias("_path_date"))
     if camel_case:
-        out = out.select(
-            "*",
-            F.when(even, F.col("event_id")).alias("eventId"),
-            F.when(even, F.col("event_type")).alias("eventType"),
-            F.when(even, F.col("occurred_at")).alias("occurredAt"),
-            F.when(even, F.col("event_site_id")).alias("siteId"),
-        ).withColumns({
-            "event_id": F.when(~even, F.col("event_id")),
-            "event_type": F.when(~even, F.col("event_type")),
-            "occurred_at": F.when(~even, F.col("occurred_at")),
-        }).drop("event_site_id")
-    return out
+        exprs["_even"] = "_id % 2 = 0"
+    out = b.selectExpr(*[f"{e} AS {n}" for n, e in exprs.items()])
+    return _camel(out) if camel_case else out
+
+
+def _camel(out: DataFrame) -> DataFrame:
+    """Even ids carry SDK names (eventId, eventType, occurredAt, siteId), odd ids snake_case."""
+    sdk = {"event_id": "eventId", "event_type": "eventType", "occurred_at": "occurredAt",
+           "event_site_id": "siteId"}
+    keep = [c for c in out.columns if c not in sdk and c != "_even"]
+    return out.selectExpr(*keep, *[f"CASE WHEN _even THEN {src} END AS {dst}" for src, dst in sdk.items()],
+                          *[f"CASE WHEN NOT _even THEN {src} END AS {src}" for src in sdk if src != "event_site_id"])
 
 
 def bronze_like(spark: SparkSession, sf_dir: str, **kwargs) -> DataFrame:
