@@ -1,0 +1,58 @@
+"""Table maintenance (S12, S13, S14) as Spark jobs.
+
+Plain Parquet has no OPTIMIZE/ZORDER; compaction rewrites chosen partitions
+into fewer, larger files clustered by the dashboard filter columns.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import SparkSession
+
+from eventmart.sources.tables import (add_missing_columns, as_dates, distinct_dates, materialize,
+                                      overwrite_partitions, read_dates)
+
+# Clustering columns named for future Z-ordering.
+CLUSTER_COLUMNS = ("site_id", "event_type")
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(df) -> int:
+    """Bytes of the files a (partition-pruned) read touches; listing only, no data read."""
+    sc = df.sparkSession.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        path = sc._jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
+def compact_partitions(spark: SparkSession, fqn: str, dates: Iterable | None = None, *,
+                       cluster_by: Sequence[str] = CLUSTER_COLUMNS,
+                       target_file_bytes: int = TARGET_FILE_BYTES) -> list:
+    """Rewrite partitions into ~``target_file_bytes`` files, range-clustered.
+
+    Rows are range-partitioned on (event_date, *cluster_by) into as many tasks
+    as the data needs, so a big day is split across several files and every
+    file covers a narrow key range (min/max statistics prune well).  Columns
+    missing from the table (e.g. ``event_type`` on gold) are skipped.  Rows
+    are unchanged; the rewrite is checkpointed first because it replaces the
+    files it reads.
+    """
+    src = read_dates(spark, fqn, dates)
+    keys = ["event_date", *[c for c in cluster_by if c in src.columns]]
+    parts = max(1, -(-input_bytes(src) // target_file_bytes))
+    days = as_dates(dates) if dates else distinct_dates(src)
+    if not days:
+        return []
+    out = src.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    overwrite_partitions(spark, materialize(out), fqn)
+    spark.catalog.refreshTable(fqn)
+    return days
+
+
+def evolve_table(spark: SparkSession, fqn: str, schema) -> list[str]:
+    """Make newly seen top-level fields visible on an existing table."""
+    return add_missing_columns(spark, fqn, schema)

@@ -42,6 +42,9 @@ _SILVER_COLS = """CAST(_id AS VARCHAR) AS event_id,
     CASE WHEN _k % 9 = 0 THEN 'email' END AS utm_medium,
     CASE WHEN _k % 18 = 0 THEN 'spring' END AS utm_campaign"""
 
+_TYPE_SQL = ("CASE _et WHEN 'view' THEN 'product_view' WHEN 'click' THEN 'add_to_cart' "
+             "WHEN 'error' THEN 'search' WHEN 'signup' THEN 'page_view' ELSE _et END")
+
 SILVER_OUT = ("event_id, occurred_at_utc, site_id, event_type, session_id, user_id, event_date, event_hour, "
               "search_query, product_id, category_id, zero_results, page_url, referrer, "
               "utm_source, utm_medium, utm_campaign")
@@ -262,6 +265,16 @@ def oracle_sql() -> dict[str, str]:
                   max(CAST(floor(epoch(_ingested_at)) AS BIGINT) - CAST(floor(epoch(event_time)) AS BIGINT))
                     AS max_lag_seconds
            FROM raw GROUP BY 1, 2""")
+    q["silver_merge_table"] = q["silver_upsert"]
+    q["compaction"] = q["silver_normalize"]
+    q["gold_refresh"] = q["gold_session"]
+    typed = (f"CASE WHEN _id % 5 = 0 THEN upper({_TYPE_SQL}) ELSE {_TYPE_SQL} END")
+    q["bronze_ingest"] = with_raw(
+        f"""SELECT event_id, source AS site_id,
+                  CASE WHEN _k <> 98 AND _id % 2 = 0 THEN source END AS event_site_id,
+                  CASE WHEN _id % 7 = 0 THEN '  ' || {typed} || ' ' ELSE {typed} END AS event_type,
+                  event_time AS occurred_at_ts, CAST(event_time AS DATE) AS event_date
+           FROM raw""")
     q["utm_from_url"] = r"""SELECT page_id, url,
         nullif(regexp_extract(regexp_replace(url, '#.*$', ''), '[?&]utm_source=([^&]*)', 1), '') AS utm_source,
         nullif(regexp_extract(regexp_replace(url, '#.*$', ''), '[?&]utm_medium=([^&]*)', 1), '') AS utm_medium,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.urls import url_query_param
 from eventmart.operators import bi, features, gold, quality
+from eventmart.plans import table_flows
 from eventmart.operators.dedup import dedup_latest
 from eventmart.operators.silver import SILVER_DATA_COLUMNS, incremental_slice, normalize_silver_events
 from eventmart.operators.upsert import merge_replace, upsert_latest
@@ -121,4 +122,8 @@ def queries() -> dict[str, Query]:
         "quarantine": _bronze(quality.quarantine),
         "ingest_lag": _bronze(quality.ingest_lag),
         "utm_from_url": utm_from_url,
+        "bronze_ingest": table_flows.bronze_ingest,
+        "silver_merge_table": table_flows.silver_merge_table,
+        "compaction": table_flows.compaction,
+        "gold_refresh": table_flows.gold_refresh,
     }
