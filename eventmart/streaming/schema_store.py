@@ -11,11 +11,16 @@ value does not fit the saved type land in ``_corrupt_record``.
 from __future__ import annotations
 
 import json
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
+# Free-form payload objects are stored as their JSON text: every key survives
+# without schema changes (Parquet catalog tables cannot add nested fields), and
+# the canonical layer parses the text once per row.
+TEXT_FIELDS = ("properties",)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -24,8 +29,8 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/schema.json")
+def _read_text(spark: SparkSession, file: str) -> str | None:
+    fs, p = _fs(spark, file)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
@@ -39,18 +44,27 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
             line = reader.readLine()
     finally:
         stream.close()
-    return T.StructType.fromJson(json.loads("\n".join(lines)))
+    return "\n".join(lines)
 
 
-def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/schema.json")
+def _write_text(spark: SparkSession, file: str, text: str) -> None:
+    fs, p = _fs(spark, file)
     out = fs.create(p, True)
     try:
-        out.write(bytearray(schema.json().encode("utf-8")))
+        out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
 
 
+def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    text = _read_text(spark, f"{path.rstrip('/')}/schema.json")
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    _write_text(spark, f"{path.rstrip('/')}/schema.json", schema.json())
+
+
 def merge_schemas(saved: T.StructType | None, seen: T.StructType) -> T.StructType:
     """Saved fields first with their saved types, then new fields; structs merge recursively."""
     if saved is None:
@@ -90,17 +104,33 @@ def infer_schema(spark: SparkSession, path: str, *, sampling_ratio: float = 1.0,
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
-    return T.StructType([f for f in df.schema.fields if f.name != CORRUPT_COLUMN])
+    return T.StructType([T.StructField(f.name, T.StringType(), True) if f.name in TEXT_FIELDS else f
+                         for f in df.schema.fields if f.name != CORRUPT_COLUMN])
+
 
+# Files modified this long before the previous inference are looked at again,
+# so a file still being written then is not skipped.
+INFERENCE_OVERLAP = timedelta(minutes=10)
 
-def evolve(spark: SparkSession, store_path: str, raw_path: str, *, sampling_ratio: float = 1.0,
-           modified_after: str | None = None) -> T.StructType | None:
-    """Saved schema widened by what the (new) raw files contain; saved back."""
+
+def evolve(spark: SparkSession, store_path: str, raw_path: str, *, sampling_ratio: float = 1.0) -> T.StructType | None:
+    """Saved schema widened by what the raw files added since the last run; saved back.
+
+    Only files modified after the previous inference mark (minus an overlap)
+    are inferred, so the cost follows the new data, not the whole history.
+    Limitation: a field first appearing in a file that lands between this
+    inference and the stream's read is dropped for that file.
+    """
+    mark_file = f"{store_path.rstrip('/')}/inferred_until.txt"
     saved = load_schema(spark, store_path)
-    seen = infer_schema(spark, raw_path, sampling_ratio=sampling_ratio, modified_after=modified_after)
-    if seen is None:
-        return saved
-    merged = merge_schemas(saved, seen)
-    if saved is None or merged.json() != saved.json():
-        save_schema(spark, store_path, merged)
-    return merged
+    mark = _read_text(spark, mark_file) if saved is not None else None
+    started = datetime.now(timezone.utc).replace(tzinfo=None) - INFERENCE_OVERLAP
+    seen = infer_schema(spark, raw_path, sampling_ratio=sampling_ratio, modified_after=mark)
+    if seen is not None:
+        merged = merge_schemas(saved, seen)
+        if saved is None or merged.json() != saved.json():
+            save_schema(spark, store_path, merged)
+        saved = merged
+    if saved is not None:
+        _write_text(spark, mark_file, started.strftime("%Y-%m-%dT%H:%M:%S"))
+    return saved
