@@ -96,7 +96,9 @@ def upsert_gold(spark: SparkSession, fqn: str, incoming: DataFrame, keys: Sequen
         out = inc
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    overwrite_partitions(spark, materialize(out), fqn)
+    # Dynamic overwrite stages the new files and swaps partitions only at job
+    # commit, so reading the old rows of those partitions in the same job is safe.
+    overwrite_partitions(spark, out, fqn)
     spark.catalog.refreshTable(fqn)
     return days
 

@@ -48,7 +48,7 @@ def compact_partitions(spark: SparkSession, fqn: str, dates: Iterable | None = N
     if not days:
         return []
     out = src.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    overwrite_partitions(spark, materialize(out), fqn)
+    overwrite_partitions(spark, materialize(out), fqn, rebalance=False)
     spark.catalog.refreshTable(fqn)
     return days
 

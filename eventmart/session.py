@@ -38,6 +38,8 @@ def build_session(master: str = "local[*]", app: str = "eventmart", shuffle_part
         # Call-site capture for error messages walks the Python stack on every
         # Column call; jobs build plans with thousands of them.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Checkpoints cut lineage before partition rewrites; drop them once unused.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)

@@ -30,9 +30,19 @@ def create_databases(spark: SparkSession, cfg: MartConfig, location_root: str |
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
 
 
+def balanced(df: DataFrame, partition_cols: Sequence[str] = ("event_date",)) -> DataFrame:
+    """REBALANCE on the partition columns before a partitioned write.
+
+    AQE then sizes the write tasks from runtime statistics: small days are
+    merged into few files and a skewed day is split over several tasks, so one
+    hot day never lands on a single writer.
+    """
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
+
+
 def create_table(df: DataFrame, fqn: str, partition_cols: Sequence[str] = ("event_date",)) -> None:
     """First write of a table, partitioned."""
-    writer = df.write.format("parquet").mode("overwrite")
+    writer = balanced(df, partition_cols).write.format("parquet").mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.saveAsTable(fqn)
@@ -54,15 +64,17 @@ def distinct_dates(df: DataFrame, col: str = "event_date") -> list[date]:
     return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
 
 
-def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str) -> None:
+def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, rebalance: bool = True) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     ``insertInto`` is positional, so columns are put in the table's order
-    (partition columns last).
+    (partition columns last).  ``rebalance=False`` keeps a layout the caller
+    already arranged (compaction's range clustering).
     """
     configure(spark)
     cols = spark.read.table(fqn).columns
-    df.select(*cols).write.insertInto(fqn, overwrite=True)
+    out = df.select(*cols)
+    (balanced(out) if rebalance else out).write.insertInto(fqn, overwrite=True)
 
 
 def drop_partitions(spark: SparkSession, fqn: str, dates: Iterable) -> None:
