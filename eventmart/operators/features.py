@@ -46,41 +46,37 @@ def _micros(col: Column) -> Column:
 def query_ctr(silver: DataFrame, window_minutes: int = 30) -> DataFrame:
     """Share of searches followed by a product view.
 
-    A search counts as clicked when some product view of the same (site,
-    session) happens at or after it, within ``window_minutes`` and before the
-    session's next search; i.e. the view's latest preceding search is this one
-    and is recent enough.
-
-    Instead of one window over a whole session, rows are windowed per (site,
-    session, time bucket of the window length): each search is also copied into
-    the following bucket, so a view's partition holds every search that can be
-    its latest one.  Partition size is bounded by two buckets of one session.
+    A search at time s counts as clicked when some product view of the same
+    (site, session) happens in [s, s + window] and before the session's next
+    search (a later timestamp).  Equivalently: the earliest view in
+    [s, s + window] comes before the next search.
+
+    Both are range-frame minimums over the session ordered by time.  To avoid
+    one window over a whole (possibly huge) session, rows are windowed per
+    (site, session, time bucket of the window length); every row is also
+    copied into the previous bucket, so the partition of bucket b holds buckets
+    b and b+1 - everything a search of bucket b can look at.  Partition size is
+    bounded by two buckets of one session.
     """
     width = window_minutes * 60 * 1_000_000
     s = silver.where(F.col("session_id").isNotNull())
-    searches = s.where(not_blank(F.col("search_query"))).select(
-        "site_id", "session_id", "event_date", "search_query", F.col("occurred_at_utc").alias("ts"))
-    search_times = searches.select("site_id", "session_id", "ts").distinct()
-    bucket = F.floor(_micros(F.col("ts")) / width)
-    search_rows = (search_times.withColumn("_b", F.explode(F.array(bucket, bucket + 1)))
-                   .withColumn("_kind", F.lit(0)))
-    view_rows = (s.where(F.col("event_type") == "product_view")
-                 .select("site_id", "session_id", F.col("occurred_at_utc").alias("ts"))
-                 .withColumn("_b", bucket).withColumn("_kind", F.lit(1)))
-    w = (Window.partitionBy("site_id", "session_id", "_b").orderBy("ts", "_kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    last_search = F.last(F.when(F.col("_kind") == 0, F.col("ts")), ignorenulls=True).over(w)
-    clicked = (search_rows.unionByName(view_rows)
-               .withColumn("_last_search", last_search)
-               .where((F.col("_kind") == 1) & F.col("_last_search").isNotNull()
-                      & (_micros(F.col("ts")) - _micros(F.col("_last_search")) <= width))
-               .select("site_id", "session_id", F.col("_last_search").alias("ts"))
-               .distinct()
-               .withColumn("_clicked", F.lit(True)))
-    flagged = searches.join(clicked, ["site_id", "session_id", "ts"], "left")
+    is_search = not_blank(F.col("search_query"))
+    rows = (s.where(is_search | (F.col("event_type") == "product_view"))
+            .select("site_id", "session_id", "event_date", "search_query",
+                    _micros(F.col("occurred_at_utc")).alias("_us"),
+                    is_search.alias("_is_search")))
+    own = F.floor(F.col("_us") / width)
+    rows = rows.withColumn("_own", own).withColumn("_b", F.explode(F.array(own, own - 1)))
+    w = Window.partitionBy("site_id", "session_id", "_b").orderBy("_us")
+    next_view = F.min(F.when(~F.col("_is_search"), F.col("_us"))).over(w.rangeBetween(0, width))
+    next_search = F.min(F.when(F.col("_is_search"), F.col("_us"))).over(
+        w.rangeBetween(1, Window.unboundedFollowing))
+    clicked = next_view.isNotNull() & (next_search.isNull() | (next_view < next_search))
+    flagged = (rows.withColumn("_clicked", clicked)
+               .where(F.col("_is_search") & (F.col("_b") == F.col("_own"))))
     return (flagged.groupBy("site_id", "event_date", "search_query")
             .agg(F.count(F.lit(1)).alias("searches"),
-                 F.count_if(F.coalesce(F.col("_clicked"), F.lit(False))).alias("clicked_searches"))
+                 F.count_if("_clicked").alias("clicked_searches"))
             .withColumn("ctr", safe_ratio(F.col("clicked_searches"), F.col("searches"))))
 
 
