@@ -80,8 +80,11 @@ def spread(df: DataFrame) -> DataFrame:
     on derived columns above the exchange (the optimizer does not push
     predicates through it), so the per-row derivation runs on all cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # no RDD access (e.g. a Connect session): keep the plan as is
         return df
     return df.repartition(cores).observe(f"rows_read_{uuid.uuid4().hex[:10]}", F.count(F.lit(1)).alias("rows"))
 

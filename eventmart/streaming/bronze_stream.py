@@ -9,6 +9,7 @@ polls on a processing-time trigger.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,6 +40,23 @@ def build_bronze_stream(spark: SparkSession, cfg: MartConfig, schema: T.StructTy
     return reader.json(cfg.raw_events_path)
 
 
+BATCH_METRICS = "bronze_batch"
+
+
+def observe_batches(stream: DataFrame) -> DataFrame:
+    """R11 in flight: per micro-batch row, corrupt-line and undated-row counts.
+
+    Read them from ``query.lastProgress["observedMetrics"]["bronze_batch"]``.
+    """
+    return stream.observe(
+        BATCH_METRICS,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(schema_store.CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"),
+        F.count_if(F.col("event_date").isNull()).alias("undated_rows"),
+        F.max("occurred_at_ts").alias("max_event_time"),
+    )
+
+
 def start_bronze_stream(spark: SparkSession, cfg: MartConfig | None = None, *, trigger_once: bool = True,
                         await_termination: bool = True, sampling_ratio: float = 1.0,
                         max_files_per_trigger: int | None = None) -> StreamingQuery | None:
@@ -55,6 +73,7 @@ def start_bronze_stream(spark: SparkSession, cfg: MartConfig | None = None, *, t
         return None
     stream = with_bronze_columns(build_bronze_stream(spark, cfg, schema,
                                                      max_files_per_trigger=max_files_per_trigger))
+    stream = observe_batches(stream)
     if table_exists(spark, cfg.bronze_fqn):
         # New payload fields are written to the files but stay hidden until the
         # table learns them; old files read the new columns as NULL.

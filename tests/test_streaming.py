@@ -65,3 +65,26 @@ def test_merge_schemas_keeps_saved_types():
     merged = schema_store.merge_schemas(saved, seen)
     assert merged["a"].dataType == T.LongType() and merged.fieldNames() == ["a", "p", "b"]
     assert merged["p"].dataType.fieldNames() == ["x", "y"]
+
+
+def test_continuous_trigger_and_batch_metrics(spark, workdir):
+    s = uuid.uuid4().hex[:8]
+    raw = os.path.join(workdir, "raw")
+    cfg = MartConfig(bronze_db=f"b{s}", silver_db=f"s{s}", gold_db=f"g{s}", raw_events_path=raw,
+                     state_dir=os.path.join(workdir, "state"))
+    create_databases(spark, cfg, location_root=os.path.join(workdir, "wh"))
+    _write(raw, "site_1", "2026-05-16", "a.jsonl", [
+        json.dumps({"event_id": "e1", "occurred_at": "2026-05-16T10:00:00Z", "event_type": "x"}),
+        json.dumps({"event_id": "e2", "occurred_at": "nope", "event_type": "x"}),
+        "{broken"])
+    query = start_bronze_stream(spark, cfg, trigger_once=False, await_termination=False)
+    try:
+        query.processAllAvailable()
+        metrics = [p["observedMetrics"]["bronze_batch"] for p in query.recentProgress
+                   if p.get("observedMetrics", {}).get("bronze_batch")]
+    finally:
+        query.stop()
+    assert sum(m["rows"] for m in metrics) == 3
+    assert sum(m["corrupt_rows"] for m in metrics) == 1
+    assert sum(m["undated_rows"] for m in metrics) == 2
+    assert spark.read.table(cfg.bronze_fqn).count() == 3
