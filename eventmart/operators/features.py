@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.metrics import safe_ratio
 from eventmart.functions.text import not_blank
+from eventmart.session import materialize
 
 
 def searches_per_day(search_metrics: DataFrame) -> DataFrame:
@@ -81,9 +82,17 @@ def query_ctr(silver: DataFrame, window_minutes: int = 30) -> DataFrame:
 
 
 def _memberships(silver: DataFrame, group_col: str, event_types: tuple[str, ...]) -> DataFrame:
-    return (silver.where(F.col(group_col).isNotNull() & F.col("product_id").isNotNull()
-                         & F.col("event_type").isin(*event_types))
-            .select("site_id", group_col, "product_id").distinct())
+    """Distinct (site, group, product), checkpointed once.
+
+    Every later branch (support, both join sides, viewer counts) reads this
+    small relation instead of scanning silver again; the reliable checkpoint
+    in the shared folder also keeps a lost executor during the self-join from
+    sending the job back to the silver scan.
+    """
+    members = (silver.where(F.col(group_col).isNotNull() & F.col("product_id").isNotNull()
+                            & F.col("event_type").isin(*event_types))
+               .select("site_id", group_col, "product_id").distinct())
+    return materialize(members)
 
 
 def _pairs(members: DataFrame, group_col: str, min_support: int) -> tuple[DataFrame, DataFrame]:

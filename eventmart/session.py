@@ -83,3 +83,15 @@ def state_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused folder under the shared state root."""
     return f"{state_root(spark).rstrip('/')}/scratch/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage through a reliable checkpoint in the shared checkpoint folder.
+
+    Used before a frame is written over the partitions it was read from, and
+    for small intermediates that several branches read; a lost executor then
+    never sends the job back to the original scan.  (Never a local checkpoint:
+    executor-local blocks die with the executor.)
+    """
+    state_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.config import MartConfig
-from eventmart.session import configure
+from eventmart.session import configure, materialize  # noqa: F401  (re-exported)
 
 
 def table_exists(spark: SparkSession, fqn: str) -> bool:
@@ -94,14 +94,3 @@ def add_missing_columns(spark: SparkSession, fqn: str, schema: T.StructType) ->
         spark.sql(f"ALTER TABLE {fqn} ADD COLUMNS ({cols})")
         spark.catalog.refreshTable(fqn)
     return [f.name for f in new]
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint in the shared checkpoint folder.
-
-    Needed before a frame is written over the partitions it was read from, and
-    it keeps a lost executor from forcing a re-read of half-rewritten input.
-    """
-    from eventmart.session import state_root
-    state_root(df.sparkSession)
-    return df.checkpoint(eager=True)
