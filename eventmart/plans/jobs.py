@@ -32,7 +32,8 @@ def silver_incoming(spark: SparkSession, cfg: MartConfig, *, since_ingested_at:
     return normalize_silver_events(sliced, carry=("_ingested_at",))
 
 
-def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> dict:
+def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame, *,
+                       lookback_days: int | None = None) -> dict:
     """J1 at table level (latest occurred_at_utc wins, ties keep the stored row).
 
     1. dedup the batch; 2. classify it against the stored (event_id,
@@ -47,6 +48,13 @@ def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> di
         create_table(dedup_latest(incoming).select(*SILVER_COLUMNS), fqn)
         return {"created": True}
     target = spark.read.table(fqn)
+    if lookback_days is not None:
+        # Callers who know corrections are recent bound the classify scan to the
+        # partitions from (earliest incoming day - lookback) on.
+        first = incoming.agg(F.min("event_date")).first()[0]
+        if first is None:
+            return {"created": False, "accepted": 0, "dates": []}
+        target = target.where(F.col("event_date") >= F.lit(first - timedelta(days=lookback_days)))
     accepted = materialize(accepted_changes(target.select("event_id", "occurred_at_utc", "event_date"), incoming))
     touched = distinct_dates(accepted.select(F.explode(F.array_union(
         F.array(F.col("event_date")), F.coalesce(F.col("_old_dates"), F.array().cast("array<date>"))))
@@ -75,19 +83,25 @@ def run_silver_upsert(spark: SparkSession, cfg: MartConfig | None = None, *,
 
 
 def upsert_gold(spark: SparkSession, fqn: str, incoming: DataFrame, keys: Sequence[str], *,
-                mode: str = "merge") -> list[date]:
+                mode: str = "merge", days: Sequence[date] | None = None) -> list[date]:
     """J2 at table level for the days present in ``incoming``.
 
     ``merge`` (default): stored rows whose key matches (NULL-safe) are
     replaced, new keys inserted, others kept - groups that vanished on
     recompute stay.  ``replace_dates``: the recomputed days are replaced whole.
+    ``days`` (when the caller knows them, e.g. from the source slice) bounds the
+    stored rows read; otherwise ``incoming`` is checkpointed once and its days
+    collected.
     """
     configure(spark)
     if not table_exists(spark, fqn):
         create_table(incoming, fqn)
-        return distinct_dates(spark.read.table(fqn))
-    inc = materialize(incoming)
-    days = distinct_dates(inc)
+        return list(days) if days is not None else distinct_dates(spark.read.table(fqn))
+    if days is None:
+        inc = materialize(incoming)
+        days = distinct_dates(inc)
+    else:
+        inc = incoming
     if not days:
         return []
     if mode == "merge":
@@ -105,12 +119,12 @@ def upsert_gold(spark: SparkSession, fqn: str, incoming: DataFrame, keys: Sequen
 
 def run_gold(spark: SparkSession, name: str, cfg: MartConfig | None = None, *,
              for_event_dates: Sequence | None = None, silver: DataFrame | None = None,
-             mode: str = "merge") -> list[date]:
+             mode: str = "merge", days: Sequence[date] | None = None) -> list[date]:
     """Recompute one gold table for the given days (all days when None/empty)."""
     cfg = cfg or MartConfig.from_env()
     src = silver if silver is not None else read_dates(spark, cfg.silver_fqn, for_event_dates)
     metrics = gold.BUILDERS[name](src)
-    return upsert_gold(spark, cfg.gold_fqn(name), metrics, gold.GOLD_KEYS[name], mode=mode)
+    return upsert_gold(spark, cfg.gold_fqn(name), metrics, gold.GOLD_KEYS[name], mode=mode, days=days)
 
 
 def task_gold_all(spark: SparkSession, cfg: MartConfig | None = None, *,
@@ -123,7 +137,11 @@ def task_gold_all(spark: SparkSession, cfg: MartConfig | None = None, *,
     cfg = cfg or MartConfig.from_env()
     src = read_dates(spark, cfg.silver_fqn, for_event_dates).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: run_gold(spark, name, cfg, silver=src, mode=mode) for name in gold.BUILDERS}
+        # Days of the slice, collected once (this also fills the cache).  A day
+        # whose rows all fail one builder's filter is rewritten with its stored
+        # rows unchanged (merge) - harmless.
+        days = distinct_dates(src)
+        return {name: run_gold(spark, name, cfg, silver=src, mode=mode, days=days) for name in gold.BUILDERS}
     finally:
         src.unpersist()
 

@@ -90,3 +90,21 @@ def test_gold_merge_keeps_vanished_groups_replace_drops_them(spark, workdir):
     jobs.upsert_gold(spark, fqn, spark.createDataFrame([("s", d1, "a", 7)], schema), keys, mode="replace_dates")
     got = sorted((r["event_date"], r["funnel_step"], r["event_count"]) for r in spark.read.table(fqn).collect())
     assert got == [(d1, "a", 7), (d2, "a", 1)]
+
+
+def test_accepted_changes_heals_duplicate_copies(spark):
+    from eventmart.operators.upsert import accepted_changes
+    target = raw(spark, [("a", "2026-01-01T10:00:00Z", "s", "x", T0), ("a", "2026-01-02T10:00:00Z", "s", "y", T0),
+                         ("b", "2026-01-01T10:00:00Z", "s", "z", T0)]).drop("_ingested_at")
+    incoming = raw(spark, [("a", "2026-01-02T10:00:00Z", "s", "y", T0), ("b", "2026-01-01T10:00:00Z", "s", "z", T0)])
+    got = {r["event_id"]: sorted(r["_old_dates"]) for r in accepted_changes(target, incoming).collect()}
+    assert got == {"a": [dt.date(2026, 1, 1), dt.date(2026, 1, 2)]}
+
+
+def test_table_upsert_with_lookback(spark, workdir):
+    cfg = _cfg(spark, workdir)
+    fqn = cfg.silver_fqn
+    jobs.upsert_silver_rows(spark, fqn, raw(spark, [("a", "2026-01-01T10:00:00Z", "s", "v1", T0),
+                                                    ("b", "2026-01-05T10:00:00Z", "s", "b1", T0)]))
+    jobs.upsert_silver_rows(spark, fqn, raw(spark, [("b", "2026-01-06T10:00:00Z", "s", "b2", T0)]), lookback_days=2)
+    assert _state(spark, fqn) == {"a": ("v1", dt.date(2026, 1, 1)), "b": ("b2", dt.date(2026, 1, 6))}
