@@ -5,8 +5,10 @@ object) or a map<string,string>.  Fields are returned as strings with the
 same text JSON-path extraction would give: booleans as ``true``/``false``,
 numbers as written, nested values as JSON text, missing or malformed as NULL.
 
-JSON text is parsed once per row (one ``from_json`` into an all-string struct)
-instead of once per field; maps and simple struct fields are read directly.
+JSON text is parsed once per row with ``json_tuple`` (a generator that yields
+every requested top-level field as the same text JSON-path extraction gives);
+``from_json`` into a struct would be split by the optimizer into one parse per
+field read.  Maps and simple struct fields are read directly.
 """
 
 from __future__ import annotations
@@ -32,10 +34,15 @@ class PropertyReader:
     def needs_parse(self) -> bool:
         return isinstance(self.dtype, T.StringType)
 
-    def parse_expr(self) -> Column:
-        """Column to materialise once as ``parsed_alias`` when the payload is JSON text."""
-        schema = T.StructType([T.StructField(f, T.StringType()) for f in self.fields])
-        return F.from_json(F.col(self.column), schema)
+    def parsed_name(self, field: str) -> str:
+        return f"{self.parsed_alias}_{field}"
+
+    def with_parsed(self, df: DataFrame) -> DataFrame:
+        """``df`` plus one string column per field, from a single parse of the JSON text."""
+        if not self.needs_parse:
+            return df
+        return df.select("*", F.json_tuple(F.col(self.column), *self.fields)
+                         .alias(*[self.parsed_name(f) for f in self.fields]))
 
     def json_text(self) -> Column:
         """The payload as JSON text (struct/map -> to_json, text passes through)."""
@@ -51,7 +58,9 @@ class PropertyReader:
         if dt is None:
             return F.lit(None).cast("string")
         if isinstance(dt, T.StringType):
-            return F.col(self.parsed_alias).getField(name)
+            if name in self.fields:
+                return F.col(self.parsed_name(name))
+            return F.get_json_object(F.col(self.column), f"$.{name}")
         if isinstance(dt, T.MapType) and isinstance(dt.keyType, T.StringType):
             value = F.col(self.column).getItem(name)
             if isinstance(dt.valueType, _DIRECT_STRUCT_TYPES):

@@ -53,7 +53,7 @@ def normalize_silver_events(df: DataFrame, *, utm_from_url: bool = False,
     for dedup tie-breaks) after the canonical ones.
     """
     props = PropertyReader(df, PROPERTY_FIELDS)
-    src = df.withColumn(props.parsed_alias, props.parse_expr()) if props.needs_parse else df
+    src = props.with_parsed(df)
 
     occurred = event_time(df)
     url = clean_url(first_present(df, "pageUrl", "url", "page_url", default=F.lit("")))
