@@ -22,4 +22,5 @@ def not_blank(col: Column) -> Column:
 
 
 def is_blank(col: Column) -> Column:
-    return ~not_blank(col) | col.isNull()
+    """NULL or spaces only."""
+    return col.isNull() | (F.length(F.trim(col)) == 0)

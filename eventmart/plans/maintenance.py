@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from eventmart.sources.tables import (add_missing_columns, as_dates, distinct_dates, materialize,
                                       overwrite_partitions, read_dates)
@@ -42,7 +43,10 @@ def compact_partitions(spark: SparkSession, fqn: str, dates: Iterable | None = N
     files it reads.
     """
     src = read_dates(spark, fqn, dates)
-    keys = ["event_date", *[c for c in cluster_by if c in src.columns]]
+    keys = [F.col("event_date"), *[F.col(c) for c in cluster_by if c in src.columns]]
+    # A row hash as the last range key lets one hot (day, site, type) value be
+    # split across several files instead of landing in a single task.
+    keys.append(F.xxhash64(*[F.col(c) for c in src.columns]))
     parts = max(1, -(-input_bytes(src) // target_file_bytes))
     days = as_dates(dates) if dates else distinct_dates(src)
     if not days:

@@ -37,7 +37,7 @@ def write_raw_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     raw = fixtures.raw_events(spark, sf_dir, camel_case=True)
     payload = [c for c in raw.columns if not c.startswith("_") and c != "site_id"]
     (raw.selectExpr(*payload, "_path_site AS site_id", "_path_date AS date")
-        .repartition("site_id", "date")
+        .hint("rebalance", "site_id", "date")
         .write.partitionBy("site_id", "date").json(path))
 
 
