@@ -21,7 +21,7 @@ from eventmart.operators.dedup import dedup_latest
 from eventmart.operators.silver import SILVER_COLUMNS, incremental_slice, normalize_silver_events
 from eventmart.operators.upsert import accepted_changes, merge_replace
 from eventmart.session import configure
-from eventmart.sources.tables import (create_table, distinct_dates, drop_partitions, materialize,
+from eventmart.sources.tables import (create_databases, create_table, distinct_dates, drop_partitions, materialize,
                                       overwrite_partitions, read_dates, table_exists)
 
 
@@ -172,6 +172,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.getOrCreate()
     configure(spark)
     cfg = MartConfig.from_env()
+    create_databases(spark, cfg)                                  # S11, IF NOT EXISTS
     if args.bronze:
         task_bronze(spark, cfg, trigger_once=True)
     since = last_hours(args.since_hours) if args.since_hours else None

@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[2]", app="eventmart-tests", shuffle_partitions=2,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="eventmart-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="eventmart-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="eventmart-test-wh-")})
     yield s
     s.stop()
 
