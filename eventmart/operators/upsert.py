@@ -17,7 +17,7 @@ from eventmart.operators.dedup import dedup_latest
 
 
 def accepted_changes(target: DataFrame, incoming: DataFrame, key: str = "event_id",
-                     time_col: str = "occurred_at_utc") -> DataFrame:
+                     time_col: str = "occurred_at_utc", *, deduplicated: bool = False) -> DataFrame:
     """J1 classification: incoming rows (deduplicated) that must be written.
 
     A row is accepted when its key is new, when it is strictly newer than the
@@ -29,8 +29,12 @@ def accepted_changes(target: DataFrame, incoming: DataFrame, key: str = "event_i
     dates of matched keys (``_old_dates``) so the caller can rewrite the
     partition a corrected event moves away from.
     """
-    inc = dedup_latest(incoming, key=key, time_col=time_col)
-    stored = (target.groupBy(key)
+    inc = incoming if deduplicated else dedup_latest(incoming, key=key, time_col=time_col)
+    # Only stored rows whose key arrives again are aggregated.  For a typical
+    # incremental batch the key set is small and AQE broadcasts it, so the
+    # stored table is scanned (three columns) but never shuffled.
+    matched = target.join(inc.select(key), key, "left_semi")
+    stored = (matched.groupBy(key)
               .agg(F.max(time_col).alias("_t_max"), F.count(F.lit(1)).alias("_t_n"),
                    F.collect_set("event_date").alias("_old_dates")))
     joined = inc.join(stored, key, "left")

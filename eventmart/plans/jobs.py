@@ -55,7 +55,10 @@ def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame, *,
         if first is None:
             return {"created": False, "accepted": 0, "dates": []}
         target = target.where(F.col("event_date") >= F.lit(first - timedelta(days=lookback_days)))
-    accepted = materialize(accepted_changes(target.select("event_id", "occurred_at_utc", "event_date"), incoming))
+    # The deduplicated batch is read twice (its keys, then the classify join): checkpoint it once.
+    batch = materialize(dedup_latest(incoming))
+    accepted = materialize(accepted_changes(target.select("event_id", "occurred_at_utc", "event_date"), batch,
+                                            deduplicated=True))
     touched = distinct_dates(accepted.select(F.explode(F.array_union(
         F.array(F.col("event_date")), F.coalesce(F.col("_old_dates"), F.array().cast("array<date>"))))
         .alias("event_date")))
