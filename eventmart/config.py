@@ -39,6 +39,10 @@ class MartConfig:
     def silver_fqn(self) -> str:
         return f"{self.silver_db}.{self.silver_table}"
 
+    @property
+    def quarantine_fqn(self) -> str:
+        return f"{self.bronze_db}.quarantine"
+
     def gold_fqn(self, name: str) -> str:
         return f"{self.gold_db}.{name}"
 

@@ -84,3 +84,21 @@ def ingest_lag(bronze: DataFrame) -> DataFrame:
                  F.count_if(bad).alias("bad_rows"),
                  F.avg(lag).alias("avg_lag_seconds"),
                  F.max(lag).alias("max_lag_seconds")))
+
+
+def quarantine_records(bronze: DataFrame) -> DataFrame:
+    """R10 rows for storage: reasons, source file, the raw row as JSON text and its hash."""
+    rules = _rules(bronze)
+    reasons = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in rules.items()])
+    payload = [c for c in bronze.columns if c not in ("_ingested_at", "event_date", "occurred_at_ts")]
+    raw_json = F.to_json(F.struct(*[F.col(c) for c in payload]))
+    source = F.col("_source_file") if "_source_file" in bronze.columns else F.lit(None).cast("string")
+    return (bronze.select(
+                F.col("event_id").cast("string").alias("event_id") if "event_id" in bronze.columns
+                else F.lit(None).cast("string").alias("event_id"),
+                reasons.alias("reasons"),
+                source.alias("source_file"),
+                raw_json.alias("raw_record"),
+                F.xxhash64(raw_json).alias("_row_hash"),
+                _ingest_date(bronze).alias("ingest_date"))
+            .where(F.col("reasons") != ""))

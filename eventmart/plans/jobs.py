@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.config import MartConfig
-from eventmart.operators import gold
+from eventmart.operators import gold, quality
 from eventmart.operators.dedup import dedup_latest
 from eventmart.operators.silver import SILVER_COLUMNS, incremental_slice, normalize_silver_events
 from eventmart.operators.upsert import accepted_changes, merge_replace
@@ -86,7 +86,8 @@ def run_silver_upsert(spark: SparkSession, cfg: MartConfig | None = None, *,
 
 
 def upsert_gold(spark: SparkSession, fqn: str, incoming: DataFrame, keys: Sequence[str], *,
-                mode: str = "merge", days: Sequence[date] | None = None) -> list[date]:
+                mode: str = "merge", days: Sequence[date] | None = None,
+                date_col: str = "event_date") -> list[date]:
     """J2 at table level for the days present in ``incoming``.
 
     ``merge`` (default): stored rows whose key matches (NULL-safe) are
@@ -98,28 +99,47 @@ def upsert_gold(spark: SparkSession, fqn: str, incoming: DataFrame, keys: Sequen
     """
     configure(spark)
     if not table_exists(spark, fqn):
-        create_table(incoming, fqn)
-        return list(days) if days is not None else distinct_dates(spark.read.table(fqn))
+        create_table(incoming, fqn, (date_col,))
+        return list(days) if days is not None else distinct_dates(spark.read.table(fqn), date_col)
     if days is None:
         inc = materialize(incoming)
-        days = distinct_dates(inc)
+        days = distinct_dates(inc, date_col)
     else:
         inc = incoming
     if not days:
         return []
     if mode == "merge":
-        out = merge_replace(read_dates(spark, fqn, days), inc, keys)
+        out = merge_replace(read_dates(spark, fqn, days, date_col), inc, keys)
     elif mode == "replace_dates":
         out = inc
     else:
         raise ValueError(f"unknown mode {mode!r}")
     # Dynamic overwrite stages the new files and swaps partitions only at job
     # commit, so reading the old rows of those partitions in the same job is safe.
-    overwrite_partitions(spark, out, fqn)
+    overwrite_partitions(spark, out, fqn, date_col=date_col)
     spark.catalog.refreshTable(fqn)
     return days
 
 
+QUARANTINE_KEYS = ["ingest_date", "_row_hash"]
+
+
+def run_quarantine(spark: SparkSession, cfg: MartConfig | None = None, *,
+                   since_ingested_at: datetime | None = None,
+                   since_received_at: datetime | None = None) -> list[date]:
+    """R10 as a job: bronze rows the canonical layer rejects, with their reasons,
+    merged into ``<bronze_db>.quarantine`` (partitioned by ingest day).
+
+    Rows are keyed by a hash of the whole raw row, so overlapping slices and
+    reruns do not duplicate them.
+    """
+    cfg = cfg or MartConfig.from_env()
+    bronze = spark.read.table(cfg.bronze_fqn)
+    sliced = incremental_slice(bronze, since_ingested_at=since_ingested_at, since_received_at=since_received_at)
+    bad = quality.quarantine_records(sliced)
+    return upsert_gold(spark, cfg.quarantine_fqn, bad, QUARANTINE_KEYS, date_col="ingest_date")
+
+
 def run_gold(spark: SparkSession, name: str, cfg: MartConfig | None = None, *,
              for_event_dates: Sequence | None = None, silver: DataFrame | None = None,
              mode: str = "merge", days: Sequence[date] | None = None) -> list[date]:
@@ -180,6 +200,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         task_bronze(spark, cfg, trigger_once=True)
     since = last_hours(args.since_hours) if args.since_hours else None
     run_silver_upsert(spark, cfg, since_ingested_at=since)
+    run_quarantine(spark, cfg, since_ingested_at=since)
     task_gold_all(spark, cfg, for_event_dates=args.dates)
 
 

@@ -52,11 +52,12 @@ def as_dates(values: Iterable) -> list[date]:
     return [v if isinstance(v, date) else date.fromisoformat(str(v)) for v in values]
 
 
-def read_dates(spark: SparkSession, fqn: str, dates: Iterable | None = None) -> DataFrame:
-    """A table, optionally limited to ``event_date IN dates`` (partition pruning)."""
+def read_dates(spark: SparkSession, fqn: str, dates: Iterable | None = None,
+               date_col: str = "event_date") -> DataFrame:
+    """A table, optionally limited to ``date_col IN dates`` (partition pruning)."""
     df = spark.read.table(fqn)
     ds = as_dates(dates or [])
-    return df.where(F.col("event_date").isin(ds)) if ds else df
+    return df.where(F.col(date_col).isin(ds)) if ds else df
 
 
 def distinct_dates(df: DataFrame, col: str = "event_date") -> list[date]:
@@ -64,7 +65,8 @@ def distinct_dates(df: DataFrame, col: str = "event_date") -> list[date]:
     return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
 
 
-def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, rebalance: bool = True) -> None:
+def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, rebalance: bool = True,
+                         date_col: str = "event_date") -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     ``insertInto`` is positional, so columns are put in the table's order
@@ -74,7 +76,7 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, rebala
     configure(spark)
     cols = spark.read.table(fqn).columns
     out = df.select(*cols)
-    (balanced(out) if rebalance else out).write.insertInto(fqn, overwrite=True)
+    (balanced(out, (date_col,)) if rebalance else out).write.insertInto(fqn, overwrite=True)
 
 
 def drop_partitions(spark: SparkSession, fqn: str, dates: Iterable) -> None:

@@ -17,6 +17,7 @@ def test_cli_main_end_to_end(spark, workdir, monkeypatch):
                 f.write(json.dumps({"eventId": f"{day}-{i}", "occurredAt": f"{day}T10:0{i}:00Z",
                                     "eventType": "product_view", "sessionId": "s1", "anonymousId": "u",
                                     "properties": {"product_id": f"p{i}"}}) + "\n")
+            f.write(json.dumps({"eventId": f"{day}-bad", "occurredAt": "never"}) + "\n{broken\n")
     env = {"BRONZE_DB": f"b{s}", "SILVER_DB": f"s{s}", "GOLD_DB": f"g{s}", "RAW_EVENTS_PATH": raw,
            "STATE_DIR": os.path.join(workdir, "state")}
     for k, v in env.items():
@@ -29,3 +30,7 @@ def test_cli_main_end_to_end(spark, workdir, monkeypatch):
     jobs.main(["--bronze", "--dates", "2026-05-17"])          # rerun: nothing new, same results
     assert spark.read.table(f"s{s}.events").count() == 5
     assert spark.read.table(f"g{s}.product_metrics").count() == 5
+    bad = spark.read.table(f"b{s}.quarantine").collect()
+    assert len(bad) == 4
+    assert sorted(r["reasons"] for r in bad if r["event_id"]) == ["unparseable_occurred_at"] * 2
+    assert all("corrupt_record" in r["reasons"] for r in bad if r["event_id"] is None)
