@@ -19,7 +19,7 @@ from eventmart.plans import table_flows
 from eventmart.operators.dedup import dedup_latest
 from eventmart.operators.silver import SILVER_DATA_COLUMNS, incremental_slice, normalize_silver_events
 from eventmart.operators.upsert import merge_replace, upsert_latest
-from eventmart.session import configure
+from eventmart.session import configure, materialize
 from eventmart.sources.fixtures import bronze_like, raw_events, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +49,14 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_latest(rows).select(*SILVER_DATA_COLUMNS)
 
 
-def upserted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = silver(spark, sf_dir)
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical rows as a stored target: derived once per run and checkpointed,
+    so the upsert's key scan and rewrite read it instead of re-deriving it."""
+    return materialize(silver(spark, sf_dir))
+
+
+def upserted_silver(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
+    target = stored_silver(spark, sf_dir) if target is None else target
     incoming = _with_ingest(raw_events(spark, sf_dir, copies_only=True))
     return upsert_latest(target, incoming)
 
@@ -71,8 +77,9 @@ def gold_for_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = gold.product_metrics(silver(spark, sf_dir), audit=False)
-    recent = upserted_silver(spark, sf_dir).where(F.col("event_date") >= F.lit(RECENT_FROM).cast("date"))
+    base = stored_silver(spark, sf_dir)
+    target = gold.product_metrics(base, audit=False)
+    recent = upserted_silver(spark, sf_dir, base).where(F.col("event_date") >= F.lit(RECENT_FROM).cast("date"))
     incoming = gold.product_metrics(recent, audit=False)
     return merge_replace(target, incoming, gold.GOLD_KEYS["product_metrics"])
 
