@@ -20,6 +20,23 @@ REQUIRED_CONF = {
 }
 
 
+# Sizing for large clusters (100 TB class).  The initial shuffle partition
+# count is deliberately high; AQE coalesces it to ~advisory-size partitions
+# at runtime, so small days stay small and big ones never exceed executor
+# memory.  Scan splits of 256 MB keep tasks few without huge partitions.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Broadcast only what AQE measured to be small at runtime.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key, None) != value:
@@ -27,10 +44,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(master: str = "local[*]", app: str = "eventmart", shuffle_partitions: int = 8,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+def build_session(master: str | None = "local[*]", app: str = "eventmart", shuffle_partitions: int = 8,
+                  extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """A session with the library's settings; ``cluster=True`` applies ``CLUSTER_CONF``
+    (and leaves the master to spark-submit when ``master`` is None)."""
+    builder = SparkSession.builder if master is None else SparkSession.builder.master(master)
     builder = (
-        SparkSession.builder.master(master)
+        builder
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
@@ -43,6 +63,9 @@ def build_session(master: str = "local[*]", app: str = "eventmart", shuffle_part
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
+    if cluster:
+        for key, value in CLUSTER_CONF.items():
+            builder = builder.config(key, value)
     # Wide projections compile to methods above the JIT's 8000-byte limit; let
     # the JIT compile them instead of interpreting them per row.
     java_opts = "-XX:-DontCompileHugeMethods"
