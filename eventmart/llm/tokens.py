@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,18 +32,31 @@ from eventmart.llm.common import written
 #: Ids after which a block is closed, and ids of one page.
 BLOCK_IDS = 65_536
 PAGE_IDS = 4_096
-#: Chunks whose ids a worker remembers.
-CACHE = 600_000
+#: Chunks, and words, whose ids a worker remembers.
+CACHE = 400_000
 
 BLOCKS = ("part int, seq int, part_start long, n_ids long, doc_ids array<long>, doc_ends array<long>, "
           "payload binary")
 
 
+# The tokenizer's own split pattern, spelled out for lower-case Latin-1.
+_LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\t-\\r \x85\xa0{_LETTERS}{_NUMBERS}]+")
+
+
+def _visible() -> list[str]:
+    """The characters that stand for the 256 bytes in byte-level vocabularies: printable ones for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class Encoder:
-    """Ids of a text by a public tokenizer, remembered by white-space chunk.
+    """Ids of a text by a public tokenizer, remembered by white-space chunk and by word.
 
-    The tokenizer splits at white space and drops it, so a text's ids are its chunks' ids in a row. Texts that
-    spell one of the tokenizer's special tokens go to it whole.
+    The tokenizer splits at white space and drops it, so a text's ids are its chunks' ids in a row. A new chunk of
+    Latin-1 letters is split by the tokenizer's pattern and its new words go to the tokenizer's model; any other new
+    chunk, and a text that spells one of the special tokens, goes to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -50,33 +64,55 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.visible = _visible()
+        self.spelled = [i.to_bytes(4, "little") for i in range(self.size)]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            spelled = word if word.isascii() and word.isalnum() else "".join(
+                self.visible[b] for b in word.encode())
+            ids = b"".join([self.spelled[t.id] for t in self.model.tokenize(spelled)])
+            if len(self.words) < CACHE:
+                self.words[word] = ids
+        return ids
+
+    def _chunk(self, chunk: str, latin: bool) -> bytes:
+        if latin or chunk.isascii() and chunk.islower():
+            ids = b"".join(map(self._word, _PARTS.findall(chunk)))
+        else:
+            ids = self._whole(chunk)
+        if len(self.known) < CACHE:
+            self.known[chunk] = ids
+        return ids
 
     def ids(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         if "<|" in text:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._whole(text)
         try:
             text.encode("latin-1")
+            latin = True
             text = text.lower()  # as the tokenizer does; beyond Latin-1 the rules differ
         except UnicodeEncodeError:
-            pass
+            latin = False
         for space in "\n\t\r\x0b\x0c":
             text = text.replace(space, " ")
         chunks = text.split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            if len(known) > CACHE:
-                known.clear()
-            new = list({c for c in chunks if c not in known})
-            for chunk, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[chunk] = np.array(got.ids, "<u4").tobytes()
-            return b"".join(map(known.__getitem__, chunks))
+        found = list(map(self.known.get, chunks))
+        if None in found:
+            for i in [i for i, ids in enumerate(found) if ids is None]:
+                found[i] = self._chunk(chunks[i], latin)
+        return b"".join(found)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -93,8 +129,14 @@ def bits_for(vocabulary: int) -> int:
     return max(1, math.ceil(math.log2(max(2, vocabulary))))
 
 
+#: Widths of whole machine integers need no shifts; the bytes are the same.
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
+
+
 def _pack_page(ids: np.ndarray, bits: int) -> bytes:
     rows = -(-len(ids) // 64)
+    if bits in _WHOLE:
+        return ids.astype(_WHOLE[bits]).tobytes() + bytes((rows * 64 - len(ids)) * bits // 8)
     lanes = np.zeros(rows * 64, np.uint64)
     lanes[:len(ids)] = ids
     lanes = np.ascontiguousarray(lanes.reshape(rows, 64).T)
@@ -108,6 +150,8 @@ def _pack_page(ids: np.ndarray, bits: int) -> bytes:
 
 
 def _unpack_page(data: memoryview, count: int, bits: int) -> np.ndarray:
+    if bits in _WHOLE:
+        return np.frombuffer(data, _WHOLE[bits], count).astype(np.uint32)
     rows = -(-count // 64)
     packed = np.ascontiguousarray(np.frombuffer(data, "<u8", rows * bits).reshape(rows, bits).T)
     mask = np.uint64((1 << bits) - 1)
