@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,7 +20,15 @@ _ROW_BITS = 33  # bits that monotonically_increasing_id() keeps for the row
 
 
 def prepare(spark: SparkSession) -> None:
+    """Session settings of the operators: the shared folder, the batch size, and where workers find the package.
+
+    The path helps workers that see the same files; a cluster gets the package by ``--py-files`` or an installation.
+    """
     state_root(spark)
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [home, env.get("PYTHONPATH", "")]))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))

@@ -3,7 +3,7 @@
 Texts are folded first: lower case, look-alike letters of other scripts to Latin ones, zero-width characters out,
 and digits or signs within a word to the letters that they stand for. The lexicon is learned from labelled rows:
 word beginnings (``PREFIXES`` letters) and whole words that are significantly more frequent in toxic texts, weighted
-by their log odds; of nested terms the shortest that is as telling stays. Exception phrases are pairs of
+by their log odds. Copies of a text count once, and of nested terms the most telling stays. Exception phrases are pairs of
 neighbouring words with a lexicon term that clean texts use; a term within one does not count. A text's weight is
 divided by a slowly growing function of its length and mapped to 0..1 by a logistic curve fitted to the same rows.
 
@@ -17,6 +17,8 @@ alphabetical order; other columns are ignored by `score_documents` and kept by `
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 import unicodedata
@@ -31,11 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from eventmart.llm import shingles
 from eventmart.llm.common import drop, written
 
 FIT_ROWS = 12_000
 TERMS = 5_000
 PREFIXES = range(3, 9)
+#: Smallest shingle hashes by which copies are recognised in the sample.
+SKETCHES = 4
 
 # Look-alike letters (Cyrillic, Greek) and the Latin letters that they resemble.
 LOOK_ALIKES = "аaвbеeкkмmнhоoрpсcтtуyхxіiјjѕsԁdցgαaβbεeηnιiκkνvοoρpτtυuχxγy"
@@ -147,11 +152,53 @@ def _significance(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
                 + part(n_toxic - toxic, (n - total) * n_toxic / n) + part(n_clean - clean, (n - total) * n_clean / n))
 
 
+def _chosen(found: dict[str, tuple[float, int, int]], n_toxic: int, n_clean: int, most: int) -> dict[str, float]:
+    """Weights of the most telling terms, none beginning another; of terms in nearly the same texts the longest."""
+    chosen: dict[str, float] = {}
+    taken: set[str] = set()  # chosen terms and their beginnings
+    names = sorted(found)
+    for term in sorted(found, key=lambda t: (-found[t][0], t)):
+        if term in taken or any(term[:k] in chosen for k in range(2, len(term) + 1)):
+            continue
+        at = bisect.bisect_left(names, term)
+        longer = [t for t in itertools.takewhile(lambda t: t.startswith(term), names[at:])
+                  if found[t][1] >= 0.9 * found[term][1] and not t.endswith(" ")]
+        term = max([term, *longer], key=lambda t: (len(t), t))
+        _, toxic, clean = found[term]
+        chosen[term] = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
+        taken.update(term[:k] for k in range(2, len(term) + 1))
+        if len(chosen) == most:
+            break
+    return chosen
+
+
+def _without_copies(rows: list[tuple]) -> list[int]:
+    """Places of rows (label, sketches) that share no sketch with an earlier kept row of their label."""
+    seen: set[tuple] = set()
+    kept = []
+    for k, (label, sketches) in enumerate(rows):
+        marks = {(label, i, s) for i, s in enumerate(sketches)}
+        if not marks & seen:
+            kept.append(k)
+            seen |= marks
+    return kept
+
+
 def fit(labelled: DataFrame, rows: int = FIT_ROWS, terms: int = TERMS) -> Lexicon:
     """Lexicon from ``labelled`` (doc_id, text, toxic), at most ``rows`` rows of it."""
     sample = labelled.select("doc_id", "text", "toxic").where("toxic is not null").orderBy(
         F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
 
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column(1).to_pylist():
+                hashes = shingles.shingle_set(text, 3)
+                found.append([int(shingles.mix(hashes + np.uint64(k)).min().view(np.int64)) if len(hashes) else 0
+                              for k in range(SKETCHES)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))],
+                                             names=["doc_id", "text", "toxic", "sketches"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
@@ -165,7 +212,16 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS, terms: int = TERMS) -> Lexico
              pa.array([n * (not x) for (_, x), n in cells], pa.int64())], names=["term", "toxic", "clean"])
 
     # The sample is dealt anew so that counting runs in parallel.
-    sample, path = written(sample.repartition(F.xxhash64("doc_id", "text")), "toxicity-sample")
+    whole_sample, path = written(
+        sample.repartition(F.xxhash64("doc_id", "text")).select(
+            F.col("doc_id").cast("long"), "text", F.col("toxic").cast("int"))
+        .mapInArrow(sketch, "doc_id long, text string, toxic int, sketches array<long>"), "toxicity-sample")
+    # Copies of a text would make all its words telling; one of each group counts.
+    marks = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["toxic"], r["sketches"])
+                   for r in whole_sample.select("doc_id", "toxic", "sketches").collect())
+    kept = [marks[k][1] for k in _without_copies([(m[2], m[3]) for m in marks])]
+    sample, sample_path = written(whole_sample.where(F.col("doc_id").isin(kept)).select("doc_id", "text", "toxic")
+                                  .repartition(F.xxhash64("doc_id", "text")), "toxicity-texts")
     counted = sample.mapInArrow(count, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counted, counted_path = written(counted, "toxicity-terms")
@@ -176,20 +232,13 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS, terms: int = TERMS) -> Lexico
     # As many comparisons as candidates are allowed for one false term in twenty fits.
     least = 2 * math.log(20 * max(counted.count(), 1))
     telling = (counted.where(f"term <> '' and toxic >= 4 and toxic * {n_clean} > 4 * clean * {n_toxic}")
-               .orderBy(F.desc("toxic"), "term").limit(20 * terms).collect())
+               .orderBy(F.desc("toxic"), "term").limit(terms).collect())
     found = {}
     for r in telling:
-        if _significance(r["toxic"], r["clean"], n_toxic, n_clean) >= least:
-            found[r["term"]] = (r["toxic"], r["clean"])
-    chosen: dict[str, float] = {}
-    for term in sorted(found, key=lambda t: (len(t), t)):
-        toxic, clean = found[term]
-        weight = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
-        shorter = [chosen[term[:k]] for k in range(2, len(term)) if term[:k] in chosen]
-        if all(weight > 1.5 * s for s in shorter):
-            chosen[term] = weight
-    strongest = sorted(chosen, key=lambda t: (-chosen[t], t))[:terms]
-    lexicon = Lexicon({t: chosen[t] for t in strongest})
+        significance = _significance(r["toxic"], r["clean"], n_toxic, n_clean)
+        if significance >= least:
+            found[r["term"]] = (significance, r["toxic"], r["clean"])
+    lexicon = Lexicon(_chosen(found, n_toxic, n_clean, terms))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def hit(folded: str) -> bool:
@@ -220,7 +269,7 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS, terms: int = TERMS) -> Lexico
     points = sample.mapInArrow(densities, "x double, y int").collect()  # at most ``rows`` pairs of numbers
     order = sorted((p["x"], p["y"]) for p in points)
     lexicon.slope, lexicon.offset = _logistic(np.array([x for x, _ in order]), np.array([y for _, y in order], float))
-    drop(sample.sparkSession, path, counted_path)
+    drop(sample.sparkSession, path, sample_path, counted_path)
     return lexicon
 
 
