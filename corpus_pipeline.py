@@ -21,8 +21,7 @@ NEAR_PERCENT = 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10; the lexicon is learned from all labelled documents of the input."""
     prepare(spark)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    return toxicity.keep(docs, toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id")))
+    return toxicity.keep(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

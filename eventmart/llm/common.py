@@ -54,6 +54,16 @@ def drop(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """doc_id, text and the other columns of ``labels`` for at most ``rows`` labelled documents, by a hash of doc_id.
+
+    The rows are chosen without their texts, and as there are at most ``rows`` of them, they can be broadcast.
+    """
+    there = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = there.orderBy(F.xxhash64("doc_id"), *there.columns).limit(rows)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+
 def place(df: DataFrame, *order: str, tag: str) -> tuple[DataFrame, str]:
     """Sort globally by ``order`` and number the rows with ``_at`` (partition, row), fixed by writing the table.
 

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventmart.llm.common import labelled_sample
+
 FIT_ROWS = 2_000
 RANK = 64
 NEIGHBOURS = 25
@@ -113,14 +115,13 @@ class Space:
         return np.clip(out, 0, 1)
 
 
-def fit(labelled: DataFrame, rows: int = FIT_ROWS, rank: int = RANK) -> Space:
-    """Space from ``labelled`` (doc_id, text, quality), at most ``rows`` rows of each class."""
-    labelled = labelled.select("doc_id", "text", F.col("quality").cast("int").alias("label")).where("label in (0, 1)")
-    totals = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    sample = None
-    for label in (0, 1):
-        part = labelled.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
-        sample = part if sample is None else sample.unionByName(part)
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, rank: int = RANK) -> Space:
+    """Space from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality), at most ``rows`` rows of each class."""
+    labels = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("label in (0, 1)")
+    totals = {r["label"]: r["count"] for r in labels.join(docs.select("doc_id"), "doc_id", "left_semi")
+              .groupBy("label").count().collect()}
+    sample = labelled_sample(docs, labels.where("label = 0"), rows).unionByName(
+        labelled_sample(docs, labels.where("label = 1"), rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -28,11 +28,6 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-def _labelled(spark: SparkSession, docs: DataFrame, sf_dir: str, label: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", label).where(F.col(label).isNotNull())
-    return docs.select("doc_id", "text").join(labels, "doc_id")
-
-
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks, _ = tokens.token_files(spark, _texts(spark, sf_dir), tokenizer_path(), end_id=1)
     return tokens.read_documents(blocks)
@@ -64,7 +59,7 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _texts(spark, sf_dir)
-    space = quality_knn.fit(_labelled(spark, docs, sf_dir, "quality").where(_fold(5) != 0))
+    space = quality_knn.fit(docs, table(spark, sf_dir, "labels").where(_fold(5) != 0))
     return quality_knn.score_documents(docs, space).select(
         "doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
@@ -77,7 +72,7 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _texts(spark, sf_dir)
-    lexicon = toxicity.fit(_labelled(spark, docs, sf_dir, "toxic").where(_fold(4) != 2))
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(_fold(4) != 2))
     return toxicity.score_documents(docs, lexicon).select(
         "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
         "n_terms", "n_words")

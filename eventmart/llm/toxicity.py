@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from eventmart.llm import shingles
-from eventmart.llm.common import drop, written
+from eventmart.llm.common import drop, labelled_sample, written
 
 FIT_ROWS = 12_000
 TERMS = 5_000
@@ -184,10 +184,9 @@ def _without_copies(rows: list[tuple]) -> list[int]:
     return kept
 
 
-def fit(labelled: DataFrame, rows: int = FIT_ROWS, terms: int = TERMS) -> Lexicon:
-    """Lexicon from ``labelled`` (doc_id, text, toxic), at most ``rows`` rows of it."""
-    sample = labelled.select("doc_id", "text", "toxic").where("toxic is not null").orderBy(
-        F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, terms: int = TERMS) -> Lexicon:
+    """Lexicon from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), at most ``rows`` labelled rows."""
+    sample = labelled_sample(docs, labels.select("doc_id", "toxic").where("toxic is not null"), rows)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
