@@ -16,7 +16,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import place, prefix_sums, written
@@ -25,31 +25,43 @@ OPEN, MIDDLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 _HASHES = ("h1", "h2")
 
 
-def _hash(seed: int):
-    return F.xxhash64(F.lit(seed), F.col("place"), F.col("role").isNull(), F.col("role"), F.col("text").isNull(),
-                      F.col("text")).cast("decimal(20,0)")
+def _hash(*columns) -> Column:
+    return F.xxhash64(*columns)
 
 
-def turns_with_prefixes(conversations: DataFrame) -> DataFrame:
-    """Every distinct turn with its place, its conversation's length, its prefix hash and its rendered text."""
-    turns = conversations.select("conv_id", "turn", "role", "text").distinct()
-    placed, _ = place(turns, "conv_id", "turn", "role", "text", tag="chat-turns")
-    rows = prefix_sums(placed.withColumn("one", F.lit(1).cast("long")), "one").withColumnRenamed("before_one", "row")
-    spans = rows.groupBy("conv_id").agg(F.min("row").alias("first"), F.count("*").alias("n_turns"))
-    spans = spans.withColumnRenamed("conv_id", "c")
-    rows = rows.join(spans, rows["conv_id"].eqNullSafe(spans["c"])).withColumn("place", F.col("row") - F.col("first"))
+def _contents(seed: int) -> Column:
+    return _hash(F.lit(seed), F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text"))
+
+
+def placed_turns(conversations: DataFrame) -> DataFrame:
+    """Every distinct turn, rendered, with two hashes of its contents and its place in the global order ``_at``."""
     rendered = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("unknown")), F.lit(MIDDLE),
                         F.coalesce("text", F.lit("")), F.lit(CLOSE))
-    rows = rows.select("_at", "conv_id", "turn", "role", "place", "n_turns", _hash(11).alias("h1"),
-                       _hash(97).alias("h2"), rendered.alias("rendered"))
-    rows = rows.withColumn("chars", F.length("rendered").cast("long"))
-    sums = prefix_sums(rows, *_HASHES, "chars")
+    turns = conversations.select("conv_id", "turn", "role", "text").distinct()
+    placed, _ = place(turns, "conv_id", "turn", "role", "text", tag="chat-turns")
+    return placed.select("_at", "conv_id", "role", _contents(11).alias("c1"), _contents(97).alias("c2"),
+                         rendered.alias("rendered"), F.length(rendered).cast("long").alias("chars"))
+
+
+def turn_prefixes(placed: DataFrame) -> DataFrame:
+    """_at, conv_id, place, n_turns, start (characters before the turn) and the prefix hash up to each turn.
+
+    Only numbers are shuffled; the texts stay where they were placed.
+    """
+    turns = placed.select("_at", "conv_id", "c1", "c2", "chars", F.lit(1).cast("long").alias("one"))
+    rows = prefix_sums(turns, "one").withColumnRenamed("before_one", "row").drop("total_one")
+    rows, _ = written(rows, "chat-rows")
+    spans = rows.groupBy(F.col("conv_id").alias("c")).agg(F.min("row").alias("first"), F.count("*").alias("n_turns"))
+    numbered = rows.join(spans, rows["conv_id"].eqNullSafe(spans["c"])).withColumn("place", F.col("row") - F.col("first"))
+    numbered, _ = written(numbered.select(
+        "_at", "conv_id", "place", "n_turns", "chars",
+        *[_hash(F.col("place"), F.col(c)).cast("decimal(20,0)").alias(h)
+          for c, h in zip(("c1", "c2"), _HASHES, strict=True)]), "chat-places")
+    sums, _ = written(prefix_sums(numbered, *_HASHES, "chars"), "chat-sums")
     keep = [*[f"before_{h}" for h in _HASHES], "before_chars"]
     base = sums.where("place = 0").select(F.col("conv_id").alias("c"), *[F.col(k).alias(f"_{k}") for k in keep])
-    sums = sums.join(base, sums["conv_id"].eqNullSafe(base["c"]))
-    return sums.select(
-        "conv_id", "turn", "role", "place", "n_turns", "rendered",
-        (F.col("before_chars") - F.col("_before_chars")).alias("start"),
+    return sums.join(base, sums["conv_id"].eqNullSafe(base["c"])).select(
+        "_at", "conv_id", "place", "n_turns", (F.col("before_chars") - F.col("_before_chars")).alias("start"),
         *[(F.col(f"before_{h}") - F.col(f"_before_{h}") + F.col(h)).alias(h) for h in _HASHES])
 
 
@@ -64,7 +76,8 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
 
 def chat_turns(conversations: DataFrame) -> DataFrame:
     """conv_id, place, n_turns, role, rendered and start (characters of the conversation before the turn)."""
-    turns, _ = written(turns_with_prefixes(conversations), "chat-prefixes")
+    placed = placed_turns(conversations)
+    turns, _ = written(turn_prefixes(placed), "chat-prefixes")
     kept = maximal_conversations(turns).withColumnRenamed("conv_id", "c")
-    return (turns.join(kept, turns["conv_id"].eqNullSafe(kept["c"]), "left_semi")
-            .select("conv_id", "place", "n_turns", "role", "start", "rendered"))
+    stays = turns.join(kept, turns["conv_id"].eqNullSafe(kept["c"]), "left_semi").select("_at", "place", "n_turns", "start")
+    return placed.join(stays, "_at").select("conv_id", "place", "n_turns", "role", "start", "rendered")

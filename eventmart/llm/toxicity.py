@@ -62,7 +62,8 @@ def fold(text: str | None) -> str:
         text = unicodedata.normalize("NFKC", text).translate(_FOLD)
     if _HAS_STAND_IN.search(text):
         text = _MIXED.sub(lambda m: m[0].translate(_DIGITS), text)
-    return f" {' '.join(_WORD.findall(text))} "
+    found = _WORD.findall(text)
+    return f" {' '.join(found)} " if found else " "
 
 
 @dataclass
