@@ -1,7 +1,7 @@
 """Column expressions (built-in Spark functions only, no UDFs)."""
 
 from eventmart.functions.timestamps import event_time, whole_seconds_between
-from eventmart.functions.text import clean_url, is_blank, not_blank, normalized_event_type
+from eventmart.functions.text import clean_url, not_blank, normalized_event_type
 from eventmart.functions.props import PropertyReader
 from eventmart.functions.urls import url_query_param
 from eventmart.functions.metrics import safe_ratio
@@ -10,7 +10,6 @@ __all__ = [
     "event_time",
     "whole_seconds_between",
     "clean_url",
-    "is_blank",
     "not_blank",
     "normalized_event_type",
     "PropertyReader",

@@ -19,8 +19,3 @@ def clean_url(col: Column) -> Column:
 def not_blank(col: Column) -> Column:
     """Not NULL and something other than spaces (``trim`` strips spaces only)."""
     return col.isNotNull() & (F.length(F.trim(col)) > 0)
-
-
-def is_blank(col: Column) -> Column:
-    """NULL or spaces only."""
-    return col.isNull() | (F.length(F.trim(col)) == 0)

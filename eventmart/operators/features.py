@@ -4,8 +4,8 @@ Pair features (R5, R6) are exact: no cap on products per session or user.
 Their cost is bounded by first reducing events to distinct (group, product)
 memberships and by dropping products that cannot reach the minimum support
 (a pair never has more support than either of its products).  The self-join
-runs on (site, group); AQE's skew-join splitting spreads a hot group over
-several tasks.
+runs on (site, group, block, block): a group's products are dealt to blocks of
+bounded size, so a hot group spreads over several tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.metrics import safe_ratio
 from eventmart.functions.text import not_blank
+from eventmart.operators.gold import PURCHASE_TYPES
 from eventmart.session import materialize
 
 
@@ -40,47 +41,46 @@ def top_queries(search_metrics: DataFrame, n: int = 10) -> DataFrame:
             .where(F.col("query_rank") <= n))
 
 
-def _micros(col: Column) -> Column:
-    return F.unix_micros(col)
-
-
 def query_ctr(silver: DataFrame, window_minutes: int = 30) -> DataFrame:
     """Share of searches followed by a product view.
 
-    A search at time s counts as clicked when some product view of the same
-    (site, session) happens in [s, s + window] and before the session's next
-    search (a later timestamp).  Equivalently: the earliest view in
-    [s, s + window] comes before the next search.
-
-    Both are range-frame minimums over the session ordered by time.  To avoid
-    one window over a whole (possibly huge) session, rows are windowed per
-    (site, session, time bucket of the window length); every row is also
-    copied into the previous bucket, so the partition of bucket b holds buckets
-    b and b+1 - everything a search of bucket b can look at.  Partition size is
-    bounded by two buckets of one session.
+    A view is a ``product_view``, also one that carries the query it came from; a search is any other row with a
+    non-blank query. A search at time s counts as clicked when a view of the same (site, session) happens in
+    [s, s + window] and before the session's next search (a later timestamp).
+
+    Within a session ordered from late to early both are running minimums: the earliest view at or after s and the
+    earliest search after s, so the cost is linear in the session's events.
     """
     width = window_minutes * 60 * 1_000_000
-    s = silver.where(F.col("session_id").isNotNull())
-    is_search = not_blank(F.col("search_query"))
-    rows = (s.where(is_search | (F.col("event_type") == "product_view"))
+    is_view = F.col("event_type") == "product_view"
+    is_search = ~F.coalesce(is_view, F.lit(False)) & not_blank(F.col("search_query"))
+    rows = (silver.where(F.col("session_id").isNotNull()).where(is_search | is_view)
             .select("site_id", "session_id", "event_date", "search_query",
-                    _micros(F.col("occurred_at_utc")).alias("_us"),
-                    is_search.alias("_is_search")))
-    own = F.floor(F.col("_us") / width)
-    rows = rows.withColumn("_own", own).withColumn("_b", F.explode(F.array(own, own - 1)))
-    w = Window.partitionBy("site_id", "session_id", "_b").orderBy("_us")
-    next_view = F.min(F.when(~F.col("_is_search"), F.col("_us"))).over(w.rangeBetween(0, width))
-    next_search = F.min(F.when(F.col("_is_search"), F.col("_us"))).over(
-        w.rangeBetween(1, Window.unboundedFollowing))
-    clicked = next_view.isNotNull() & (next_search.isNull() | (next_view < next_search))
-    flagged = (rows.withColumn("_clicked", clicked)
-               .where(F.col("_is_search") & (F.col("_b") == F.col("_own"))))
-    return (flagged.groupBy("site_id", "event_date", "search_query")
+                    F.unix_micros("occurred_at_utc").alias("_us"), is_search.alias("_is_search")))
+    late_first = Window.partitionBy("site_id", "session_id").orderBy(F.col("_us").desc())
+    here = late_first.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    later = late_first.rangeBetween(Window.unboundedPreceding, -1)
+    next_view = F.min(F.when(~F.col("_is_search"), F.col("_us"))).over(here)
+    next_search = F.min(F.when(F.col("_is_search"), F.col("_us"))).over(later)
+    clicked = F.coalesce((next_view <= F.col("_us") + width)
+                         & (next_search.isNull() | (next_view < next_search)), F.lit(False))
+    return (rows.withColumn("_clicked", clicked).where("_is_search")
+            .groupBy("site_id", "event_date", "search_query")
             .agg(F.count(F.lit(1)).alias("searches"),
                  F.count_if("_clicked").alias("clicked_searches"))
             .withColumn("ctr", safe_ratio(F.col("clicked_searches"), F.col("searches"))))
 
 
+#: Products (or queries) of one group that meet in one block.
+PAIR_BLOCK = 512
+
+
+def _blocked(df: DataFrame, keys: list[str], item: str, own: str) -> DataFrame:
+    """Add ``own``: the block of ``item`` among the ceil(n / PAIR_BLOCK) blocks of its group, and their number."""
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK).cast("int").alias(f"{own}_n"))
+    return df.join(sizes, keys).withColumn(own, F.pmod(F.xxhash64(item), F.col(f"{own}_n")).cast("int"))
+
+
 def _memberships(silver: DataFrame, group_col: str, event_types: tuple[str, ...]) -> DataFrame:
     """Distinct (site, group, product), checkpointed once.
 
@@ -100,9 +100,14 @@ def _pairs(members: DataFrame, group_col: str, min_support: int) -> tuple[DataFr
     support = members.groupBy("site_id", "product_id").agg(F.count(F.lit(1)).alias("_support"))
     frequent = support.where(F.col("_support") >= min_support)
     kept = members.join(frequent.select("site_id", "product_id"), ["site_id", "product_id"], "left_semi")
-    a = kept.select("site_id", group_col, F.col("product_id").alias("product_a"))
-    b = kept.select("site_id", group_col, F.col("product_id").alias("product_b"))
-    pairs = (a.join(b, ["site_id", group_col])
+    # Each pair of blocks is one join key, so a task meets at most PAIR_BLOCK ** 2 pairs of a group.
+    dealt = _blocked(kept, ["site_id", group_col], "product_id", "block")
+    others = F.explode(F.sequence(F.lit(0), F.col("block_n") - 1))
+    a = dealt.select("site_id", group_col, F.col("product_id").alias("product_a"), F.col("block").alias("block_a"),
+                     others.alias("block_b"))
+    b = dealt.select("site_id", group_col, F.col("product_id").alias("product_b"), F.col("block").alias("block_b"),
+                     others.alias("block_a"))
+    pairs = (a.join(b, ["site_id", group_col, "block_a", "block_b"])
              .where(F.col("product_a") < F.col("product_b"))
              .groupBy("site_id", "product_a", "product_b")
              .agg(F.count(F.lit(1)).alias("_together"))
@@ -145,10 +150,18 @@ def searched_then_purchased(silver: DataFrame) -> DataFrame:
     first_search = (s.where(not_blank(F.col("search_query")))
                     .groupBy("site_id", "session_id", "search_query")
                     .agg(F.min("occurred_at_utc").alias("_first_search")))
-    last_buy = (s.where((F.col("event_type") == "purchase") & F.col("product_id").isNotNull())
+    last_buy = (s.where(F.col("event_type").isin(*PURCHASE_TYPES) & F.col("product_id").isNotNull())
                 .groupBy("site_id", "session_id", "product_id")
                 .agg(F.max("occurred_at_utc").alias("_last_buy")))
-    return (first_search.join(last_buy, ["site_id", "session_id"])
+    keys = ["site_id", "session_id"]
+    asked = _blocked(first_search, keys, "search_query", "block_q")
+    bought = _blocked(last_buy, keys, "product_id", "block_p")
+    # Both sides are copied to the other's blocks, whose number the other side's sizes tell.
+    of_p = bought.select(*keys, "block_p_n").distinct()
+    of_q = asked.select(*keys, "block_q_n").distinct()
+    asked = asked.join(of_p, keys).withColumn("block_p", F.explode(F.sequence(F.lit(0), F.col("block_p_n") - 1)))
+    bought = bought.join(of_q, keys).withColumn("block_q", F.explode(F.sequence(F.lit(0), F.col("block_q_n") - 1)))
+    return (asked.drop("block_p_n", "block_q_n").join(bought.drop("block_p_n", "block_q_n"), [*keys, "block_p", "block_q"])
             .where(F.col("_first_search") < F.col("_last_buy"))
             .groupBy("site_id", "search_query", "product_id")
             .agg(F.count(F.lit(1)).alias("sessions")))

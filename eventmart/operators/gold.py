@@ -59,18 +59,16 @@ def product_metrics(silver: DataFrame, *, audit: bool = True) -> DataFrame:
 
 
 def per_session(silver: DataFrame) -> DataFrame:
-    """A3: one row per (site, date, session) with duration and bounce flag.
+    """A3: duration in whole seconds and bounce flag of each (site, date, session).
 
-    Sessions are cut at midnight because ``event_date`` is part of the key.
+    A session bounces with one event or one distinct page. Sessions are cut at
+    midnight because ``event_date`` is part of the key.
     """
+    seconds = whole_seconds_between(F.min("occurred_at_utc"), F.max("occurred_at_utc"))
+    bounces = (F.count(F.lit(1)) == 1) | (F.count_distinct("page_url") == 1)
     return (silver.where(F.col("session_id").isNotNull())
             .groupBy("site_id", "event_date", "session_id")
-            .agg(F.min("occurred_at_utc").alias("session_start"),
-                 F.max("occurred_at_utc").alias("session_end"),
-                 F.count(F.lit(1)).alias("events_in_session"),
-                 F.count_distinct("page_url").alias("distinct_pages"))
-            .withColumn("duration_seconds", whole_seconds_between(F.col("session_start"), F.col("session_end")))
-            .withColumn("is_bounce", (F.col("events_in_session") == 1) | (F.col("distinct_pages") == 1)))
+            .agg(seconds.alias("duration_seconds"), bounces.alias("is_bounce")))
 
 
 def session_metrics(silver: DataFrame, *, audit: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.timestamps import event_time
@@ -56,15 +56,6 @@ def quarantine(bronze: DataFrame) -> DataFrame:
             .where(F.col("reasons") != ""))
 
 
-def split_valid(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows and quarantined rows (with reasons) of one raw slice."""
-    rules = _rules(bronze)
-    bad = F.lit(False)
-    for cond in rules.values():
-        bad = bad | cond
-    return bronze.where(~bad), quarantine(bronze)
-
-
 def source_of(path: Column) -> Column:
     """The site partition of a raw file path, '' when the path has none."""
     return F.regexp_extract(path, r"site_id=([^/]+)", 1)
@@ -87,18 +78,16 @@ def ingest_lag(bronze: DataFrame) -> DataFrame:
 
 
 def quarantine_records(bronze: DataFrame) -> DataFrame:
-    """R10 rows for storage: reasons, source file, the raw row as JSON text and its hash."""
+    """R10 rows for storage: reasons, source file, the raw row as JSON text, its hash and its number among equal rows."""
     rules = _rules(bronze)
     reasons = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in rules.items()])
     payload = [c for c in bronze.columns if c not in ("_ingested_at", "event_date", "occurred_at_ts")]
     raw_json = F.to_json(F.struct(*[F.col(c) for c in payload]))
     source = F.col("_source_file") if "_source_file" in bronze.columns else F.lit(None).cast("string")
-    return (bronze.select(
-                F.col("event_id").cast("string").alias("event_id") if "event_id" in bronze.columns
-                else F.lit(None).cast("string").alias("event_id"),
-                reasons.alias("reasons"),
-                source.alias("source_file"),
-                raw_json.alias("raw_record"),
-                F.xxhash64(raw_json).alias("_row_hash"),
-                _ingest_date(bronze).alias("ingest_date"))
-            .where(F.col("reasons") != ""))
+    event_id = F.col("event_id").cast("string") if "event_id" in bronze.columns else F.lit(None).cast("string")
+    rows = bronze.select(event_id.alias("event_id"), reasons.alias("reasons"), source.alias("source_file"),
+                         raw_json.alias("raw_record"), F.sha2(raw_json, 256).alias("_row_hash"),
+                         _ingest_date(bronze).alias("ingest_date")).where(F.col("reasons") != "")
+    # Equal rows of one file are numbered; a file is ingested once, so the numbers are the same in every slice.
+    equal = Window.partitionBy("ingest_date", "_row_hash", "source_file").orderBy("raw_record")
+    return rows.withColumn("_copy", F.row_number().over(equal))

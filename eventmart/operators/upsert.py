@@ -1,16 +1,15 @@
 """Upserts as DataFrame plans.
 
 Parquet tables have no MERGE; both upserts are expressed as
-``classify -> anti-join -> union`` and the table layer (``sources.tables``)
+one window over ``union(target, incoming)`` and the table layer (``sources.tables``)
 overwrites only the partitions the result touches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.operators.dedup import dedup_latest
@@ -46,27 +45,30 @@ def accepted_changes(target: DataFrame, incoming: DataFrame, key: str = "event_i
 
 def upsert_latest(target: DataFrame, incoming: DataFrame, key: str = "event_id",
                   time_col: str = "occurred_at_utc") -> DataFrame:
-    """J1 as a pure result: the target after a latest-wins upsert of ``incoming``."""
-    acc = accepted_changes(target, incoming, key, time_col).drop("_old_dates")
-    cols = target.columns
-    kept = target.join(acc.select(key), key, "left_anti")
-    return kept.select(*cols).unionByName(acc.select(*cols))
-
-
-def _renamed_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Renaming keeps the join unambiguous when both sides come from one lineage.
-    return df.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    """J1 as a pure result: the target after a latest-wins upsert of ``incoming``.
 
-
-def null_safe_match(keys: Sequence[str]):
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    One pass: both sides meet in one exchange by key, and a window decides for
+    each key whether the arriving row is accepted (rules of `accepted_changes`).
+    """
+    cols = target.columns
+    arriving = dedup_latest(incoming, key=key, time_col=time_col).select(*cols)
+    both = (target.withColumn("_new", F.lit(False)).unionByName(arriving.withColumn("_new", F.lit(True))))
+    same = Window.partitionBy(key)
+    stored = F.max(F.when(~F.col("_new"), F.col(time_col))).over(same)
+    copies = F.count_if(~F.col("_new")).over(same)
+    comes = F.max(F.when(F.col("_new"), F.col(time_col))).over(same)
+    accepted = F.coalesce(comes.isNotNull() & ((copies == 0) | stored.isNull() | (comes > stored)
+                                               | ((comes == stored) & (copies > 1))), F.lit(False))
+    return both.withColumn("_take", accepted).where(F.col("_take") == F.col("_new")).select(*cols)
 
 
 def merge_replace(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """J2 as a pure result: matched rows replaced, new rows inserted, none deleted.
 
-    Keys compare NULL-safely (``<=>``), so a NULL dimension value matches itself.
+    One pass: both sides meet in one exchange by the keys, which group
+    NULL-safely, so a NULL dimension value matches itself.
     """
     cols = target.columns
-    kept = target.join(_renamed_keys(incoming, keys), null_safe_match(keys), "left_anti")
-    return kept.select(*cols).unionByName(incoming.select(*cols))
+    both = (target.withColumn("_new", F.lit(0)).unionByName(incoming.select(*cols).withColumn("_new", F.lit(1))))
+    replaced = F.max("_new").over(Window.partitionBy(*keys))
+    return both.withColumn("_any", replaced).where(F.col("_new") == F.col("_any")).select(*cols)

@@ -1 +1 @@
-"""Wiring: jobs over catalog tables, maintenance, and the registered queries."""
+"""Wiring: jobs over catalog tables and the registered queries."""

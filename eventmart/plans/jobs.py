@@ -11,7 +11,6 @@ import argparse
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ from eventmart.operators.dedup import dedup_latest
 from eventmart.operators.silver import SILVER_COLUMNS, incremental_slice, normalize_silver_events
 from eventmart.operators.upsert import accepted_changes, merge_replace
 from eventmart.session import configure
-from eventmart.sources.tables import (create_databases, create_table, distinct_dates, drop_partitions, materialize,
+from eventmart.sources.tables import (as_dates, create_databases, create_table, distinct_dates, drop_partitions, materialize,
                                       overwrite_partitions, read_dates, table_exists)
 
 
@@ -32,8 +31,7 @@ def silver_incoming(spark: SparkSession, cfg: MartConfig, *, since_ingested_at:
     return normalize_silver_events(sliced, carry=("_ingested_at",))
 
 
-def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame, *,
-                       lookback_days: int | None = None) -> dict:
+def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> dict:
     """J1 at table level (latest occurred_at_utc wins, ties keep the stored row).
 
     1. dedup the batch; 2. classify it against the stored (event_id,
@@ -48,13 +46,6 @@ def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame, *,
         create_table(dedup_latest(incoming).select(*SILVER_COLUMNS), fqn)
         return {"created": True}
     target = spark.read.table(fqn)
-    if lookback_days is not None:
-        # Callers who know corrections are recent bound the classify scan to the
-        # partitions from (earliest incoming day - lookback) on.
-        first = incoming.agg(F.min("event_date")).first()[0]
-        if first is None:
-            return {"created": False, "accepted": 0, "dates": []}
-        target = target.where(F.col("event_date") >= F.lit(first - timedelta(days=lookback_days)))
     # The deduplicated batch is read twice (its keys, then the classify join): checkpoint it once.
     batch = materialize(dedup_latest(incoming))
     accepted = materialize(accepted_changes(target.select("event_id", "occurred_at_utc", "event_date"), batch,
@@ -69,7 +60,7 @@ def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame, *,
     rebuilt = materialize(stored.join(rows.select("event_id"), "event_id", "left_anti")
                           .select(*SILVER_COLUMNS).unionByName(rows))
     overwrite_partitions(spark, rebuilt, fqn)
-    emptied = sorted(set(touched) - set(distinct_dates(rebuilt)))
+    emptied = sorted(set(touched) - set(distinct_dates(rebuilt)) - {None})
     drop_partitions(spark, fqn, emptied)
     spark.catalog.refreshTable(fqn)
     return {"created": False, "accepted": rows.count(), "dates": touched, "dropped": emptied}
@@ -121,7 +112,7 @@ def upsert_gold(spark: SparkSession, fqn: str, incoming: DataFrame, keys: Sequen
     return days
 
 
-QUARANTINE_KEYS = ["ingest_date", "_row_hash"]
+QUARANTINE_KEYS = ["ingest_date", "_row_hash", "source_file", "_copy"]
 
 
 def run_quarantine(spark: SparkSession, cfg: MartConfig | None = None, *,
@@ -130,8 +121,9 @@ def run_quarantine(spark: SparkSession, cfg: MartConfig | None = None, *,
     """R10 as a job: bronze rows the canonical layer rejects, with their reasons,
     merged into ``<bronze_db>.quarantine`` (partitioned by ingest day).
 
-    Rows are keyed by a hash of the whole raw row, so overlapping slices and
-    reruns do not duplicate them.
+    Rows are keyed by a SHA-256 of the whole raw row, its file and its number
+    among equal rows of the file, so overlapping slices and reruns neither
+    duplicate nor drop them.
     """
     cfg = cfg or MartConfig.from_env()
     bronze = spark.read.table(cfg.bronze_fqn)
@@ -152,21 +144,16 @@ def run_gold(spark: SparkSession, name: str, cfg: MartConfig | None = None, *,
 
 def task_gold_all(spark: SparkSession, cfg: MartConfig | None = None, *,
                   for_event_dates: Sequence | None = None, mode: str = "merge") -> dict:
-    """ST7: the five gold tables from one scan of the silver slice.
+    """ST7: the five gold tables, each from its own scan of the silver days.
 
-    The slice is persisted (memory, spilling to disk) for the five builders; a
-    lost block is recomputed from the table, so executor loss is harmless.
+    Each scan reads only the columns and partitions that its metrics need; nothing is held on the executors.
     """
     cfg = cfg or MartConfig.from_env()
-    src = read_dates(spark, cfg.silver_fqn, for_event_dates).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # Days of the slice, collected once (this also fills the cache).  A day
-        # whose rows all fail one builder's filter is rewritten with its stored
-        # rows unchanged (merge) - harmless.
-        days = distinct_dates(src)
-        return {name: run_gold(spark, name, cfg, silver=src, mode=mode, days=days) for name in gold.BUILDERS}
-    finally:
-        src.unpersist()
+    # A day whose rows all fail one builder's filter is rewritten with its
+    # stored rows unchanged (merge) - harmless.
+    days = as_dates(for_event_dates) if for_event_dates else distinct_dates(spark.read.table(cfg.silver_fqn))
+    return {name: run_gold(spark, name, cfg, for_event_dates=for_event_dates, mode=mode, days=days)
+            for name in gold.BUILDERS}
 
 
 def task_bronze(spark: SparkSession, cfg: MartConfig | None = None, *, trigger_once: bool = True):
@@ -177,19 +164,14 @@ def task_bronze(spark: SparkSession, cfg: MartConfig | None = None, *, trigger_o
 
 def last_hours(hours: int = 24) -> datetime:
     """ST9: ingest watermark for 'the last N hours'."""
-    return datetime.now(timezone.utc).replace(tzinfo=None) - timedelta(hours=hours)
-
-
-def yesterday() -> date:
-    """ST9: the default gold recompute day."""
-    return datetime.now(timezone.utc).date() - timedelta(days=1)
+    return datetime.now(timezone.utc) - timedelta(hours=hours)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     """ST8: silver upsert, then all gold tables."""
     p = argparse.ArgumentParser(prog="eventmart")
     p.add_argument("--since-hours", type=int, default=None, help="only bronze rows ingested in the last N hours")
-    p.add_argument("--dates", nargs="*", default=None, help="gold days to recompute (default: all)")
+    p.add_argument("--dates", nargs="*", default=None, help="gold days to recompute (default: the days that the upsert touched)")
     p.add_argument("--bronze", action="store_true", help="drain new raw files into bronze first")
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
@@ -199,9 +181,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.bronze:
         task_bronze(spark, cfg, trigger_once=True)
     since = last_hours(args.since_hours) if args.since_hours else None
-    run_silver_upsert(spark, cfg, since_ingested_at=since)
+    done = run_silver_upsert(spark, cfg, since_ingested_at=since)
     run_quarantine(spark, cfg, since_ingested_at=since)
-    task_gold_all(spark, cfg, for_event_dates=args.dates)
+    if args.dates or done["created"] or done["dates"]:
+        task_gold_all(spark, cfg, for_event_dates=args.dates or done.get("dates"))
 
 
 if __name__ == "__main__":

@@ -143,7 +143,7 @@ pairs AS (
 
 def _ctr_sql(window_minutes: int) -> str:
     return f"""s AS (SELECT site_id, session_id, event_date, search_query, occurred_at_utc AS ts FROM silver
-       WHERE session_id IS NOT NULL AND search_query IS NOT NULL AND length(trim(search_query)) > 0),
+       WHERE session_id IS NOT NULL AND event_type IS DISTINCT FROM 'product_view' AND search_query IS NOT NULL AND length(trim(search_query)) > 0),
 nx AS (SELECT s.*, (SELECT min(s2.ts) FROM s s2 WHERE s2.site_id = s.site_id AND s2.session_id = s.session_id
                      AND s2.ts > s.ts) AS next_ts FROM s),
 v AS (SELECT site_id, session_id, occurred_at_utc AS ts FROM silver
@@ -226,7 +226,7 @@ def oracle_sql() -> dict[str, str]:
                  WHERE session_id IS NOT NULL AND search_query IS NOT NULL AND length(trim(search_query)) > 0
                  GROUP BY 1, 2, 3) s
            JOIN (SELECT site_id, session_id, product_id, max(occurred_at_utc) AS t FROM silver
-                 WHERE session_id IS NOT NULL AND event_type = 'purchase' AND product_id IS NOT NULL
+                 WHERE session_id IS NOT NULL AND event_type IN ('purchase', 'order_complete', 'checkout_complete') AND product_id IS NOT NULL
                  GROUP BY 1, 2, 3) p
              ON s.site_id = p.site_id AND s.session_id = p.session_id AND s.t < p.t
            GROUP BY 1, 2, 3""")
@@ -266,7 +266,6 @@ def oracle_sql() -> dict[str, str]:
                     AS max_lag_seconds
            FROM raw GROUP BY 1, 2""")
     q["silver_merge_table"] = q["silver_upsert"]
-    q["compaction"] = q["silver_normalize"]
     q["gold_refresh"] = q["gold_session"]
     typed = (f"CASE WHEN _id % 5 = 0 THEN upper({_TYPE_SQL}) ELSE {_TYPE_SQL} END")
     q["bronze_ingest"] = with_raw(

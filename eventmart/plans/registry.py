@@ -131,6 +131,5 @@ def queries() -> dict[str, Query]:
         "utm_from_url": utm_from_url,
         "bronze_ingest": table_flows.bronze_ingest,
         "silver_merge_table": table_flows.silver_merge_table,
-        "compaction": table_flows.compaction,
         "gold_refresh": table_flows.gold_refresh,
     }

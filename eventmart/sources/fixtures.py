@@ -72,20 +72,13 @@ def _json_object_sql(fields: dict[str, str]) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
+    """Deal the source rows to all cores, at every size alike.
 
-    The driver's files are single row groups (one task); a large table has far
-    more splits than cores and is left alone, so no shuffle is added at scale.
-    After a split, ``observe`` records the rows read and keeps later filters
-    on derived columns above the exchange (the optimizer does not push
-    predicates through it), so the per-row derivation runs on all cores.
+    The driver's files are single row groups (one task). ``observe`` records
+    the rows read and keeps later filters on derived columns above the
+    exchange, so the per-row derivation runs on all cores.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # no RDD access (e.g. a Connect session): keep the plan as is
-        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores).observe(f"rows_read_{uuid.uuid4().hex[:10]}", F.count(F.lit(1)).alias("rows"))
 
 

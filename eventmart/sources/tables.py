@@ -48,21 +48,24 @@ def create_table(df: DataFrame, fqn: str, partition_cols: Sequence[str] = ("even
     writer.saveAsTable(fqn)
 
 
-def as_dates(values: Iterable) -> list[date]:
-    return [v if isinstance(v, date) else date.fromisoformat(str(v)) for v in values]
+def as_dates(values: Iterable) -> list[date | None]:
+    return [v if v is None or isinstance(v, date) else date.fromisoformat(str(v)) for v in values]
 
 
 def read_dates(spark: SparkSession, fqn: str, dates: Iterable | None = None,
                date_col: str = "event_date") -> DataFrame:
-    """A table, optionally limited to ``date_col IN dates`` (partition pruning)."""
+    """A table, optionally limited to ``date_col IN dates`` (partition pruning); None is the NULL day."""
     df = spark.read.table(fqn)
     ds = as_dates(dates or [])
-    return df.where(F.col(date_col).isin(ds)) if ds else df
+    if not ds:
+        return df
+    wanted = F.col(date_col).isin([d for d in ds if d is not None])
+    return df.where(wanted | F.col(date_col).isNull() if None in ds else wanted)
 
 
-def distinct_dates(df: DataFrame, col: str = "event_date") -> list[date]:
-    """Distinct partition values; one row per day, so safe to bring to the driver."""
-    return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+def distinct_dates(df: DataFrame, col: str = "event_date") -> list[date | None]:
+    """Distinct partition values, the NULL day last; one row per day, so safe to bring to the driver."""
+    return sorted((r[0] for r in df.select(col).distinct().collect()), key=lambda d: (d is None, d or date.min))
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, rebalance: bool = True,
@@ -80,7 +83,7 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, rebala
 
 
 def drop_partitions(spark: SparkSession, fqn: str, dates: Iterable) -> None:
-    for d in as_dates(dates):
+    for d in filter(None, as_dates(dates)):
         spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION (event_date = DATE '{d.isoformat()}')")
 
 

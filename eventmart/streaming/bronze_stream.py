@@ -20,6 +20,8 @@ from eventmart.sources.tables import add_missing_columns, table_exists
 from eventmart.streaming import schema_store
 
 CONTINUOUS_TRIGGER = "1 minute"
+# The file source skips files older than this behind the newest one; every raw file counts, however late it comes.
+ANY_AGE = "36500d"
 
 
 def resolve_state_dir(spark: SparkSession, cfg: MartConfig) -> str:
@@ -33,6 +35,7 @@ def build_bronze_stream(spark: SparkSession, cfg: MartConfig, schema: T.StructTy
     fields of the same name.  Unparseable lines keep their text in
     ``_corrupt_record``."""
     reader = (spark.readStream.schema(schema_store.with_corrupt_column(schema))
+              .option("maxFileAge", ANY_AGE)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", schema_store.CORRUPT_COLUMN))
     if max_files_per_trigger:

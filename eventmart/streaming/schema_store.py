@@ -11,7 +11,6 @@ value does not fit the saved type land in ``_corrupt_record``.
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -88,19 +87,16 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
 
 
-def infer_schema(spark: SparkSession, path: str, *, sampling_ratio: float = 1.0,
-                 modified_after: str | None = None) -> T.StructType | None:
-    """Batch inference over the raw files (optionally only files newer than a mark).
+def infer_schema(spark: SparkSession, path: str, *, sampling_ratio: float = 1.0) -> T.StructType | None:
+    """Batch inference over the raw files.
 
     Timestamps are not inferred (kept as text; parsing happens downstream) so
     a malformed time never changes a column type.
     """
     reader = spark.read.option("samplingRatio", sampling_ratio).option("inferTimestamp", "false")
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
     try:
         df = reader.json(path)
-    except Exception as exc:  # no (new) files yet
+    except Exception as exc:  # no files yet
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
@@ -108,29 +104,19 @@ def infer_schema(spark: SparkSession, path: str, *, sampling_ratio: float = 1.0,
                          for f in df.schema.fields if f.name != CORRUPT_COLUMN])
 
 
-# Files modified this long before the previous inference are looked at again,
-# so a file still being written then is not skipped.
-INFERENCE_OVERLAP = timedelta(minutes=10)
-
-
 def evolve(spark: SparkSession, store_path: str, raw_path: str, *, sampling_ratio: float = 1.0) -> T.StructType | None:
-    """Saved schema widened by what the raw files added since the last run; saved back.
+    """Saved schema widened by what the raw files hold; saved back.
 
-    Only files modified after the previous inference mark (minus an overlap)
-    are inferred, so the cost follows the new data, not the whole history.
+    File dates are not used: a file copied in late with an old date counts like any other. ``sampling_ratio``
+    bounds the cost of inference, which reads the raw files; ``cleanSource`` on the landing folder bounds their number.
     Limitation: a field first appearing in a file that lands between this
     inference and the stream's read is dropped for that file.
     """
-    mark_file = f"{store_path.rstrip('/')}/inferred_until.txt"
     saved = load_schema(spark, store_path)
-    mark = _read_text(spark, mark_file) if saved is not None else None
-    started = datetime.now(timezone.utc).replace(tzinfo=None) - INFERENCE_OVERLAP
-    seen = infer_schema(spark, raw_path, sampling_ratio=sampling_ratio, modified_after=mark)
+    seen = infer_schema(spark, raw_path, sampling_ratio=sampling_ratio)
     if seen is not None:
         merged = merge_schemas(saved, seen)
         if saved is None or merged.json() != saved.json():
             save_schema(spark, store_path, merged)
         saved = merged
-    if saved is not None:
-        _write_text(spark, mark_file, started.strftime("%Y-%m-%dT%H:%M:%S"))
     return saved

@@ -5,33 +5,11 @@ from pyspark.sql import functions as F
 
 from eventmart.config import MartConfig
 from eventmart.operators.silver import SILVER_DATA_COLUMNS, normalize_silver_events
-from eventmart.plans import jobs, maintenance
 from eventmart.sources import fixtures
 from eventmart.sources.tables import add_missing_columns, create_databases
 from tests.conftest import SF_SMALL
 
 
-def test_compaction_keeps_rows_and_clusters_files(spark, workdir):
-    s = uuid.uuid4().hex[:8]
-    cfg = MartConfig(bronze_db=f"b{s}", silver_db=f"s{s}", gold_db=f"g{s}")
-    create_databases(spark, cfg, location_root=workdir)
-    jobs.upsert_silver_rows(spark, cfg.silver_fqn,
-                            normalize_silver_events(fixtures.bronze_like(spark, SF_SMALL), carry=("_ingested_at",)))
-    before = Counter(tuple(r) for r in spark.read.table(cfg.silver_fqn).select(*SILVER_DATA_COLUMNS).collect())
-    days = maintenance.compact_partitions(spark, cfg.silver_fqn)
-    table = spark.read.table(cfg.silver_fqn)
-    after = Counter(tuple(r) for r in table.select(*SILVER_DATA_COLUMNS).collect())
-    assert before == after and len(days) == 30
-    files = table.select("event_date", F.input_file_name().alias("f")).distinct().groupBy("event_date").count()
-    assert files.where("count > 1").count() == 0
-    # inside a file rows are ordered by the clustering keys
-    rows = table.select(F.input_file_name().alias("f"), "site_id", "event_type").collect()
-    by_file = {}
-    for r in rows:
-        by_file.setdefault(r["f"], []).append((r["site_id"], r["event_type"]))
-    assert all(v == sorted(v) for v in by_file.values())
-
-
 def test_add_missing_columns_is_additive(spark, workdir):
     s = uuid.uuid4().hex[:8]
     cfg = MartConfig(bronze_db=f"b{s}", silver_db=f"s{s}", gold_db=f"g{s}")

@@ -110,4 +110,3 @@ def test_incremental_slice_is_strict_and_optional(spark):
     assert incremental_slice(df, since_received_at=dt.datetime(2026, 1, 2)).count() == 1
     assert incremental_slice(df.drop("received_at"), since_received_at=dt.datetime(2030, 1, 1)).count() == 2
     assert incremental_slice(df).count() == 2
-    assert F is not None

@@ -101,10 +101,21 @@ def test_accepted_changes_heals_duplicate_copies(spark):
     assert got == {"a": [dt.date(2026, 1, 1), dt.date(2026, 1, 2)]}
 
 
-def test_table_upsert_with_lookback(spark, workdir):
+def test_correction_of_an_old_event_replaces_it(spark, workdir):
     cfg = _cfg(spark, workdir)
     fqn = cfg.silver_fqn
     jobs.upsert_silver_rows(spark, fqn, raw(spark, [("a", "2026-01-01T10:00:00Z", "s", "v1", T0),
                                                     ("b", "2026-01-05T10:00:00Z", "s", "b1", T0)]))
-    jobs.upsert_silver_rows(spark, fqn, raw(spark, [("b", "2026-01-06T10:00:00Z", "s", "b2", T0)]), lookback_days=2)
-    assert _state(spark, fqn) == {"a": ("v1", dt.date(2026, 1, 1)), "b": ("b2", dt.date(2026, 1, 6))}
+    jobs.upsert_silver_rows(spark, fqn, raw(spark, [("a", "2026-03-06T10:00:00Z", "s", "a2", T0)]))
+    assert _state(spark, fqn) == {"a": ("a2", dt.date(2026, 3, 6)), "b": ("b1", dt.date(2026, 1, 5))}
+
+
+def test_null_days_are_merged_like_others(spark, workdir):
+    cfg = _cfg(spark, workdir)
+    fqn = cfg.gold_fqn("t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int, event_date date")
+    day = dt.date(2026, 1, 1)
+    jobs.upsert_gold(spark, fqn, rows(("a", 1, None), ("b", 1, None), ("c", 1, day)), ["k", "event_date"])
+    assert jobs.upsert_gold(spark, fqn, rows(("b", 2, None), ("d", 2, None)), ["k", "event_date"]) == [None]
+    got = {(r["k"], r["v"], r["event_date"]) for r in spark.read.table(fqn).collect()}
+    assert got == {("a", 1, None), ("b", 2, None), ("d", 2, None), ("c", 1, day)}
