@@ -8,7 +8,7 @@ polls on a processing-time trigger.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,25 +22,58 @@ from eventmart.streaming import schema_store
 CONTINUOUS_TRIGGER = "1 minute"
 # The file source skips files older than this behind the newest one; every raw file counts, however late it comes.
 ANY_AGE = "36500d"
+RESCUED_COLUMN = "_rescued"
 
 
 def resolve_state_dir(spark: SparkSession, cfg: MartConfig) -> str:
     return cfg.state_dir or f"{state_root(spark).rstrip('/')}/eventmart-state"
 
 
+def _unknown_fields(text: Column, fields: T.StructType, known: list[str]) -> Column:
+    """Top-level names of a JSON object that ``fields`` does not hold in full (itself, or a key within a struct)."""
+    names = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+    found = [F.array_except(names, F.array(*[F.lit(n) for n in known]))]
+    for f in fields.fields:
+        if isinstance(f.dataType, T.StructType):
+            inner = F.get_json_object(text, f"$['{f.name}']")
+            more = _unknown_fields(inner, f.dataType, f.dataType.fieldNames())
+            found.append(F.when(F.size(more) > 0, F.array(F.lit(f.name))).otherwise(F.array().cast("array<string>")))
+    return found[0] if len(found) == 1 else F.concat(*found)
+
+
+def parse_lines(lines: DataFrame, payload: T.StructType, path_columns: list[str]) -> DataFrame:
+    """JSON lines (``value`` and path columns) -> payload and path columns, ``_corrupt_record`` and ``_rescued``.
+
+    ``_rescued`` keeps, as JSON text, every field of a line that the schema does not hold, so a field first seen
+    while a stream runs, or a new key within a known object, is never lost (keys within arrays of objects are not
+    looked at; the array's elements keep the keys that the schema knows).
+    """
+    schema = schema_store.with_corrupt_column(payload)
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schema_store.CORRUPT_COLUMN})
+    unknown = _unknown_fields(F.col("value"), payload, [*payload.fieldNames(), *path_columns])
+    fields = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+    rescued = F.when(F.size("_once.unknown") > 0,
+                     F.to_json(F.map_filter(fields, lambda k, _: F.array_contains("_once.unknown", k))))
+    # The generator keeps the optimizer from parsing the line once for every field that is read from it.
+    once = F.explode(F.array(F.struct(parsed.alias("parsed"), unknown.alias("unknown")))).alias("_once")
+    return (lines.where(F.trim("value") != "").select("value", *path_columns, once)
+            .select("_once.parsed.*", *path_columns, rescued.alias(RESCUED_COLUMN)))
+
+
 def build_bronze_stream(spark: SparkSession, cfg: MartConfig, schema: T.StructType, *,
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of raw JSON with a fixed schema; Hive-style path
+    """Streaming read of raw JSON lines with a fixed schema; Hive-style path
     folders (``site_id=…/date=…/hour=…``) become columns and win over payload
     fields of the same name.  Unparseable lines keep their text in
-    ``_corrupt_record``."""
-    reader = (spark.readStream.schema(schema_store.with_corrupt_column(schema))
-              .option("maxFileAge", ANY_AGE)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", schema_store.CORRUPT_COLUMN))
+    ``_corrupt_record``, fields beyond the schema in ``_rescued``."""
+    found = set(spark.read.text(cfg.raw_events_path).columns) - {"value"}
+    in_path = [f for f in schema.fields if f.name in found]
+    payload = T.StructType([f for f in schema.fields if f.name not in found])
+    reader = (spark.readStream.schema(T.StructType([T.StructField("value", T.StringType()), *in_path]))
+              .option("maxFileAge", ANY_AGE))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(cfg.raw_events_path)
+    return parse_lines(reader.text(cfg.raw_events_path), payload, [f.name for f in in_path])
 
 
 BATCH_METRICS = "bronze_batch"

@@ -2,8 +2,8 @@
 
 The schema lives as JSON text in the shared state folder and is read and
 written through the Hadoop FileSystem API, so any cluster file system works.
-Evolution is additive: fields seen for the first time are appended (also
-inside structs); a field keeps its first saved type forever, because Parquet
+Evolution is additive: top-level fields seen for the first time are appended;
+a field keeps its first saved type forever, because Parquet
 files with two types for one column cannot be read together.  Rows whose
 value does not fit the saved type land in ``_corrupt_record``.
 """
@@ -65,20 +65,15 @@ def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def merge_schemas(saved: T.StructType | None, seen: T.StructType) -> T.StructType:
-    """Saved fields first with their saved types, then new fields; structs merge recursively."""
+    """Saved fields first with their saved types, then new top-level fields.
+
+    A saved struct is not widened: catalog tables cannot add nested fields, so
+    the stream keeps new nested keys in ``_rescued`` instead.
+    """
     if saved is None:
         return seen
-    by_name = {f.name: f for f in seen.fields}
-    fields = []
-    for f in saved.fields:
-        new = by_name.get(f.name)
-        if new is not None and isinstance(f.dataType, T.StructType) and isinstance(new.dataType, T.StructType):
-            fields.append(T.StructField(f.name, merge_schemas(f.dataType, new.dataType), True))
-        else:
-            fields.append(f)
     known = {f.name for f in saved.fields}
-    fields.extend(f for f in seen.fields if f.name not in known)
-    return T.StructType(fields)
+    return T.StructType([*saved.fields, *(f for f in seen.fields if f.name not in known)])
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
@@ -109,8 +104,8 @@ def evolve(spark: SparkSession, store_path: str, raw_path: str, *, sampling_rati
 
     File dates are not used: a file copied in late with an old date counts like any other. ``sampling_ratio``
     bounds the cost of inference, which reads the raw files; ``cleanSource`` on the landing folder bounds their number.
-    Limitation: a field first appearing in a file that lands between this
-    inference and the stream's read is dropped for that file.
+    A field that first appears after this inference stays in the stream's
+    ``_rescued`` column and becomes a column of its own at the next start.
     """
     saved = load_schema(spark, store_path)
     seen = infer_schema(spark, raw_path, sampling_ratio=sampling_ratio)

@@ -140,3 +140,25 @@ def test_rules_do_not_overlap(spark):
     df = spark.createDataFrame([("e", None, "s"), ("f", "soon", "s")], "event_id string, occurred_at string, site_id string")
     got = {r["event_id"]: r["reasons"] for r in quality.quarantine(df).collect()}
     assert got == {"e": "missing_occurred_at", "f": "unparseable_occurred_at"}
+
+
+def test_no_field_is_lost(spark, workdir):
+    cfg = config(spark, workdir)
+    put(workdir, "a.json", [event(1, device={"os": "x"}, size=1)])
+    query = start_bronze_stream(spark, cfg, trigger_once=False, await_termination=False)
+    try:
+        query.processAllAvailable()
+        put(workdir, "b.json", [event(2, device={"os": "y", "ver": 7}, fresh=[1, {"a": 2}]), event(3, size="wide")])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    put(workdir, "c.json", [event(4, fresh=[3], device={"ver": 8})])
+    start_bronze_stream(spark, cfg)
+    rows = {r["event_id"]: r for r in spark.read.table(cfg.bronze_fqn).collect() if r["event_id"]}
+    kept = {k: r["_rescued"] and json.loads(r["_rescued"]) for k, r in rows.items()}
+    assert kept["e1"] is None and {k: json.loads(v) for k, v in kept["e2"].items()} == {
+        "device": {"os": "y", "ver": 7}, "fresh": [1, {"a": 2}]}
+    assert rows["e2"]["device"]["os"] == "y" and json.loads(kept["e4"]["device"]) == {"ver": 8}
+    assert rows["e4"]["fresh"] is not None
+    corrupt = [r["_corrupt_record"] for r in spark.read.table(cfg.bronze_fqn).where("_corrupt_record is not null").collect()]
+    assert len(corrupt) == 1 and json.loads(corrupt[0])["size"] == "wide"
