@@ -21,6 +21,8 @@ def _env(name: str, default: str) -> str:
 
 @dataclass(frozen=True)
 class MartConfig:
+    # Catalog of all tables; empty means the session's current one.
+    catalog: str = ""
     bronze_db: str = "bronze"
     silver_db: str = "silver"
     gold_db: str = "gold"
@@ -31,20 +33,23 @@ class MartConfig:
     # Empty means: use the session's spark.checkpoint.dir (see session.state_root).
     state_dir: str = ""
 
+    def namespace(self, db: str) -> str:
+        return f"{self.catalog}.{db}" if self.catalog else db
+
     @property
     def bronze_fqn(self) -> str:
-        return f"{self.bronze_db}.{self.bronze_table}"
+        return f"{self.namespace(self.bronze_db)}.{self.bronze_table}"
 
     @property
     def silver_fqn(self) -> str:
-        return f"{self.silver_db}.{self.silver_table}"
+        return f"{self.namespace(self.silver_db)}.{self.silver_table}"
 
     @property
     def quarantine_fqn(self) -> str:
-        return f"{self.bronze_db}.quarantine"
+        return f"{self.namespace(self.bronze_db)}.quarantine"
 
     def gold_fqn(self, name: str) -> str:
-        return f"{self.gold_db}.{name}"
+        return f"{self.namespace(self.gold_db)}.{name}"
 
     def schema_store_path(self, state_dir: str) -> str:
         return f"{state_dir.rstrip('/')}/schemas/{self.bronze_table}"
@@ -56,6 +61,7 @@ class MartConfig:
     def from_env(cls) -> "MartConfig":
         d = cls()
         return cls(
+            catalog=_env("CATALOG", d.catalog),
             bronze_db=_env("BRONZE_DB", d.bronze_db),
             silver_db=_env("SILVER_DB", d.silver_db),
             gold_db=_env("GOLD_DB", d.gold_db),

@@ -25,7 +25,7 @@ from eventmart.sources.tables import (as_dates, create_databases, create_table,
 
 
 def silver_incoming(spark: SparkSession, cfg: MartConfig, *, since_ingested_at: datetime | None = None,
-                    since_received_at: datetime | None = None) -> DataFrame:
+                    since_received_at: datetime | str | None = None) -> DataFrame:
     bronze = spark.read.table(cfg.bronze_fqn)
     sliced = incremental_slice(bronze, since_ingested_at=since_ingested_at, since_received_at=since_received_at)
     return normalize_silver_events(sliced, carry=("_ingested_at",))
@@ -38,8 +38,8 @@ def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> di
     occurred_at_utc, event_date) - only these three columns of the table are
     read; 3. collect the touched days (new day of each accepted row plus the
     days its older copies live in; one value per day); 4. rebuild those days as
-    stored rows minus replaced ids plus accepted rows; 5. overwrite just those
-    partitions; 6. drop partitions the rebuild left empty.
+    stored rows minus replaced ids plus accepted rows and overwrite just those
+    partitions, in one job; 5. drop partitions the rebuild left empty.
     """
     configure(spark)
     if not table_exists(spark, fqn):
@@ -57,10 +57,12 @@ def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> di
         return {"created": False, "accepted": 0, "dates": []}
     rows = accepted.select(*SILVER_COLUMNS)
     stored = read_dates(spark, fqn, touched)
-    rebuilt = materialize(stored.join(rows.select("event_id"), "event_id", "left_anti")
-                          .select(*SILVER_COLUMNS).unionByName(rows))
-    overwrite_partitions(spark, rebuilt, fqn)
-    emptied = sorted(set(touched) - set(distinct_dates(rebuilt)) - {None})
+    stays = stored.join(rows.select("event_id"), "event_id", "left_anti").select(*SILVER_COLUMNS)
+    filled = distinct_dates(stays.select("event_date").unionByName(rows.select("event_date")))  # reads two columns
+    # Dynamic overwrite swaps partitions only when the job commits, so the rows
+    # that stay are read from the partitions being replaced and written once.
+    overwrite_partitions(spark, stays.unionByName(rows), fqn)
+    emptied = sorted(set(touched) - set(filled) - {None})
     drop_partitions(spark, fqn, emptied)
     spark.catalog.refreshTable(fqn)
     return {"created": False, "accepted": rows.count(), "dates": touched, "dropped": emptied}
@@ -68,7 +70,7 @@ def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> di
 
 def run_silver_upsert(spark: SparkSession, cfg: MartConfig | None = None, *,
                       since_ingested_at: datetime | None = None,
-                      since_received_at: datetime | None = None) -> dict:
+                      since_received_at: datetime | str | None = None) -> dict:
     """ST5: bronze slice -> canonical rows -> silver upsert."""
     cfg = cfg or MartConfig.from_env()
     incoming = silver_incoming(spark, cfg, since_ingested_at=since_ingested_at,
@@ -117,7 +119,7 @@ QUARANTINE_KEYS = ["ingest_date", "_row_hash", "source_file", "_copy"]
 
 def run_quarantine(spark: SparkSession, cfg: MartConfig | None = None, *,
                    since_ingested_at: datetime | None = None,
-                   since_received_at: datetime | None = None) -> list[date]:
+                   since_received_at: datetime | str | None = None) -> list[date]:
     """R10 as a job: bronze rows the canonical layer rejects, with their reasons,
     merged into ``<bronze_db>.quarantine`` (partitioned by ingest day).
 
@@ -143,8 +145,9 @@ def run_gold(spark: SparkSession, name: str, cfg: MartConfig | None = None, *,
 
 
 def task_gold_all(spark: SparkSession, cfg: MartConfig | None = None, *,
-                  for_event_dates: Sequence | None = None, mode: str = "merge") -> dict:
-    """ST7: the five gold tables, each from its own scan of the silver days.
+                  for_event_dates: Sequence | None = None, mode: str = "merge",
+                  names: Sequence[str] | None = None) -> dict:
+    """ST7: the five gold tables (or those in ``names``), each from its own scan of the silver days.
 
     Each scan reads only the columns and partitions that its metrics need; nothing is held on the executors.
     """
@@ -153,7 +156,7 @@ def task_gold_all(spark: SparkSession, cfg: MartConfig | None = None, *,
     # stored rows unchanged (merge) - harmless.
     days = as_dates(for_event_dates) if for_event_dates else distinct_dates(spark.read.table(cfg.silver_fqn))
     return {name: run_gold(spark, name, cfg, for_event_dates=for_event_dates, mode=mode, days=days)
-            for name in gold.BUILDERS}
+            for name in names or gold.BUILDERS}
 
 
 def task_bronze(spark: SparkSession, cfg: MartConfig | None = None, *, trigger_once: bool = True):
@@ -167,24 +170,38 @@ def last_hours(hours: int = 24) -> datetime:
     return datetime.now(timezone.utc) - timedelta(hours=hours)
 
 
+TASKS = ("bronze", "silver", "quarantine", "gold")
+
+
 def main(argv: Sequence[str] | None = None) -> None:
-    """ST8: silver upsert, then all gold tables."""
+    """ST8: silver upsert, quarantine, then all gold tables; ``--tasks`` and ``--gold`` run parts of it."""
     p = argparse.ArgumentParser(prog="eventmart")
     p.add_argument("--since-hours", type=int, default=None, help="only bronze rows ingested in the last N hours")
+    p.add_argument("--since-received", default=None, help="only bronze rows received after this time (UTC unless it has an offset)")
     p.add_argument("--dates", nargs="*", default=None, help="gold days to recompute (default: the days that the upsert touched)")
     p.add_argument("--bronze", action="store_true", help="drain new raw files into bronze first")
+    p.add_argument("--tasks", nargs="+", choices=TASKS, default=None, help="run only these tasks (gold alone: --dates or all days)")
+    p.add_argument("--gold", nargs="+", choices=tuple(gold.BUILDERS), default=None, help="only these gold tables")
     args = p.parse_args(argv)
+    tasks = set(args.tasks or TASKS[1:]) | ({"bronze"} if args.bronze else set())
     spark = SparkSession.builder.getOrCreate()
     configure(spark)
     cfg = MartConfig.from_env()
     create_databases(spark, cfg)                                  # S11, IF NOT EXISTS
-    if args.bronze:
+    if "bronze" in tasks:
         task_bronze(spark, cfg, trigger_once=True)
-    since = last_hours(args.since_hours) if args.since_hours else None
-    done = run_silver_upsert(spark, cfg, since_ingested_at=since)
-    run_quarantine(spark, cfg, since_ingested_at=since)
-    if args.dates or done["created"] or done["dates"]:
-        task_gold_all(spark, cfg, for_event_dates=args.dates or done.get("dates"))
+    marks = {"since_ingested_at": last_hours(args.since_hours) if args.since_hours else None,
+             "since_received_at": args.since_received}
+    dates = args.dates
+    changed = True
+    if "silver" in tasks:
+        done = run_silver_upsert(spark, cfg, **marks)
+        dates = dates or done.get("dates")
+        changed = bool(done["created"] or dates)
+    if "quarantine" in tasks:
+        run_quarantine(spark, cfg, **marks)
+    if "gold" in tasks and changed:
+        task_gold_all(spark, cfg, for_event_dates=dates, names=args.gold)
 
 
 if __name__ == "__main__":

@@ -153,6 +153,36 @@ f AS (SELECT nx.*, EXISTS (SELECT 1 FROM v WHERE v.site_id = nx.site_id AND v.se
                             AND (nx.next_ts IS NULL OR v.ts < nx.next_ts)) AS clicked FROM nx)"""
 
 
+# Third key and measures of each gold table.
+_GOLD = {
+    "search_metrics": ("search_query", ("search_count", "zero_result_searches", "distinct_sessions")),
+    "product_metrics": ("product_id", ("product_views", "add_to_cart_events", "purchase_events", "add_to_cart_rate",
+                                       "purchase_conversion_rate")),
+    "session_metrics": (None, ("sessions", "avg_duration_seconds", "bounce_sessions", "bounce_rate")),
+    "page_metrics": ("page_url", ("page_views", "distinct_sessions", "distinct_users")),
+    "funnel_metrics": ("funnel_step", ("event_count", "distinct_sessions")),
+}
+
+
+def _refresh_sql() -> str:
+    """Metrics of the base events, replaced by key where two days were recomputed after the corrections."""
+    bodies = {"search_metrics": SEARCH_METRICS.split("(", 1)[1].rsplit(")", 1)[0], "page_metrics": PAGE_METRICS,
+              "funnel_metrics": FUNNEL_METRICS, "product_metrics": product_metrics_sql("silver"),
+              "session_metrics": session_metrics_sql("silver")}
+    old = "(SELECT * FROM silver WHERE _copy = 0) s"
+    new = "(SELECT * FROM upserted WHERE event_date IN (DATE '2024-01-03', DATE '2024-01-17')) s"
+    ctes, parts = [UPSERTED], []
+    for name, (key, measures) in _GOLD.items():
+        ctes += [f"{name}_old AS ({bodies[name].replace('FROM silver', f'FROM {old}')})",
+                 f"{name}_new AS ({bodies[name].replace('FROM silver', f'FROM {new}')})"]
+        same = f"AND n.{key} IS NOT DISTINCT FROM o.{key}" if key else ""
+        ctes.append(f"""{name}_all AS (SELECT * FROM {name}_new UNION ALL SELECT * FROM {name}_old o WHERE NOT EXISTS (
+          SELECT 1 FROM {name}_new n WHERE n.site_id = o.site_id AND n.event_date = o.event_date {same}))""")
+        parts += [f"SELECT '{name}' AS metric_table, site_id, event_date, {key or 'CAST(NULL AS VARCHAR)'} AS metric_key, "
+                  f"'{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM {name}_all" for m in measures]
+    return with_silver("\nUNION ALL ".join(parts), copies=True, extra=",\n".join(ctes))
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["silver_normalize"] = with_silver(f"SELECT {SILVER_OUT} FROM silver")
@@ -266,13 +296,49 @@ def oracle_sql() -> dict[str, str]:
                     AS max_lag_seconds
            FROM raw GROUP BY 1, 2""")
     q["silver_merge_table"] = q["silver_upsert"]
-    q["gold_refresh"] = q["gold_session"]
+    q["gold_refresh"] = _refresh_sql()
+    for name, n in (("bi_top_searches", 5), ("bi_top_products", 10), ("bi_silver_sample", 20)):
+        q[f"{name}_{n}"] = f"SELECT * FROM ({q[name]}) LIMIT {n}"
+    q["silver_marks"] = q["silver_incremental"]
+    q["silver_sdk_names"] = with_silver(
+        f"SELECT {SILVER_OUT}, 'user_agent-' || site_id AS user_agent, 'device_type-' || site_id AS device_type, "
+        "'browser_language-' || site_id AS browser_language, 'sdk_version-' || site_id AS sdk_version FROM silver")
+    q["gold_product_spellings"] = q["gold_product"]
+    q["silver_utm_fallback"] = with_silver(
+        "SELECT event_id, coalesce(utm_source, CASE WHEN page_url <> '' THEN 'a|b' END) AS utm_source, "
+        "coalesce(utm_medium, CASE WHEN page_url <> '' THEN 'm ' || site_id END) AS utm_medium, utm_campaign FROM silver")
+    q["dq_faults"] = with_raw(
+        """SELECT ingest_date, count(*) AS rows, count(*) FILTER (WHERE no_id) AS missing_event_id,
+                  count(*) FILTER (WHERE no_time) AS missing_occurred_at,
+                  count(*) FILTER (WHERE bad_time) AS unparseable_occurred_at,
+                  count(*) FILTER (WHERE no_site) AS missing_site_id, count(*) FILTER (WHERE corrupt) AS corrupt_record,
+                  count(*) FILTER (WHERE no_id OR no_time OR bad_time OR no_site OR corrupt) AS invalid_rows
+           FROM (SELECT CAST(_ingested_at AS DATE) AS ingest_date, event_id IS NULL AS no_id, _et = 'error' AS no_time,
+                        _et <> 'error' AND event_time IS NULL AS bad_time, site_id IS NULL AS no_site,
+                        _et = 'signup' AS corrupt FROM raw) GROUP BY 1""")
+    q["bronze_evolve"] = with_raw(
+        """SELECT CAST(_id AS VARCHAR) AS event_id,
+                  CASE _et WHEN 'view' THEN 'first' WHEN 'click' THEN 'second' ELSE 'third' END AS "drop",
+                  CASE WHEN _et IN ('view', 'click') THEN CAST(_k AS BIGINT) END AS size,
+                  CASE WHEN _et = 'click' THEN 'c' || CAST(_k % 2 AS VARCHAR) END AS channel,
+                  CASE WHEN _et IN ('view', 'click') THEN 'o' || CAST(_k % 3 AS VARCHAR) END AS os,
+                  CASE WHEN _et = 'click' THEN CAST(_k % 5 AS VARCHAR) END AS rescued_ver,
+                  CASE WHEN _et NOT IN ('view', 'click') THEN 'wide' END AS misfit_size
+           FROM raw""")
+    q["quarantine_table"] = with_raw(
+        """SELECT event_id, CASE _k WHEN 97 THEN 'missing_event_id' WHEN 98 THEN 'missing_site_id'
+                                 ELSE 'unparseable_occurred_at' END AS reasons,
+                  CAST(_ingested_at AS DATE) AS ingest_date, CAST(copy AS INTEGER) AS copy, late
+           FROM raw, (VALUES (1, false), (2, false), (1, true)) c(copy, late)
+           WHERE (_k IN (97, 98, 99) AND copy = 1 AND NOT late) OR (_k = 98 AND copy = 2)
+              OR (_k = 99 AND late AND _ingested_at > TIMESTAMP '2024-01-10 00:00:00')""")
     typed = (f"CASE WHEN _id % 5 = 0 THEN upper({_TYPE_SQL}) ELSE {_TYPE_SQL} END")
     q["bronze_ingest"] = with_raw(
         f"""SELECT event_id, source AS site_id,
                   CASE WHEN _k <> 98 AND _id % 2 = 0 THEN source END AS event_site_id,
                   CASE WHEN _id % 7 = 0 THEN '  ' || {typed} || ' ' ELSE {typed} END AS event_type,
-                  event_time AS occurred_at_ts, CAST(event_time AS DATE) AS event_date
+                  event_time AS occurred_at_ts, CAST(event_time AS DATE) AS event_date,
+                  'site_id=' || source || '/date=' || CAST(CAST(_t0 AS DATE) AS VARCHAR) AS source_folder
            FROM raw""")
     q["utm_from_url"] = r"""SELECT page_id, url,
         nullif(regexp_extract(regexp_replace(url, '#.*$', ''), '[?&]utm_source=([^&]*)', 1), '') AS utm_source,

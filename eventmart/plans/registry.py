@@ -9,6 +9,7 @@ results because they differ on every run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from eventmart.functions.urls import url_query_param
 from eventmart.operators import bi, features, gold, quality
 from eventmart.plans import table_flows
+from eventmart.operators.bronze import rename_sdk_fields
 from eventmart.operators.dedup import dedup_latest
 from eventmart.operators.silver import SILVER_DATA_COLUMNS, incremental_slice, normalize_silver_events
 from eventmart.operators.upsert import merge_replace, upsert_latest
@@ -84,6 +86,68 @@ def gold_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_replace(target, incoming, gold.GOLD_KEYS["product_metrics"])
 
 
+def silver_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9, P10 with datetime marks: one without a zone (UTC), one with an offset; equal to the text marks."""
+    configure(spark)
+    sliced = incremental_slice(bronze_like(spark, sf_dir),
+                               since_ingested_at=datetime.fromisoformat(SINCE_INGESTED),
+                               since_received_at=datetime.fromisoformat("2024-01-10 05:30:00+05:30"))
+    return normalize_silver_events(sliced).select(*SILVER_DATA_COLUMNS)
+
+
+# Raw-layer names of fields that the canonical layer does not have, under SDK names.
+CLIENT_FIELDS = {"userAgent": "user_agent", "deviceType": "device_type", "browserLanguage": "browser_language",
+                 "sdkVersion": "sdk_version"}
+
+
+def silver_sdk_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 with all SDK names, ``pageUrl`` and a map payload: the canonical rows stay the same."""
+    configure(spark)
+    raw = raw_events(spark, sf_dir)
+    raw = raw.withColumn("event_site_id", F.coalesce("event_site_id", "site_id")).drop("site_id")
+    old = {"event_id": "eventId", "event_type": "eventType", "occurred_at": "occurredAt", "received_at": "receivedAt",
+           "session_id": "sessionId", "anonymous_id": "anonymousId", "event_site_id": "siteId", "url": "pageUrl"}
+    sdk = raw.withColumnsRenamed(old).select(
+        "*", *[F.concat(F.lit(f"{dst}-"), F.col("_path_site")).alias(src) for src, dst in CLIENT_FIELDS.items()])
+    sdk = sdk.withColumn("properties", F.from_json("properties", "map<string,string>"))
+    client = tuple(CLIENT_FIELDS.values())
+    return normalize_silver_events(rename_sdk_fields(sdk), carry=client).select(*SILVER_DATA_COLUMNS, *client)
+
+
+def gold_product_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2, C3 with every spelling of cart and purchase events, and a struct payload."""
+    configure(spark)
+    fields = "struct<query:string,search_query:string,product_id:string,category_id:string,zero_results:string,zero_result:string>"
+    raw = raw_events(spark, sf_dir).withColumn("properties", F.from_json("properties", fields))
+    kind = F.trim(F.lower("event_type"))
+    turn = F.pmod(F.xxhash64("event_id", "occurred_at"), F.lit(3)) + 1
+    for types in (gold.ADD_TO_CART_TYPES, gold.PURCHASE_TYPES):
+        spelled = F.element_at(F.array(*[F.lit(t) for t in types]), turn.cast("int"))
+        raw = raw.withColumn("event_type", F.when(kind == types[0], F.concat(F.lit(" "), F.initcap(spelled)))
+                             .otherwise(F.col("event_type")))
+    return gold.product_metrics(normalize_silver_events(raw), audit=False)
+
+
+def silver_utm_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 within the canonical layer: the payload's campaign first, then the URL's."""
+    configure(spark)
+    raw = raw_events(spark, sf_dir)
+    tagged = F.concat(F.rtrim(F.regexp_replace("url", "\t", "")), F.lit("?utm_source=a|b&utm_medium=m%20"), F.col("_path_site"),
+                      F.lit("&utm_campaign=#utm_campaign=x"))
+    raw = raw.withColumn("url", F.when(F.trim("url") != "", tagged))
+    return normalize_silver_events(raw, utm_from_url=True).select("event_id", "utm_source", "utm_medium", "utm_campaign")
+
+
+def dq_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R9 with every rule at work: searches without a time, unreadable lines among the sign-ups."""
+    configure(spark)
+    kind = F.trim(F.lower("event_type"))
+    rows = bronze_like(spark, sf_dir).withColumn(
+        "occurred_at", F.when(kind != "search", F.col("occurred_at"))).withColumn(
+        "_corrupt_record", F.when(kind == "page_view", F.lit("{broken")))
+    return quality.dq_checks(rows)
+
+
 def utm_from_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return pages.select("page_id", "url",
@@ -118,6 +182,14 @@ def queries() -> dict[str, Query]:
         "bi_top_products": lambda s, d: bi.top_products(product(s, d), BI_SITE, BI_DAY),
         "bi_session_quality": lambda s, d: bi.session_quality(session(s, d), QUALITY_SINCE),
         "bi_silver_sample": lambda s, d: bi.silver_sample(silver(s, d), BI_SITE, BI_DAY),
+        "bi_top_searches_5": lambda s, d: bi.top_searches(search(s, d), BI_SITE, BI_DAY, 5),
+        "bi_top_products_10": lambda s, d: bi.top_products(product(s, d), BI_SITE, BI_DAY, 10),
+        "bi_silver_sample_20": lambda s, d: bi.silver_sample(silver(s, d), BI_SITE, BI_DAY, 20),
+        "silver_marks": silver_marks,
+        "silver_sdk_names": silver_sdk_names,
+        "silver_utm_fallback": silver_utm_fallback,
+        "gold_product_spellings": gold_product_spellings,
+        "dq_faults": dq_faults,
         "searches_per_day": lambda s, d: features.searches_per_day(search(s, d)),
         "top_queries": lambda s, d: features.top_queries(search(s, d), 10),
         "query_ctr": lambda s, d: features.query_ctr(silver(s, d), 30),
@@ -130,6 +202,8 @@ def queries() -> dict[str, Query]:
         "ingest_lag": _bronze(quality.ingest_lag),
         "utm_from_url": utm_from_url,
         "bronze_ingest": table_flows.bronze_ingest,
+        "bronze_evolve": table_flows.bronze_evolve,
+        "quarantine_table": table_flows.quarantine_table,
         "silver_merge_table": table_flows.silver_merge_table,
         "gold_refresh": table_flows.gold_refresh,
     }

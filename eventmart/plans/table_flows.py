@@ -2,24 +2,34 @@
 
 Each run works in a fresh folder under the shared checkpoint folder
 (``session.scratch_dir``) with its own databases, derives its input from the
-driver's ``events`` table, and returns the resulting table's rows.
+driver's ``events`` table, and returns the resulting table's rows. These are
+checkpointed, and the databases and the folder are dropped.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventmart.config import MartConfig
-from eventmart.operators.silver import SILVER_DATA_COLUMNS
+from eventmart.functions.timestamps import event_time
+from eventmart.operators import gold
+from eventmart.operators.silver import SILVER_DATA_COLUMNS, normalize_silver_events
 from eventmart.plans import jobs
-from eventmart.session import configure, scratch_dir
+from eventmart.session import configure, materialize, scratch_dir
 from eventmart.sources import fixtures
-from eventmart.sources.tables import create_databases
+from eventmart.sources.tables import create_databases, create_table, drop_databases
 from eventmart.streaming.bronze_stream import start_bronze_stream
 
 BRONZE_OUT = ["event_id", "site_id", "event_site_id", "event_type", "occurred_at_ts", "event_date"]
+# Days whose raw files come in the second drain, with the age in days that their files are given.
+LATE_DAYS = {"2024-01-05": 10, "2024-01-20": 400}
+# Days that the second gold refresh recomputes.
+REFRESHED_DAYS = ["2024-01-03", "2024-01-17"]
+QUARANTINE_SINCE = "2024-01-10 00:00:00"
 
 
 def fresh_config(spark: SparkSession, tag: str) -> tuple[MartConfig, str]:
@@ -32,45 +42,129 @@ def fresh_config(spark: SparkSession, tag: str) -> tuple[MartConfig, str]:
     return cfg, root
 
 
-def write_raw_files(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Raw events as JSON lines in ``site_id=…/date=…`` folders (SDK names on even ids)."""
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def finished(spark: SparkSession, cfg: MartConfig, root: str, rows: DataFrame) -> DataFrame:
+    """The rows, kept in a checkpoint, after the run's databases and folder are dropped."""
+    kept = materialize(rows)
+    drop_databases(spark, cfg)
+    fs, at = _fs(spark, root)
+    fs.delete(at, True)
+    return kept
+
+
+def write_raw_files(spark: SparkSession, sf_dir: str, path: str, days: str = "true") -> None:
+    """Raw events as JSON lines in ``site_id=…/date=…`` folders (SDK names on even ids), for days that meet a condition."""
     raw = fixtures.raw_events(spark, sf_dir, camel_case=True)
     payload = [c for c in raw.columns if not c.startswith("_") and c != "site_id"]
-    (raw.selectExpr(*payload, "_path_site AS site_id", "_path_date AS date")
+    (raw.selectExpr(*payload, "_path_site AS site_id", "_path_date AS date").where(days)
         .hint("rebalance", "site_id", "date")
-        .write.partitionBy("site_id", "date").json(path))
+        .write.mode("append").partitionBy("site_id", "date").json(path))
+
+
+def age_files(spark: SparkSession, path: str, days: dict[str, int]) -> None:
+    """Date the files of a few days back, as a late copy that keeps its time would be."""
+    fs, _ = _fs(spark, path)
+    for day, age in days.items():
+        then = int((time.time() - 86400 * age) * 1000)
+        for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/date={day}/*.json")):
+            fs.setTimes(status.getPath(), then, -1)
 
 
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg, _ = fresh_config(spark, "bronze-ingest")
-    write_raw_files(spark, sf_dir, cfg.raw_events_path)
+    """S1-S6, ST3: most days, then two days in old files, then nothing new."""
+    cfg, root = fresh_config(spark, "bronze-ingest")
+    late = "date IN ({})".format(", ".join(f"DATE'{d}'" for d in LATE_DAYS))
+    write_raw_files(spark, sf_dir, cfg.raw_events_path, f"NOT ({late})")
     start_bronze_stream(spark, cfg, trigger_once=True)
-    # A second drain finds no new files and must add nothing.
+    write_raw_files(spark, sf_dir, cfg.raw_events_path, late)
+    age_files(spark, cfg.raw_events_path, LATE_DAYS)
     start_bronze_stream(spark, cfg, trigger_once=True)
-    return spark.read.table(cfg.bronze_fqn).select(*BRONZE_OUT)
-
-
-def _silver_table(spark: SparkSession, sf_dir: str, tag: str) -> MartConfig:
-    cfg, _ = fresh_config(spark, tag)
+    start_bronze_stream(spark, cfg, trigger_once=True)
+    folder = F.regexp_extract("_source_file", "(site_id=[^/]+/date=[^/]+)/[^/]+$", 1)
+    return finished(spark, cfg, root, spark.read.table(cfg.bronze_fqn).select(
+        *BRONZE_OUT, folder.alias("source_folder")))
+
+
+def bronze_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops; the second adds a field and a nested one, the third changes a type.
+
+    Drop 1 (views): device.os and a numeric size. Drop 2 (clicks): also ``channel`` and device.ver. Drop 3 (all
+    others): size is a text. Returned are the values that the table holds, and those kept in ``_rescued``.
+    """
+    cfg, root = fresh_config(spark, "bronze-evolve")
+    base = fixtures.base_events(spark, sf_dir).selectExpr(
+        "*", "concat('{\"event_id\":\"', _id, '\",\"occurred_at\":\"', date_format(_t, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\"), "
+        "'\",\"site_id\":\"s', _uid % 4, '\"') AS start")
+    drops = {
+        "first": ("_et = 'view'", "concat(start, ',\"device\":{\"os\":\"o', _k % 3, '\"},\"size\":', _k, '}')"),
+        "second": ("_et = 'click'", "concat(start, ',\"device\":{\"os\":\"o', _k % 3, '\",\"ver\":', _k % 5, "
+                                    "'},\"size\":', _k, ',\"channel\":\"c', _k % 2, '\"}')"),
+        "third": ("_et NOT IN ('view', 'click')", "concat(start, ',\"size\":\"wide\"}')"),
+    }
+    for name, (which, line) in drops.items():
+        base.where(which).selectExpr(f"{line} AS value").write.text(f"{cfg.raw_events_path}/drop={name}")
+        start_bronze_stream(spark, cfg, trigger_once=True)
+    corrupt = F.get_json_object("_corrupt_record", "$.size")
+    rescued = F.get_json_object(F.get_json_object("_rescued", "$.device"), "$.ver")
+    return finished(spark, cfg, root, spark.read.table(cfg.bronze_fqn).select(
+        F.coalesce("event_id", F.get_json_object("_corrupt_record", "$.event_id")).alias("event_id"), "drop", "size",
+        "channel", F.col("device.os").alias("os"), rescued.alias("rescued_ver"), corrupt.alias("misfit_size")))
+
+
+def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R10 as a job: rows without a site come twice; the first run reads all days, then more rows come and the second
+    run reads an overlapping slice."""
+    cfg, root = fresh_config(spark, "quarantine")
+    rows = fixtures.bronze_like(spark, sf_dir)
+    rows = rows.withColumn("event_date", F.to_date(event_time(rows)))
+    twice = rows.where("site_id IS NULL AND event_site_id IS NULL")
+    late = rows.withColumn("_source_file", F.concat(F.lit("late/"), "_source_file")).where("occurred_at = 'not-a-time'")
+    create_table(rows.unionByName(twice), cfg.bronze_fqn)
+    jobs.run_quarantine(spark, cfg)
+    late.select(*spark.read.table(cfg.bronze_fqn).columns).write.insertInto(cfg.bronze_fqn)
+    for _ in range(2):
+        jobs.run_quarantine(spark, cfg, since_ingested_at=QUARANTINE_SINCE)
+    return finished(spark, cfg, root, spark.read.table(cfg.quarantine_fqn).select(
+        "event_id", "reasons", "ingest_date", F.col("_copy").cast("int").alias("copy"),
+        F.col("source_file").startswith("late/").alias("late")))
+
+
+def _silver_table(spark: SparkSession, sf_dir: str, tag: str) -> tuple[MartConfig, str]:
+    cfg, root = fresh_config(spark, tag)
     base = fixtures.bronze_like(spark, sf_dir)
-    from eventmart.operators.silver import normalize_silver_events
     jobs.upsert_silver_rows(spark, cfg.silver_fqn, normalize_silver_events(base, carry=("_ingested_at",)))
-    return cfg
+    return cfg, root
+
+
+def _correct(spark: SparkSession, sf_dir: str, cfg: MartConfig) -> None:
+    incoming = normalize_silver_events(fixtures.bronze_like(spark, sf_dir, copies_only=True), carry=("_ingested_at",))
+    jobs.upsert_silver_rows(spark, cfg.silver_fqn, incoming)
 
 
 def silver_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 on a table: create from the base events, then upsert the corrections."""
-    cfg = _silver_table(spark, sf_dir, "silver-merge")
-    from eventmart.operators.silver import normalize_silver_events
-    incoming = normalize_silver_events(fixtures.bronze_like(spark, sf_dir, copies_only=True),
-                                       carry=("_ingested_at",))
-    jobs.upsert_silver_rows(spark, cfg.silver_fqn, incoming)
-    return spark.read.table(cfg.silver_fqn).select(*SILVER_DATA_COLUMNS)
+    cfg, root = _silver_table(spark, sf_dir, "silver-merge")
+    _correct(spark, sf_dir, cfg)
+    return finished(spark, cfg, root, spark.read.table(cfg.silver_fqn).select(*SILVER_DATA_COLUMNS))
 
 
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST7 twice (create, then merge) over a silver table; the session table's rows."""
-    cfg = _silver_table(spark, sf_dir, "gold-refresh")
-    jobs.task_gold_all(spark, cfg)
+    """ST7: create the five gold tables, correct silver, refresh two days; all five tables, one row per measure."""
+    cfg, root = _silver_table(spark, sf_dir, "gold-refresh")
     jobs.task_gold_all(spark, cfg)
-    return spark.read.table(cfg.gold_fqn("session_metrics")).drop("_gold_updated_at")
+    _correct(spark, sf_dir, cfg)
+    jobs.task_gold_all(spark, cfg, for_event_dates=REFRESHED_DAYS)
+    result = None
+    for name, keys in gold.GOLD_KEYS.items():
+        table = spark.read.table(cfg.gold_fqn(name)).drop("_gold_updated_at")
+        key = F.col(keys[2]) if len(keys) > 2 else F.lit(None).cast("string")
+        measures = [c for c in table.columns if c not in keys]
+        long = table.select(F.lit(name).alias("metric_table"), "site_id", "event_date", key.alias("metric_key"),
+                            *[F.col(m).cast("double").alias(m) for m in measures]).unpivot(
+            ["metric_table", "site_id", "event_date", "metric_key"], measures, "measure", "value")
+        result = long if result is None else result.unionByName(long)
+    return finished(spark, cfg, root, result)

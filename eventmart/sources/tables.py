@@ -27,7 +27,13 @@ def create_databases(spark: SparkSession, cfg: MartConfig, location_root: str |
     """The three namespaces; optionally placed under one shared folder."""
     for db in (cfg.bronze_db, cfg.silver_db, cfg.gold_db):
         where = f" LOCATION '{location_root.rstrip('/')}/{db}.db'" if location_root else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.namespace(db)}{where}")
+
+
+def drop_databases(spark: SparkSession, cfg: MartConfig) -> None:
+    """Drop the three namespaces with their tables and files."""
+    for db in (cfg.bronze_db, cfg.silver_db, cfg.gold_db):
+        spark.sql(f"DROP DATABASE IF EXISTS {cfg.namespace(db)} CASCADE")
 
 
 def balanced(df: DataFrame, partition_cols: Sequence[str] = ("event_date",)) -> DataFrame:

@@ -19,7 +19,7 @@ def test_cli_main_end_to_end(spark, workdir, monkeypatch):
                                     "properties": {"product_id": f"p{i}"}}) + "\n")
             f.write(json.dumps({"eventId": f"{day}-bad", "occurredAt": "never"}) + "\n{broken\n")
     env = {"BRONZE_DB": f"b{s}", "SILVER_DB": f"s{s}", "GOLD_DB": f"g{s}", "RAW_EVENTS_PATH": raw,
-           "STATE_DIR": os.path.join(workdir, "state")}
+           "STATE_DIR": os.path.join(workdir, "state"), "CATALOG": "spark_catalog"}
     for k, v in env.items():
         monkeypatch.setenv("EVENTMART_" + k, v)
     jobs.main(["--bronze"])
@@ -34,3 +34,21 @@ def test_cli_main_end_to_end(spark, workdir, monkeypatch):
     assert len(bad) == 4
     assert sorted(r["reasons"] for r in bad if r["event_id"]) == ["unparseable_occurred_at"] * 2
     assert all("corrupt_record" in r["reasons"] for r in bad if r["event_id"] is None)
+
+
+def test_cli_runs_parts(spark, workdir, monkeypatch):
+    s = uuid.uuid4().hex[:8]
+    os.makedirs(os.path.join(workdir, "raw"))
+    with open(os.path.join(workdir, "raw", "a.jsonl"), "w") as f:
+        for i in range(4):
+            f.write(json.dumps({"eventId": str(i), "siteId": "x", "occurredAt": "2026-05-16T10:00:00Z",
+                                "receivedAt": f"2026-05-16T10:0{i}:00Z", "eventType": "product_view"}) + "\n")
+    for k, v in {"BRONZE_DB": f"b{s}", "SILVER_DB": f"s{s}", "GOLD_DB": f"g{s}",
+                 "RAW_EVENTS_PATH": os.path.join(workdir, "raw"), "STATE_DIR": os.path.join(workdir, "state")}.items():
+        monkeypatch.setenv("EVENTMART_" + k, v)
+    jobs.main(["--tasks", "bronze", "silver", "--since-received", "2026-05-16 10:01:00"])
+    assert spark.read.table(f"s{s}.events").count() == 2
+    assert not spark.catalog.tableExists(f"g{s}.funnel_metrics") and not spark.catalog.tableExists(f"b{s}.quarantine")
+    jobs.main(["--tasks", "gold", "--gold", "funnel_metrics"])
+    assert [r["event_count"] for r in spark.read.table(f"g{s}.funnel_metrics").collect()] == [2]
+    assert not spark.catalog.tableExists(f"g{s}.page_metrics")

@@ -58,3 +58,10 @@ def test_config_from_env(monkeypatch):
     assert cfg.silver_fqn == "canon.events" and cfg.gold_fqn("x") == "gold.x"
     assert cfg.checkpoint_path("/s") == "/s/checkpoints/raw_events"
     assert cfg.schema_store_path("/s/") == "/s/schemas/raw_events"
+
+
+def test_three_part_names():
+    cfg = MartConfig(catalog="lake")
+    assert (cfg.bronze_fqn, cfg.silver_fqn, cfg.quarantine_fqn) == (
+        "lake.bronze.raw_events", "lake.silver.events", "lake.bronze.quarantine")
+    assert cfg.gold_fqn("x") == "lake.gold.x"
