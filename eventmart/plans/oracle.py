@@ -238,9 +238,9 @@ def oracle_sql() -> dict[str, str]:
         "count(*) FILTER (WHERE clicked) AS clicked_searches, "
         "CAST(count(*) FILTER (WHERE clicked) AS DOUBLE) / count(*) AS ctr FROM f GROUP BY 1, 2, 3",
         extra=_ctr_sql(30))
-    q["viewed_together"] = with_silver(
-        "SELECT site_id, product_a, product_b, together AS sessions FROM pairs",
-        extra=_pairs_sql("session_id", 2))
+    for name, support in (("viewed_together", 2), ("viewed_together_1", 1)):
+        q[name] = with_silver("SELECT site_id, product_a, product_b, together AS sessions FROM pairs",
+                              extra=_pairs_sql("session_id", support))
     q["co_viewed"] = with_silver(
         """SELECT p.site_id, p.product_a, p.product_b, p.together AS users_ab, sa.n AS users_a, sb.n AS users_b,
                   CAST(p.together AS DOUBLE) / (sa.n + sb.n - p.together) AS jaccard,

@@ -194,6 +194,7 @@ def queries() -> dict[str, Query]:
         "top_queries": lambda s, d: features.top_queries(search(s, d), 10),
         "query_ctr": lambda s, d: features.query_ctr(silver(s, d), 30),
         "viewed_together": lambda s, d: features.viewed_together(silver(s, d), 2),
+        "viewed_together_1": lambda s, d: features.viewed_together(silver(s, d), 1),
         "co_viewed": lambda s, d: features.co_viewed(silver(s, d), 2),
         "searched_then_purchased": lambda s, d: features.searched_then_purchased(silver(s, d)),
         "autocomplete": lambda s, d: features.autocomplete(silver(s, d), 5),

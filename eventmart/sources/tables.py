@@ -74,18 +74,15 @@ def distinct_dates(df: DataFrame, col: str = "event_date") -> list[date | None]:
     return sorted((r[0] for r in df.select(col).distinct().collect()), key=lambda d: (d is None, d or date.min))
 
 
-def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, rebalance: bool = True,
-                         date_col: str = "event_date") -> None:
+def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, date_col: str = "event_date") -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     ``insertInto`` is positional, so columns are put in the table's order
-    (partition columns last).  ``rebalance=False`` keeps a layout the caller
-    already arranged (compaction's range clustering).
+    (partition columns last).
     """
     configure(spark)
     cols = spark.read.table(fqn).columns
-    out = df.select(*cols)
-    (balanced(out, (date_col,)) if rebalance else out).write.insertInto(fqn, overwrite=True)
+    balanced(df.select(*cols), (date_col,)).write.insertInto(fqn, overwrite=True)
 
 
 def drop_partitions(spark: SparkSession, fqn: str, dates: Iterable) -> None:
