@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +13,11 @@ from eventmart.operators.silver import first_present
 
 
 def _rules(df: DataFrame) -> dict[str, Column]:
-    """Rule name -> failing condition, for raw-layer rows (same validity as silver P7)."""
+    """Rule name -> rejecting condition, for raw-layer rows (same validity as silver P7).
+
+    An unreadable line counts when the canonical layer rejects its row; one whose readable fields make a valid row
+    is a type conflict (`_type_conflict`), reported but not rejected.
+    """
     raw_time = F.col("occurred_at").cast("string") if "occurred_at" in df.columns else F.lit(None)
     parsed = event_time(df)
     site = first_present(df, "event_site_id", "site_id")
@@ -22,24 +29,31 @@ def _rules(df: DataFrame) -> dict[str, Column]:
         "missing_site_id": site.isNull(),
     }
     if "_corrupt_record" in df.columns:
-        rules["corrupt_record"] = F.col("_corrupt_record").isNotNull()
+        rules["corrupt_record"] = F.col("_corrupt_record").isNotNull() & _any(rules)
     return rules
 
 
+def _any(rules: dict[str, Column]) -> Column:
+    return functools.reduce(operator.or_, rules.values())
+
+
+def _type_conflict(df: DataFrame, rules: dict[str, Column]) -> dict[str, Column]:
+    if "_corrupt_record" not in df.columns:
+        return {}
+    return {"type_conflicts": F.col("_corrupt_record").isNotNull() & ~_any(rules)}
+
+
 def _ingest_date(df: DataFrame) -> Column:
     return F.to_date("_ingested_at") if "_ingested_at" in df.columns else F.lit(None).cast("date")
 
 
 def dq_checks(bronze: DataFrame) -> DataFrame:
-    """Per ingest date, row count and failing rows per rule, in one pass."""
+    """Per ingest date, row count, failing rows per rule and type conflicts, in one pass."""
     rules = _rules(bronze)
-    any_fail = F.lit(False)
-    for cond in rules.values():
-        any_fail = any_fail | cond
     return (bronze.groupBy(_ingest_date(bronze).alias("ingest_date"))
             .agg(F.count(F.lit(1)).alias("rows"),
-                 *[F.count_if(cond).alias(name) for name, cond in rules.items()],
-                 F.count_if(any_fail).alias("invalid_rows")))
+                 *[F.count_if(cond).alias(name) for name, cond in (rules | _type_conflict(bronze, rules)).items()],
+                 F.count_if(_any(rules)).alias("invalid_rows")))
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:
@@ -65,10 +79,7 @@ def ingest_lag(bronze: DataFrame) -> DataFrame:
     """Per ingest date and source: rows, bad rows and lag (whole seconds) from event to ingest."""
     parsed = event_time(bronze)
     lag = F.unix_timestamp("_ingested_at") - F.unix_timestamp(parsed)
-    rules = _rules(bronze)
-    bad = F.lit(False)
-    for cond in rules.values():
-        bad = bad | cond
+    bad = _any(_rules(bronze))
     return (bronze.groupBy(_ingest_date(bronze).alias("ingest_date"),
                            source_of(F.col("_source_file")).alias("source"))
             .agg(F.count(F.lit(1)).alias("rows"),

@@ -311,11 +311,13 @@ def oracle_sql() -> dict[str, str]:
         """SELECT ingest_date, count(*) AS rows, count(*) FILTER (WHERE no_id) AS missing_event_id,
                   count(*) FILTER (WHERE no_time) AS missing_occurred_at,
                   count(*) FILTER (WHERE bad_time) AS unparseable_occurred_at,
-                  count(*) FILTER (WHERE no_site) AS missing_site_id, count(*) FILTER (WHERE corrupt) AS corrupt_record,
-                  count(*) FILTER (WHERE no_id OR no_time OR bad_time OR no_site OR corrupt) AS invalid_rows
+                  count(*) FILTER (WHERE no_site) AS missing_site_id,
+                  count(*) FILTER (WHERE misread AND (no_id OR no_time OR bad_time OR no_site)) AS corrupt_record,
+                  count(*) FILTER (WHERE misread AND NOT (no_id OR no_time OR bad_time OR no_site)) AS type_conflicts,
+                  count(*) FILTER (WHERE no_id OR no_time OR bad_time OR no_site) AS invalid_rows
            FROM (SELECT CAST(_ingested_at AS DATE) AS ingest_date, event_id IS NULL AS no_id, _et = 'error' AS no_time,
                         _et <> 'error' AND event_time IS NULL AS bad_time, site_id IS NULL AS no_site,
-                        _et = 'signup' AS corrupt FROM raw) GROUP BY 1""")
+                        _et = 'signup' AS misread FROM raw) GROUP BY 1""")
     q["bronze_evolve"] = with_raw(
         """SELECT CAST(_id AS VARCHAR) AS event_id,
                   CASE _et WHEN 'view' THEN 'first' WHEN 'click' THEN 'second' ELSE 'third' END AS "drop",

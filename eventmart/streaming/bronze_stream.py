@@ -61,11 +61,12 @@ def parse_lines(lines: DataFrame, payload: T.StructType, path_columns: list[str]
 
 
 def build_bronze_stream(spark: SparkSession, cfg: MartConfig, schema: T.StructType, *,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
+                        max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
     """Streaming read of raw JSON lines with a fixed schema; Hive-style path
     folders (``site_id=…/date=…/hour=…``) become columns and win over payload
     fields of the same name.  Unparseable lines keep their text in
-    ``_corrupt_record``, fields beyond the schema in ``_rescued``."""
+    ``_corrupt_record``, fields beyond the schema in ``_rescued``.  With
+    ``archive_dir``, files of finished batches move there, which bounds the folder listing."""
     found = set(spark.read.text(cfg.raw_events_path).columns) - {"value"}
     in_path = [f for f in schema.fields if f.name in found]
     payload = T.StructType([f for f in schema.fields if f.name not in found])
@@ -73,6 +74,8 @@ def build_bronze_stream(spark: SparkSession, cfg: MartConfig, schema: T.StructTy
               .option("maxFileAge", ANY_AGE))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return parse_lines(reader.text(cfg.raw_events_path), payload, [f.name for f in in_path])
 
 
@@ -95,20 +98,24 @@ def observe_batches(stream: DataFrame) -> DataFrame:
 
 def start_bronze_stream(spark: SparkSession, cfg: MartConfig | None = None, *, trigger_once: bool = True,
                         await_termination: bool = True, sampling_ratio: float = 1.0,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery | None:
+                        max_files_per_trigger: int | None = None,
+                        archive_dir: str | None = None) -> StreamingQuery | None:
     """S6 + ST1-ST3: evolve the schema, then append to the bronze table.
 
     Returns None when there are no raw files yet.
     """
     cfg = cfg or MartConfig.from_env()
     configure(spark)
+    if archive_dir and not schema_store.has_files(spark, cfg.raw_events_path):
+        return None  # all files archived: the path columns could not be told from the folder
     state = resolve_state_dir(spark, cfg)
     schema = schema_store.evolve(spark, cfg.schema_store_path(state), cfg.raw_events_path,
                                  sampling_ratio=sampling_ratio)
     if schema is None:
         return None
     stream = with_bronze_columns(build_bronze_stream(spark, cfg, schema,
-                                                     max_files_per_trigger=max_files_per_trigger))
+                                                     max_files_per_trigger=max_files_per_trigger,
+                                                     archive_dir=archive_dir))
     stream = observe_batches(stream)
     if table_exists(spark, cfg.bronze_fqn):
         # New payload fields are written to the files but stay hidden until the

@@ -28,6 +28,11 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.listFiles(p, True).hasNext()
+
+
 def _read_text(spark: SparkSession, file: str) -> str | None:
     fs, p = _fs(spark, file)
     if not fs.exists(p):

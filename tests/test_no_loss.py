@@ -162,3 +162,20 @@ def test_no_field_is_lost(spark, workdir):
     assert rows["e4"]["fresh"] is not None
     corrupt = [r["_corrupt_record"] for r in spark.read.table(cfg.bronze_fqn).where("_corrupt_record is not null").collect()]
     assert len(corrupt) == 1 and json.loads(corrupt[0])["size"] == "wide"
+    # The row whose one value does not fit is valid: it reaches silver, and is a type conflict, not a rejected row.
+    jobs.run_silver_upsert(spark, cfg)
+    assert {r["event_id"] for r in spark.read.table(cfg.silver_fqn).collect()} == {"e1", "e2", "e3", "e4"}
+    bronze = spark.read.table(cfg.bronze_fqn)
+    assert quality.quarantine(bronze).count() == 0 and quality.quarantine_records(bronze).count() == 0
+    checks = quality.dq_checks(bronze).first()
+    assert (checks["type_conflicts"], checks["corrupt_record"], checks["invalid_rows"]) == (1, 0, 0)
+
+
+def test_archived_files_stay_ingested_once(spark, workdir):
+    cfg = config(spark, workdir)
+    os.makedirs(f"{workdir}/raw")
+    assert start_bronze_stream(spark, cfg, archive_dir=f"{workdir}/archive") is None
+    for k in range(3):
+        put(workdir, f"{k}.json", [event(k)])
+        start_bronze_stream(spark, cfg, archive_dir=f"{workdir}/archive")
+    assert sorted(r["event_id"] for r in spark.read.table(cfg.bronze_fqn).collect()) == ["e0", "e1", "e2"]
