@@ -5,10 +5,9 @@ also in spellings that the patterns miss (keys and passwords, national phone num
 spelled-out emails, identity numbers). It is written and trained in numpy, from seeded labelled spans in generated
 carrier text, once per process.
 
-Every kind has a digit, an @ or a spelled-out @, so only stretches around such characters are read by the model: in
-windows of ``WIDTH`` characters, each overlapping the next by half. The windows' emissions are blended, weighted
-towards a window's middle, and one Viterbi path over the whole stretch reconciles them. A path's span is added if it
-is likely enough, passes its kind's check and touches no base span and no earlier added one.
+The model reads every character of every text, in windows of ``READ`` characters that overlap. The windows' emissions
+are blended, weighted towards a window's middle, and one Viterbi path over the whole text reconciles them. A path's
+span is added if it is likely enough, passes its kind's check and touches no base span and no earlier added one.
 
 Edge cases: a null text is an empty one and has no spans; offsets are code points, ends exclusive; texts of any length
 are read whole, in windows; equal spans are reported once per document row; an empty table gives no rows; other
@@ -31,6 +30,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone", "secret", "id")
 BASE = KINDS[:4]
 WIDTH, HIDDEN, EMBEDDING = 80, 20, 16
+#: Characters of a window when reading, and how many of them the next window reads again.
+READ, OVERLAP = 240, WIDTH // 2
 LIKELY = 0.85
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -39,7 +40,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_GATE = re.compile(r"[0-9@]+|[\[(]at[\])]")
+_AT = re.compile(r" ?(?:@|[\[(]at[\])]) ?| at ", re.IGNORECASE)
+_DOT = re.compile(r" ?(?:[\[(]dot[\])]|\.) ?| dot ", re.IGNORECASE)
+_HOST = re.compile(rf"\S*?(?:(?:{_DOT.pattern})\S+?)*(?!\S)|\S*", re.IGNORECASE)
+#: What names a secret and leads up to it.
+_KEYED = re.compile(r"""(?:pass(?:word|wd|phrase)|pwd|token|secret|api[ _-]?key|auth)\w{0,12}["']?\s{0,3}(?:[=:]\s{0,3}|\sis\s)["']?""",
+                    re.IGNORECASE)
+_ISSUED = re.compile(r"AKIA|sk_live_|ghp_|xoxb-")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -107,9 +114,13 @@ def _labelled(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
         return sep.join(body[i:i + 4] for i in range(0, 16, 4))
 
     def email() -> str:
-        user = some(lower, 2, 9) + pick(["", ".", "_", "-"]) + some(lower + digits, 1, 5)
-        a, dot = pick([("@", "."), ("@", "."), ("@", "."), (" (at) ", " (dot) "), (" [at] ", " [dot] "), (" [at] ", ".")])
-        return user + a + some(lower + digits, 3, 8) + dot + pick(["com", "org", "net", "de", "example.com", "co.uk"])
+        user = some(lower, 2, 9) + pick(["", pick(["", ".", "_", "-"]) + some(lower + digits, 1, 5)])
+        a, dot = pick([("@", "."), ("@", "."), ("@", "."), (" (at) ", " (dot) "), (" [at] ", " [dot] "), (" [at] ", "."),
+                       (" at ", " dot "), (" at ", " dot "), (" at ", " dot "), (pick([" (at) ", "(at)", " [at] "]), "")])
+        if rng.random() < 0.3:
+            a, dot = a.upper(), dot.upper()
+        ending = pick(["com", "org", "net", "de", "example.com", "co.uk"]).replace(".", dot)
+        return user + a + some(pick([lower, lower + digits]), 3, 8) + (dot and dot + ending)
 
     def phone() -> str:
         a, b, c = number(200, 999), number(200, 999), some(digits, 4, 4)
@@ -121,9 +132,13 @@ def _labelled(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
                      ":".join(some(hexes, 1, 4) for _ in range(8))])
 
     def secret() -> str:
-        word = pick(["password", "token", "secret", "api_key", "passwd", "auth"])
-        body = pick([some(hexes, 16, 40), some(lower + upper + digits, 14, 32)])
-        return pick([f"{word}={body}", f'{word} = "{body}"', f"{word}: {body}", "AKIA" + some(upper + digits, 16, 16),
+        word = pick(["password", "token", "secret", "api_key", "passwd", "auth", "passphrase"])
+        word = pick([word, word, word.upper(), word.capitalize()])
+        body = pick([some(hexes, 16, 40), some(lower + upper + digits, 14, 32), some(letters, 4, 28), some(letters, 4, 28),
+                     some(lower, 3, 10) + some(digits, 1, 4), some(lower + upper, 5, 32)])
+        quoted = pick([body, body, " ".join(some(letters, 2, 8) for _ in range(int(rng.integers(2, 5))))])
+        return pick([f"{word}={body}", f'{word} = "{quoted}"', f"{word}: {body}", f"{word} = {body}", f"{word}: {body}",
+                     "AKIA" + some(upper + digits, 16, 16),
                      pick(["sk_live_", "ghp_", "xoxb-"]) + some(lower + upper + digits, 20, 32)])
 
     def identity() -> str:
@@ -135,7 +150,11 @@ def _labelled(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
                      f"{number(1, 99)}%", f"v{number(0, 9)}.{number(0, 20)}.{number(0, 20)}", some(digits, 5, 12),
                      f"{number(1, 9)}.{some(digits, 1, 4)}", f"{number(1, 12)}/{number(1, 28)}/{number(1990, 2030)}",
                      f"{number(1, 9)},{some(digits, 3, 3)},{some(digits, 3, 3)}", some(lower, 2, 6) + number(1, 99),
-                     f"{number(1, 99)}-{number(100, 200)}", "@" + some(lower, 3, 9), "(" + number(1, 30) + ")"])
+                     f"{number(1, 99)}-{number(100, 200)}", "@" + some(lower, 3, 9), "(" + number(1, 30) + ")",
+                     pick(["password", "token", "secret", "auth", "Password", "passphrase"]) + pick([" ", ", ", ". "]) + some(letters, 2, 9),
+                     "at " + pick(["", "the "]) + some(letters, 2, 9), pick(["at", "dot", "AT", "dot " + some(letters, 2, 9)]),
+                     "at the dot " + some(letters, 2, 9), some(letters, 2, 9) + " at " + some(letters, 2, 9) + " " + some(letters, 2, 9),
+                     some(letters, 2, 10) + pick([": ", "=", " = "]) + some(letters, 2, 12)])
 
     makers = (email, ip, card, phone, secret, identity)
     letters = lower + "aeiounrst" + "aeiounrst" + "éèçüöäßñóí"
@@ -148,10 +167,11 @@ def _labelled(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
             word = word.capitalize() if shape < 0.15 else word.upper() if shape < 0.2 else word
             kind, part = 0, word + pick(["", "", "", "", ",", ".", "***", "|", "!!", "%%%"])
             chance = rng.random()
-            if chance < 0.07:
-                kind = int(rng.integers(len(makers))) + 1
+            if chance < 0.12:
+                # Spellings in letters only take more examples than digits do.
+                kind = int(rng.choice([1, 1, 1, 1, 2, 3, 4, 5, 5, 5, 5, 6]))
                 part = makers[kind - 1]()
-            elif chance < 0.14:
+            elif chance < 0.2:
                 part = harmless()
             text += part
             marks += [kind] * len(part)
@@ -219,10 +239,30 @@ class Tagger:
 
     def emissions(self, codes: np.ndarray) -> np.ndarray:
         """(batch, time, labels) from (batch, time) codes."""
-        x = self.p["E"][codes.T]
-        forward = self._direction(x, "f", False)[0]
-        backward = self._direction(x[::-1], "b", False)[0][::-1]
-        return (np.concatenate([forward, backward], axis=2) @ self.p["O"] + self.p["o"]).transpose(1, 0, 2)
+        n, steps = codes.shape
+        out = np.empty((steps, len(self.p["o"]), n), np.float32)
+        out[:] = self.p["o"][:, None]
+        x = self.p["E"].astype(np.float32).T[:, codes.T]
+        # Features by rows, and one tanh for all gates, as sigmoid(z) is (1 + tanh(z / 2)) / 2; the states are kept doubled.
+        half = np.repeat(np.float32([0.5, 1]), [3 * HIDDEN, HIDDEN])[:, None]
+        for d, weights in (("f", self.p["O"][:HIDDEN]), ("b", self.p["O"][HIDDEN:])):
+            weights = (weights.T / 2).astype(np.float32)
+            full = half * np.concatenate([self.p[f"H{d}"] / 2, self.p[f"X{d}"], self.p[f"c{d}"][None]]).T.astype(np.float32)
+            state = np.ones((HIDDEN + EMBEDDING + 1, n), np.float32)
+            h, c, z = state[:HIDDEN], np.zeros((HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
+            h[:] = 0
+            gates, i, f, o, g = z[:3 * HIDDEN], z[:HIDDEN], z[HIDDEN:2 * HIDDEN], z[2 * HIDDEN:3 * HIDDEN], z[3 * HIDDEN:]
+            for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
+                state[HIDDEN:-1] = x[:, t]
+                np.tanh(np.matmul(full, state, out=z), out=z)
+                gates += 1
+                c *= f
+                g *= i
+                c += g
+                c *= 0.5
+                np.multiply(o, np.tanh(c, out=h), out=h)
+                out[t] += weights @ h
+        return out.transpose(2, 0, 1)
 
     def _crf(self, e: np.ndarray, y: np.ndarray):
         """Mean negative log-likelihood and its gradients for emissions (time, batch, labels), labels (time, batch)."""
@@ -336,7 +376,7 @@ class Tagger:
 
 
 @functools.lru_cache(maxsize=1)
-def trained(examples: int = 4000, epochs: int = 7) -> Tagger:
+def trained(examples: int = 8000, epochs: int = 9) -> Tagger:
     """The model, trained once per process from seeded labelled spans; one text in six ends within its window."""
     rng = np.random.default_rng(3)
     texts, labels = _labelled(rng, examples)
@@ -351,51 +391,101 @@ def trained(examples: int = 4000, epochs: int = 7) -> Tagger:
 
 # ---------------------------------------------------------------- reading texts
 
-def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of a text within half a window of a digit or an @, merged; each at least a window if the text is."""
-    found: list[list[int]] = []
-    for m in _GATE.finditer(text):
-        a, b = max(0, m.start() - WIDTH // 2), min(len(text), m.end() + WIDTH // 2)
-        if b - a < WIDTH:
-            a, b = max(0, b - WIDTH), min(len(text), max(b, a + WIDTH))
-        if found and a <= found[-1][1]:
-            found[-1][1] = max(b, found[-1][1])
-        else:
-            found.append([a, b])
-    return [(a, b) for a, b in found]
-
-
-_MIDDLE = (1 + np.minimum(np.arange(WIDTH), np.arange(WIDTH)[::-1])).astype(np.float32)[:, None]
-#: Windows that the model reads at once.
-ROUND = 512
+#: Windows that the model reads at once, and characters of the texts that are held as emissions at once.
+ROUND, HELD = 256, 1 << 20
 
 
 def _blended(tagger: Tagger, parts: list[np.ndarray]) -> list[np.ndarray]:
-    """Emissions of each stretch: its overlapping windows, each weighted towards its middle."""
-    places, windows = [], []
+    """Emissions of each text: its overlapping windows, each weighted towards its middle."""
+    places: dict[int, list[tuple[int, int]]] = {}
     for k, codes in enumerate(parts):
-        for at in [*range(0, max(1, len(codes) - WIDTH), WIDTH // 2), max(0, len(codes) - WIDTH)]:
-            window = np.zeros(WIDTH, np.int64)
-            cut = codes[at:at + WIDTH]
-            window[:len(cut)] = cut
-            if not places or places[-1] != (k, at):
-                places.append((k, at))
-                windows.append(window)
+        # Short texts are read in windows of their size, in steps that let several share a round.
+        width = min(READ, -(-len(codes) // OVERLAP) * OVERLAP)
+        last = max(0, len(codes) - width)
+        if len(codes):
+            places.setdefault(width, []).extend((k, at) for at in [*range(0, last, READ - OVERLAP), last])
     sums = [np.zeros((len(c), len(KINDS) + 1), np.float32) for c in parts]
     weights = [np.zeros((len(c), 1), np.float32) for c in parts]
-    for at in range(0, len(windows), ROUND):
-        for (k, start), e in zip(places[at:at + ROUND], tagger.emissions(np.stack(windows[at:at + ROUND])), strict=True):
-            n = min(WIDTH, len(parts[k]) - start)
-            sums[k][start:start + n] += e[:n] * _MIDDLE[:n]
-            weights[k][start:start + n] += _MIDDLE[:n]
+    for width, at_width in places.items():
+        near = np.minimum(np.arange(width), np.arange(width)[::-1])
+        middle = (1 + np.minimum(near, OVERLAP)).astype(np.float32)[:, None]
+        for at in range(0, len(at_width), ROUND):
+            some = at_width[at:at + ROUND]
+            windows = np.zeros((len(some), width), np.int64)
+            for row, (k, start) in enumerate(some):
+                cut = parts[k][start:start + width]
+                windows[row, :len(cut)] = cut
+            for (k, start), e in zip(some, tagger.emissions(windows), strict=True):
+                n = min(width, len(parts[k]) - start)
+                sums[k][start:start + n] += e[:n] * middle[:n]
+                weights[k][start:start + n] += middle[:n]
     return [s / w for s, w in zip(sums, weights, strict=True)]
 
 
-def _plausible(kind: str, span: str) -> bool:
-    """The exact check of an added span."""
+def _whole_paths(tagger: Tagger, emissions: list[np.ndarray]) -> list[tuple[np.ndarray, list[tuple[int, int]]]]:
+    """`Tagger.paths` of whole texts, sooner, and the parts of each that were not "none" at first sight.
+
+    A run of labels is worth at most what its places gain over "none", its entry and its exit. Where no run that holds
+    a place is worth anything, every best path has "none" there, and the parts between are solved alone.
+    """
+    trans = tagger.p["T"].astype(np.float64)
+    within, enter, leave = trans[1:, 1:].max(axis=0), trans[0, 1:], trans[1:, 0]
+    ends = (enter - within).max() + (leave - trans[0, 0]).max()
+    parts, owners = [], []
+    out: list[tuple[np.ndarray, list[tuple[int, int]]]] = []
+    for k, e in enumerate(emissions):
+        out.append((np.zeros(len(e), np.int64), []))
+        if not len(e):
+            continue
+        worth = (e[:, 1:] - e[:, :1] + (within - trans[0, 0])).max(axis=1)
+        # A text's first place is not entered, its last one not left.
+        worth[0] += max(0.0, (trans[0, 0] - enter).max())
+        worth[-1] += max(0.0, (trans[0, 0] - leave).max())
+        until = np.cumsum(worth)
+        before = np.minimum.accumulate(until - worth)
+        after = np.maximum.accumulate(until[::-1])[::-1]
+        open_ = np.flatnonzero(after - before + ends > -1e-3)
+        for run in np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1) if len(open_) else ():
+            a, b = max(0, int(run[0]) - 1), min(len(e), int(run[-1]) + 2)
+            part = e[a:b].copy()
+            for place in (a, b - 1):
+                if not run[0] <= place <= run[-1]:
+                    part[place - a, 1:] = -1e6
+            parts.append(part)
+            owners.append((k, a, b))
+    for (k, a, b), path in zip(owners, tagger.paths(parts), strict=True):
+        out[k][0][a:b] = path
+        if path.any():
+            out[k][1].append((a, b))
+    return out
+
+
+def _posterior(tagger: Tagger, e: np.ndarray) -> np.ndarray:
+    """Probability of each label at each place (time, labels), all paths considered."""
+    trans = tagger.p["T"].astype(np.float64)
+    lse = lambda v, axis: (m := v.max(axis=axis)) + np.log(np.exp(v - np.expand_dims(m, axis)).sum(axis=axis))
+    alpha, beta = e.astype(np.float64), np.zeros(e.shape)
+    for t in range(1, len(e)):
+        alpha[t] += lse(alpha[t - 1][:, None] + trans, 0)
+    for t in range(len(e) - 2, -1, -1):
+        beta[t] = lse(trans + (e[t + 1] + beta[t + 1])[None], 1)
+    both = alpha + beta
+    both = np.exp(both - both.max(axis=1, keepdims=True))
+    return both / both.sum(axis=1, keepdims=True)
+
+
+def _plausible(kind: str, text: str, left: int, right: int) -> bool:
+    """The exact check of an added span of a text."""
+    span = text[left:right]
     digits = "".join(c for c in span if c.isdigit())
     if kind == "email":
-        return bool(re.fullmatch(r"\S+ ?(@|[\[(]at[\])]) ?\S+( ?([\[(]dot[\])]|\.) ?\S+)+", span))
+        # A spelled-out @ in brackets tells an address even of a host without a dot.
+        user, *hosts = _AT.split(span)
+        names = [*_DOT.split(hosts[0])] if len(hosts) == 1 else []
+        bracketed = bool(re.search(r"[\[(]at[\])]", span, re.IGNORECASE))
+        if " at " in span.lower() and re.search(r"\.\s|\s\.", span):
+            return False  # a sentence's end
+        return len(names) > (not bracketed) and all(re.fullmatch(r"\S+", part) for part in [user, *names])
     if kind == "ip":
         return bool(re.fullmatch(r"([0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}", span))
     if kind == "card":
@@ -404,46 +494,58 @@ def _plausible(kind: str, span: str) -> bool:
         return bool(re.fullmatch(r"[+(]?[0-9][0-9 ().-]+[0-9]", span)) and 9 <= len(digits) <= 15 and len(digits) < len(span)
     if kind == "id":
         return bool(re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", span))
+    before = text[max(0, left - 40):left]
+    lead = _KEYED.match(span)
+    if lead or any(m.end() == len(before) for m in _KEYED.finditer(before)):
+        return bool(re.search(r"[^\s\"']", span[lead.end():] if lead else span))
     body = re.split(r"[=:\"' ]+", span.strip("\"'"))[-1]
-    return len(body) >= 14 and bool(digits) and bool(re.search(r"[A-Za-z]", body))
+    return len(body) >= 14 and bool(digits or _ISSUED.match(body)) and bool(re.search(r"[A-Za-z]", body))
 
 
 def added_spans(tagger: Tagger, texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
     """What the model adds to each text's base spans."""
-    owners, parts = [], []
-    for i, text in enumerate(texts):
-        for a, b in stretches(text):
-            owners.append((i, a))
-            parts.append(encode(text[a:b]))
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    emissions = _blended(tagger, parts)
-    for (i, start), e, path in zip(owners, emissions, tagger.paths(emissions), strict=True):
-        if not path.any():
-            continue
-        text = texts[i]
-        p = np.exp(e - e.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        cuts = np.flatnonzero(np.diff(path, prepend=-1, append=-1))
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            label = int(path[a])
-            if not label or p[a:b, label].mean() < LIKELY:
-                continue
-            left, right = start + int(a), start + int(b)
-            while left < right and (text[left].isspace() or text[left] in ",;|"):
-                left += 1
-            while right > left and (text[right - 1].isspace() or text[right - 1] in ",;|.!"):
-                right -= 1
-            while left > 0 and text[left - 1].isalnum() and left < right and text[left].isalnum():
-                left -= 1
-            while right < len(text) and text[right].isalnum() and left < right and text[right - 1].isalnum():
-                right += 1
-            kind = KINDS[label - 1]
-            if (right > left and _plausible(kind, text[left:right])
-                    and not any(s < right and left < t for _, s, t in base[i] + out[i])):
-                out[i].append((kind, left, right))
+    ends = np.cumsum([len(t) for t in texts]) // HELD
+    for group in np.unique(ends):
+        rows = np.flatnonzero(ends == group)
+        emissions = _blended(tagger, [encode(texts[i]) for i in rows])
+        for i, e, (path, parts) in zip(rows, emissions, _whole_paths(tagger, emissions), strict=True):
+            for a, b in parts:
+                _add(tagger, texts[i], a, e[a:b], path[a:b], base[i], out[i])
     return [sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1])) for spans in out]
 
 
+def _add(tagger: Tagger, text: str, start: int, e: np.ndarray, path: np.ndarray, base: list[tuple[str, int, int]],
+         out: list[tuple[str, int, int]]) -> None:
+    """Append to ``out`` the spans of a path from ``start`` on that are plausible and likely and touch no other."""
+    p = None
+    cuts = np.flatnonzero(np.diff(path, prepend=-1, append=-1))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        label = int(path[a])
+        if not label:
+            continue
+        left, right = start + int(a), start + int(b)
+        while left < right and (text[left].isspace() or text[left] in ",;|"):
+            left += 1
+        while right > left and (text[right - 1].isspace() or text[right - 1] in ",;|.!"):
+            right -= 1
+        while left > 0 and text[left - 1].isalnum() and left < right and text[left].isalnum():
+            left -= 1
+        while right < len(text) and text[right].isalnum() and left < right and text[right - 1].isalnum():
+            right += 1
+        kind = KINDS[label - 1]
+        at = _AT.search(text, left, right) if kind == "email" else None
+        if at:
+            # Spelled-out addresses are made of words: the neighbours' are left out.
+            left = max(left, 1 + max(text.rfind(c, left, at.start()) for c in " \n\t"))
+            right = at.end() + len(_HOST.match(text[at.end():right])[0])
+        if (right > left and _plausible(kind, text, left, right)
+                and not any(s < right and left < t for _, s, t in base + out)):
+            p = _posterior(tagger, e) if p is None else p
+            if p[max(a, left - start):min(b, right - start), label].mean() >= LIKELY:
+                out.append((kind, left, right))
+
+
 def spans_text(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1])))
 

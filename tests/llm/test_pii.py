@@ -99,3 +99,43 @@ def test_awkward_rows(spark):
     clean = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, rows)).collect()}
     assert clean[20] == "😀 <EMAIL>, <IP>" and clean[1] is None and clean[2] == "" and clean[7] == dict(TEXTS)[7]
     assert pii.find(empty(spark)).count() == 0 and pii.redact(empty(spark)).count() == 0
+
+
+FILL = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna "
+
+
+def test_spans_without_digits_are_found():
+    """No word, digit or sign opens a gate: whole texts are read."""
+    rng = np.random.default_rng(17)
+    word = lambda lo, hi: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(lo, hi))))
+    forms = [("secret", "password: {}"), ("secret", "token={}"), ("secret", 'secret = "{}"'), ("secret", "PASSWORD={}"),
+             ("email", "{} (AT) {} (DOT) net"), ("email", "{} at {} dot com")]
+    for kind, form in forms:
+        cut = lambda: (word(8, 20),) if kind == "secret" else (word(4, 9), word(4, 8))  # noqa: B023, E731
+        parts = [form.format(*cut()) for _ in range(50)]
+        texts = [FILL + p + " " + FILL for p in parts]
+        added = pii.added_spans(pii.trained(), texts, [[] for _ in texts])
+        whole = sum(any(k == kind and a <= len(FILL) and b >= len(FILL + p) for k, a, b in spans)
+                    for p, spans in zip(parts, added, strict=True))
+        assert whole >= 45, (form, whole)
+    for text, part in (("login with password=hunter2 now ", "hunter2"), ("my password: correcthorsebattery ", "correcthorsebattery"),
+                       ("write to me (AT) host today ", "me (AT) host")):
+        whole = FILL + text + FILL
+        assert part not in pii.masked(whole, pii.added_spans(pii.trained(), [whole], [[]])[0])
+
+
+def test_plain_key_words_are_no_spans():
+    plain = ["the password is required for entry", "a token of thanks to all", "the secret garden at the house",
+             "he looked at the dot on the wall", "forgot your password? click here", "at home or at work today"]
+    texts = [FILL[i:] + p + " " + FILL[:100 - i] for p in plain for i in range(0, 100, 10)]
+    assert sum(map(len, pii.added_spans(pii.trained(), texts, [[] for _ in texts]))) <= 1
+
+
+def test_paths_of_whole_texts_are_the_best():
+    rng = np.random.default_rng(6)
+    tagger = pii.Tagger(3)
+    for _ in range(20):
+        tagger.p["T"] = (2 * rng.standard_normal((7, 7))).astype(np.float32)
+        parts = [rng.standard_normal((n, 7)).astype(np.float32) * 3 + [9, 0, 0, 0, 0, 0, 0] for n in (1, 2, 40, 300)]
+        for (fast, _), path in zip(pii._whole_paths(tagger, parts), tagger.paths(parts), strict=True):
+            assert (fast == path).all()
