@@ -90,19 +90,22 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three drops; the second adds a field and a nested one, the third changes a type.
+    """Three drops; the second adds a field and nested ones, the third changes a type.
 
-    Drop 1 (views): device.os and a numeric size. Drop 2 (clicks): also ``channel`` and device.ver. Drop 3 (all
-    others): size is a text. Returned are the values that the table holds, and those kept in ``_rescued``.
+    Drop 1 (views): device.os, items of an id and a numeric size. Drop 2 (clicks): also ``channel``, device.ver and the
+    items' qty, which equals it. Drop 3 (all others): size is a text. Returned are the values that the table holds, and
+    those kept in ``_rescued`` (device.ver only if the item's qty was kept too).
     """
     cfg, root = fresh_config(spark, "bronze-evolve")
     base = fixtures.base_events(spark, sf_dir).selectExpr(
         "*", "concat('{\"event_id\":\"', _id, '\",\"occurred_at\":\"', date_format(_t, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\"), "
         "'\",\"site_id\":\"s', _uid % 4, '\"') AS start")
     drops = {
-        "first": ("_et = 'view'", "concat(start, ',\"device\":{\"os\":\"o', _k % 3, '\"},\"size\":', _k, '}')"),
+        "first": ("_et = 'view'", "concat(start, ',\"device\":{\"os\":\"o', _k % 3, '\"},"
+                                  "\"items\":[{\"id\":1},{\"id\":2}],\"size\":', _k, '}')"),
         "second": ("_et = 'click'", "concat(start, ',\"device\":{\"os\":\"o', _k % 3, '\",\"ver\":', _k % 5, "
-                                    "'},\"size\":', _k, ',\"channel\":\"c', _k % 2, '\"}')"),
+                                    "'},\"items\":[{\"id\":1},{\"id\":2,\"qty\":', _k % 5, "
+                                    "'}],\"size\":', _k, ',\"channel\":\"c', _k % 2, '\"}')"),
         "third": ("_et NOT IN ('view', 'click')", "concat(start, ',\"size\":\"wide\"}')"),
     }
     for name, (which, line) in drops.items():
@@ -110,9 +113,11 @@ def bronze_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
         start_bronze_stream(spark, cfg, trigger_once=True)
     corrupt = F.get_json_object("_corrupt_record", "$.size")
     rescued = F.get_json_object(F.get_json_object("_rescued", "$.device"), "$.ver")
+    qty = F.get_json_object(F.get_json_object("_rescued", "$.items"), "$[1].qty")
     return finished(spark, cfg, root, spark.read.table(cfg.bronze_fqn).select(
         F.coalesce("event_id", F.get_json_object("_corrupt_record", "$.event_id")).alias("event_id"), "drop", "size",
-        "channel", F.col("device.os").alias("os"), rescued.alias("rescued_ver"), corrupt.alias("misfit_size")))
+        "channel", F.col("device.os").alias("os"), F.when(rescued == qty, rescued).alias("rescued_ver"),
+        corrupt.alias("misfit_size")))
 
 
 def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:

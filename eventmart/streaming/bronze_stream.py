@@ -29,15 +29,31 @@ def resolve_state_dir(spark: SparkSession, cfg: MartConfig) -> str:
     return cfg.state_dir or f"{state_root(spark).rstrip('/')}/eventmart-state"
 
 
-def _unknown_fields(text: Column, fields: T.StructType, known: list[str]) -> Column:
-    """Top-level names of a JSON object that ``fields`` does not hold in full (itself, or a key within a struct)."""
+def _unknown_key(text: Column, kind: T.DataType) -> Column | None:
+    """Whether a JSON value holds, at any depth, a key that ``kind`` does not; None if ``kind`` has no keys."""
+    if isinstance(kind, T.ArrayType):
+        if _unknown_key(text, kind.elementType) is None:
+            return None
+        elements = F.from_json(text, T.ArrayType(T.StringType()))
+        return F.coalesce(F.exists(elements, lambda e: _unknown_key(e, kind.elementType)), F.lit(False))
+    if not isinstance(kind, T.StructType):
+        return None
     names = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
-    found = [F.array_except(names, F.array(*[F.lit(n) for n in known]))]
+    found = F.size(F.array_except(names, F.array(*[F.lit(n) for n in kind.fieldNames()]))) > 0
+    for f in kind.fields:
+        inner = _unknown_key(F.get_json_object(text, f"$['{f.name}']"), f.dataType)
+        found = found if inner is None else found | inner
+    return found
+
+
+def _unknown_fields(text: Column, fields: T.StructType, known: list[str]) -> Column:
+    """Top-level names of a JSON object that ``fields`` does not hold in full (itself, or a key within structs and arrays)."""
+    none = F.array().cast("array<string>")
+    found = [F.array_except(F.coalesce(F.json_object_keys(text), none), F.array(*[F.lit(n) for n in known]))]
     for f in fields.fields:
-        if isinstance(f.dataType, T.StructType):
-            inner = F.get_json_object(text, f"$['{f.name}']")
-            more = _unknown_fields(inner, f.dataType, f.dataType.fieldNames())
-            found.append(F.when(F.size(more) > 0, F.array(F.lit(f.name))).otherwise(F.array().cast("array<string>")))
+        more = _unknown_key(F.get_json_object(text, f"$['{f.name}']"), f.dataType)
+        if more is not None:
+            found.append(F.when(more, F.array(F.lit(f.name))).otherwise(none))
     return found[0] if len(found) == 1 else F.concat(*found)
 
 
@@ -45,8 +61,7 @@ def parse_lines(lines: DataFrame, payload: T.StructType, path_columns: list[str]
     """JSON lines (``value`` and path columns) -> payload and path columns, ``_corrupt_record`` and ``_rescued``.
 
     ``_rescued`` keeps, as JSON text, every field of a line that the schema does not hold, so a field first seen
-    while a stream runs, or a new key within a known object, is never lost (keys within arrays of objects are not
-    looked at; the array's elements keep the keys that the schema knows).
+    while a stream runs, or a new key within a known object or array of objects, is never lost.
     """
     schema = schema_store.with_corrupt_column(payload)
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schema_store.CORRUPT_COLUMN})

@@ -179,3 +179,18 @@ def test_archived_files_stay_ingested_once(spark, workdir):
         put(workdir, f"{k}.json", [event(k)])
         start_bronze_stream(spark, cfg, archive_dir=f"{workdir}/archive")
     assert sorted(r["event_id"] for r in spark.read.table(cfg.bronze_fqn).collect()) == ["e0", "e1", "e2"]
+
+
+def test_keys_within_arrays_are_not_lost(spark, workdir):
+    cfg = config(spark, workdir)
+    deep = lambda **more: {"rows": [[{"at": [{"x": 1} | more]}], []]}
+    put(workdir, "a.json", [event(1, items=[{"id": 1}, None], cart=deep(), tags=["t"])])
+    start_bronze_stream(spark, cfg)
+    put(workdir, "b.json", [event(2, items=[{"id": 2}, {"id": 3, "qty": 4}]), event(3, cart=deep(y=5)),
+                            event(4, items=[], cart=deep(), tags=["u", "{\"v\": 1}"])])
+    start_bronze_stream(spark, cfg)
+    rows = spark.read.table(cfg.bronze_fqn).collect()
+    kept = {r["event_id"]: r["_rescued"] and {k: json.loads(v) for k, v in json.loads(r["_rescued"]).items()} for r in rows}
+    assert kept == {"e1": None, "e2": {"items": [{"id": 2}, {"id": 3, "qty": 4}]}, "e3": {"cart": deep(y=5)}, "e4": None}
+    assert [[i["id"] for i in r["items"]] for r in rows if r["event_id"] == "e2"] == [[2, 3]]
+    assert all(r["_corrupt_record"] is None for r in rows)
