@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 
 from eventmart.llm import near_dedup, shingles
@@ -87,3 +89,16 @@ def test_shingle_pieces_agree(monkeypatch):
     whole = shingles.hashes(items)
     monkeypatch.setattr(shingles, "PIECE", 37)
     assert shingles.hashes(items).tolist() == whole.tolist()
+
+
+def test_the_estimate_loses_less_than_the_bands():
+    """Binomial tail of a pair exactly at the threshold, for any number of used registers."""
+    for percent in (80, 85):
+        p = percent / 100
+        bands = (1 - p ** near_dedup.ROWS) ** near_dedup.BANDS
+        for used in range(1, near_dedup.REGISTERS + 1):
+            regs = np.arange(near_dedup.REGISTERS) < used
+            _, spread = near_dedup.estimate(regs.astype(np.uint16), 500, regs.astype(np.uint16)[None], np.array([500]), percent)
+            lost = sum(math.comb(used, k) * p ** k * (1 - p) ** (used - k) for k in range(used + 1)
+                       if k / used + near_dedup.MARGIN * spread[0] < p)
+            assert lost < bands, (percent, used, lost)
