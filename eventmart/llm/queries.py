@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import (chat, decontaminate, near_dedup, packing, pii, quality_knn, quality_rules, sharding, tokens,
-                           toxicity)
+from eventmart.llm import (chat, decontaminate, infill, near_dedup, packing, pii, quality_knn, quality_rules, sharding,
+                           tokens, toxicity)
 from eventmart.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,6 +78,13 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_terms", "n_words")
 
 
+def infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return infill.infill(_texts(spark, sf_dir)).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(infill.restore(F.col("form"), F.col("output"))).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_ids": token_ids,
@@ -90,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_classifier": quality_classifier,
         "op9_shards": shards,
         "op10_toxicity": toxicity_query,
+        "op13_infilling": infilling,
     }
 
 
@@ -143,5 +151,30 @@ FROM judged
 """
 
 
+# The units as a list; prefix, middle and suffix are its slices, joined.
+INFILL_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+units AS (
+  SELECT *, regexp_extract_all(text, '[ 	-]*[^ 	-]+|[ 	-]+') AS u,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM docs),
+cuts AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+         greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+              THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM units),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(list_slice(u, 1, a), '') AS p,
+         array_to_string(list_slice(u, a + 1, b), '') AS m, array_to_string(list_slice(u, b + 1, n), '') AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": CHAT_SQL, "op5_quality_rules": RULES_SQL}
+    return {"op3_chat_format": CHAT_SQL, "op5_quality_rules": RULES_SQL, "op13_infilling": INFILL_SQL}
