@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import (chat, decontaminate, infill, near_dedup, packing, pii, quality_knn, quality_rules, sharding,
-                           tokens, toxicity)
+from eventmart.llm import (chat, decontaminate, infill, line_dedup, near_dedup, packing, pii, quality_knn, quality_rules,
+                           sharding, tokens, toxicity)
 from eventmart.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,6 +78,11 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_terms", "n_words")
 
 
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_texts(spark, sf_dir), min_chars=20, min_docs=3).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = lambda c: F.sha2(c.cast("binary"), 256)
     return infill.infill(_texts(spark, sf_dir)).select(
@@ -97,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_classifier": quality_classifier,
         "op9_shards": shards,
         "op10_toxicity": toxicity_query,
+        "op12_line_dedup": line_dedup_query,
         "op13_infilling": infilling,
     }
 
@@ -151,12 +157,33 @@ FROM judged
 """
 
 
+LINES_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+split AS (SELECT r, doc_id, string_split(text, chr(10)) AS parts FROM docs),
+lines AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM split),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[ \t-\r]+|[ \t-\r]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+shared AS (
+  SELECT key, max(doc_id) AS last FROM (SELECT DISTINCT key, doc_id FROM keyed WHERE length(key) >= 20)
+  GROUP BY key HAVING count(*) >= 3),
+judged AS (
+  SELECT k.*, s.key IS NOT NULL AND (k.doc_id IS NULL OR k.doc_id < s.last) AS dropped
+  FROM keyed k LEFT JOIN shared s ON k.key = s.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""
+
 # The units as a list; prefix, middle and suffix are its slices, joined.
 INFILL_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 units AS (
-  SELECT *, regexp_extract_all(text, '[ 	-]*[^ 	-]+|[ 	-]+') AS u,
+  SELECT *, regexp_extract_all(text, '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS u,
          CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
          CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM docs),
 cuts AS (
@@ -177,4 +204,5 @@ FROM parts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": CHAT_SQL, "op5_quality_rules": RULES_SQL, "op13_infilling": INFILL_SQL}
+    return {"op3_chat_format": CHAT_SQL, "op5_quality_rules": RULES_SQL, "op12_line_dedup": LINES_SQL,
+            "op13_infilling": INFILL_SQL}
