@@ -22,6 +22,10 @@ SDK_RENAMES = {
     "sdkVersion": "sdk_version",
 }
 
+# Columns that ingestion adds; a payload field of such a name stays in ``_rescued``.
+RESCUED_COLUMN = "_rescued"
+ADDED_COLUMNS = (RESCUED_COLUMN, "_ingested_at", "_source_file", "_metadata", "occurred_at_ts", "event_date")
+
 
 def rename_sdk_fields(df: DataFrame) -> DataFrame:
     """camelCase SDK names -> snake_case; absent names are skipped.

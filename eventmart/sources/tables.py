@@ -90,6 +90,21 @@ def drop_partitions(spark: SparkSession, fqn: str, dates: Iterable) -> None:
         spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION (event_date = DATE '{d.isoformat()}')")
 
 
+def sql_type(kind: T.DataType) -> str:
+    """A type in DDL with its field names quoted, whatever characters they hold."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ", ".join(f"{quoted(f.name)}: {sql_type(f.dataType)}" for f in kind.fields) + ">"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{sql_type(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{sql_type(kind.keyType)}, {sql_type(kind.valueType)}>"
+    return kind.simpleString()
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def add_missing_columns(spark: SparkSession, fqn: str, schema: T.StructType) -> list[str]:
     """``ALTER TABLE ADD COLUMNS`` for top-level fields the table lacks.
 
@@ -98,7 +113,7 @@ def add_missing_columns(spark: SparkSession, fqn: str, schema: T.StructType) ->
     have = {f.name.lower() for f in spark.read.table(fqn).schema.fields}
     new = [f for f in schema.fields if f.name.lower() not in have]
     if new:
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        cols = ", ".join(f"{quoted(f.name)} {sql_type(f.dataType)}" for f in new)
         spark.sql(f"ALTER TABLE {fqn} ADD COLUMNS ({cols})")
         spark.catalog.refreshTable(fqn)
     return [f.name for f in new]

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.config import MartConfig
-from eventmart.operators.bronze import with_bronze_columns
+from eventmart.operators.bronze import RESCUED_COLUMN, with_bronze_columns
 from eventmart.session import configure, state_root
 from eventmart.sources.tables import add_missing_columns, table_exists
 from eventmart.streaming import schema_store
@@ -22,15 +22,21 @@ from eventmart.streaming import schema_store
 CONTINUOUS_TRIGGER = "1 minute"
 # The file source skips files older than this behind the newest one; every raw file counts, however late it comes.
 ANY_AGE = "36500d"
-RESCUED_COLUMN = "_rescued"
 
 
 def resolve_state_dir(spark: SparkSession, cfg: MartConfig) -> str:
     return cfg.state_dir or f"{state_root(spark).rstrip('/')}/eventmart-state"
 
 
+_TEXTS = T.MapType(T.StringType(), T.StringType())
+
+
+def _repeats(names: Column) -> Column:
+    return F.size(names) != F.size(F.array_distinct(names))
+
+
 def _unknown_key(text: Column, kind: T.DataType) -> Column | None:
-    """Whether a JSON value holds, at any depth, a key that ``kind`` does not; None if ``kind`` has no keys."""
+    """Whether a JSON value holds, at any depth, a key that ``kind`` does not, or one twice; None if ``kind`` has no keys."""
     if isinstance(kind, T.ArrayType):
         if _unknown_key(text, kind.elementType) is None:
             return None
@@ -38,41 +44,60 @@ def _unknown_key(text: Column, kind: T.DataType) -> Column | None:
         return F.coalesce(F.exists(elements, lambda e: _unknown_key(e, kind.elementType)), F.lit(False))
     if not isinstance(kind, T.StructType):
         return None
-    names = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
-    found = F.size(F.array_except(names, F.array(*[F.lit(n) for n in kind.fieldNames()]))) > 0
+    fields = F.from_json(text, _TEXTS)
+    names = F.coalesce(F.map_keys(fields), F.array().cast("array<string>"))
+    found = _repeats(names) | (F.size(F.array_except(names, F.array(*[F.lit(n) for n in kind.fieldNames()]))) > 0)
     for f in kind.fields:
-        inner = _unknown_key(F.get_json_object(text, f"$['{f.name}']"), f.dataType)
+        # By key, not by path: a name may hold quotes and dots.
+        inner = _unknown_key(F.try_element_at(fields, F.lit(f.name)), f.dataType)
         found = found if inner is None else found | inner
     return found
 
 
-def _unknown_fields(text: Column, fields: T.StructType, known: list[str]) -> Column:
-    """Top-level names of a JSON object that ``fields`` does not hold in full (itself, or a key within structs and arrays)."""
+def _not_held(fields: Column, parsed: Column, payload: T.StructType, known: list[str]) -> Column:
+    """Top-level names of a JSON object that ``payload`` does not hold in full: unknown or repeated ones, those with such a
+    key within, and those whose value does not fit the column."""
     none = F.array().cast("array<string>")
-    found = [F.array_except(F.coalesce(F.json_object_keys(text), none), F.array(*[F.lit(n) for n in known]))]
-    for f in fields.fields:
-        more = _unknown_key(F.get_json_object(text, f"$['{f.name}']"), f.dataType)
+    names = F.coalesce(F.map_keys(fields), none)
+    found = [F.array_except(names, F.array(*[F.lit(n) for n in known])),
+             F.when(_repeats(names), F.filter(F.array_distinct(names), lambda n: F.size(F.filter(names, lambda m: m == n)) > 1))
+             .otherwise(none)]
+    for f in payload.fields:
+        text = F.try_element_at(fields, F.lit(f.name))
+        more = _unknown_key(text, f.dataType)
+        if not isinstance(f.dataType, T.StringType):
+            misfit = text.isNotNull() & parsed.getField(f.name).isNull()
+            more = misfit if more is None else misfit | more
         if more is not None:
             found.append(F.when(more, F.array(F.lit(f.name))).otherwise(none))
-    return found[0] if len(found) == 1 else F.concat(*found)
+    return F.concat(*found)
 
 
 def parse_lines(lines: DataFrame, payload: T.StructType, path_columns: list[str]) -> DataFrame:
     """JSON lines (``value`` and path columns) -> payload and path columns, ``_corrupt_record`` and ``_rescued``.
 
     ``_rescued`` keeps, as JSON text, every field of a line that the schema does not hold, so a field first seen
-    while a stream runs, or a new key within a known object or array of objects, is never lost.
+    while a stream runs, a new key within a known object or array of objects, a second spelling or a repetition of a
+    key (with all its values) or a value of another type is never lost. A line that is not one JSON object, or
+    has a value that does not fit, stays whole in ``_corrupt_record`` besides the fields that can be read.
     """
     schema = schema_store.with_corrupt_column(payload)
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schema_store.CORRUPT_COLUMN})
-    unknown = _unknown_fields(F.col("value"), payload, [*payload.fieldNames(), *path_columns])
-    fields = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
-    rescued = F.when(F.size("_once.unknown") > 0,
-                     F.to_json(F.map_filter(fields, lambda k, _: F.array_contains("_once.unknown", k))))
-    # The generator keeps the optimizer from parsing the line once for every field that is read from it.
-    once = F.explode(F.array(F.struct(parsed.alias("parsed"), unknown.alias("unknown")))).alias("_once")
-    return (lines.where(F.trim("value") != "").select("value", *path_columns, once)
-            .select("_once.parsed.*", *path_columns, rescued.alias(RESCUED_COLUMN)))
+    corrupt = schema_store.CORRUPT_COLUMN
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    # As a list of objects: text after the first object makes it unreadable or longer than one.
+    objects = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), T.ArrayType(_TEXTS))
+    # The generators keep the optimizer from parsing the line once for every field that is read from it.
+    once = F.explode(F.array(F.struct(parsed.alias("parsed"), objects.alias("objects")))).alias("_once")
+    rows = lines.where(F.trim("value") != "").select("value", *path_columns, once)
+    fields = F.get("_once.objects", F.lit(0))
+    unknown = _not_held(fields, F.col("_once.parsed"), payload, [*payload.fieldNames(), *path_columns])
+    rows = rows.select("*", F.explode(F.array(F.struct(unknown.alias("names"), fields.alias("fields")))).alias("_unknown"))
+    rescued = F.when(F.size("_unknown.names") > 0, F.to_json(
+        F.map_filter("_unknown.fields", lambda k, _: F.array_contains("_unknown.names", k))))
+    whole = F.when(F.coalesce(F.size("_once.objects"), F.lit(0)) != 1, F.col("value"))
+    return rows.select(*[F.col("_once.parsed").getField(n).alias(n) for n in payload.fieldNames()],
+                       F.coalesce(F.col("_once.parsed").getField(corrupt), whole).alias(corrupt),
+                       *path_columns, rescued.alias(RESCUED_COLUMN))
 
 
 def build_bronze_stream(spark: SparkSession, cfg: MartConfig, schema: T.StructType, *,
@@ -82,9 +107,8 @@ def build_bronze_stream(spark: SparkSession, cfg: MartConfig, schema: T.StructTy
     fields of the same name.  Unparseable lines keep their text in
     ``_corrupt_record``, fields beyond the schema in ``_rescued``.  With
     ``archive_dir``, files of finished batches move there, which bounds the folder listing."""
-    found = set(spark.read.text(cfg.raw_events_path).columns) - {"value"}
-    in_path = [f for f in schema.fields if f.name in found]
-    payload = T.StructType([f for f in schema.fields if f.name not in found])
+    in_path = [T.StructField(f.name, f.dataType) for f in schema.fields if schema_store.is_in_path(f)]
+    payload = T.StructType([f for f in schema.fields if not schema_store.is_in_path(f)])
     reader = (spark.readStream.schema(T.StructType([T.StructField("value", T.StringType()), *in_path]))
               .option("maxFileAge", ANY_AGE))
     if max_files_per_trigger:
