@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm import (chat, decontaminate, infill, line_dedup, near_dedup, packing, pii, quality_knn, quality_rules,
-                           sharding, tokens, toxicity)
+                           sharding, tokens, toxicity, vector_codes)
 from eventmart.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,6 +78,12 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_terms", "n_words")
 
 
+def vector_codes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, codebook = vector_codes.vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return vector_codes.with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_digest(codebook)).alias("codebooks_sha256"))
+
+
 def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_texts(spark, sf_dir), min_chars=20, min_docs=3).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -102,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_classifier": quality_classifier,
         "op9_shards": shards,
         "op10_toxicity": toxicity_query,
+        "op11_vector_codes": vector_codes_query,
         "op12_line_dedup": line_dedup_query,
         "op13_infilling": infilling,
     }
@@ -157,6 +164,37 @@ FROM judged
 """
 
 
+# The components as rows, and each round as a join of all of them with all entries.
+def _codes_sql() -> str:
+    code = """,
+near{i} AS (
+  SELECT r, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT p.r, p.part, c.entry, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS d
+    FROM parts p JOIN book{i} c ON p.part = c.part AND p.pos = c.pos GROUP BY p.r, p.part, c.entry)
+  GROUP BY r, part)"""
+    mean = """,
+book{j} AS (
+  SELECT c.part, c.entry, c.pos, coalesce(m.x, c.x) AS x FROM book{i} c LEFT JOIN (
+    SELECT n.part, n.entry, p.pos, CAST(floor(CAST(sum(p.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+    FROM near{i} n JOIN parts p ON n.r = p.r AND n.part = p.part GROUP BY n.part, n.entry, p.pos) m
+  ON c.part = m.part AND c.entry = m.entry AND c.pos = m.pos)"""
+    return """
+WITH kept AS (
+  SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, len(embedding) // 16 AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, x -> isfinite(x)))),
+flat AS (SELECT r, w, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS place FROM kept),
+parts AS (SELECT r, place // w AS part, place % w AS pos, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM flat),
+book0 AS (SELECT part, r - 1 AS entry, pos, x FROM parts WHERE r <= 64)""" + "".join(
+        code.format(i=i) + (mean.format(i=i, j=i + 1) if i < 2 else "") for i in range(3)) + """,
+coded AS (
+  SELECT r, string_agg(format('{:02x}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near2 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book2) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+
 LINES_SQL = r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
 split AS (SELECT r, doc_id, string_split(text, chr(10)) AS parts FROM docs),
@@ -204,5 +242,5 @@ FROM parts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": CHAT_SQL, "op5_quality_rules": RULES_SQL, "op12_line_dedup": LINES_SQL,
-            "op13_infilling": INFILL_SQL}
+    return {"op3_chat_format": CHAT_SQL, "op5_quality_rules": RULES_SQL, "op11_vector_codes": _codes_sql(),
+            "op12_line_dedup": LINES_SQL, "op13_infilling": INFILL_SQL}
