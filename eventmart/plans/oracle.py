@@ -327,6 +327,22 @@ def oracle_sql() -> dict[str, str]:
                   CASE WHEN _et = 'click' THEN CAST(_k % 5 AS VARCHAR) END AS rescued_ver,
                   CASE WHEN _et NOT IN ('view', 'click') THEN 'wide' END AS misfit_size
            FROM raw""")
+    q["bronze_any_line"] = with_raw(
+        """SELECT CASE _et WHEN 'view' THEN '' ELSE 'e' END || CAST(_id AS VARCHAR) AS event_id,
+                  CASE _et WHEN 'view' THEN 'first' WHEN 'click' THEN 'second' ELSE 'third' END AS "drop",
+                  CAST(_t AS DATE) AS event_date,
+                  CASE WHEN _et = 'view' THEN CAST(_k + 1 AS BIGINT) END AS k,
+                  CAST(CASE WHEN _et = 'view' THEN 2 WHEN _et = 'click' OR _id % 3 <> 0 THEN 0 END AS BIGINT) AS k_kept,
+                  CASE WHEN _et = 'view' THEN CAST(_k AS BIGINT) END AS size,
+                  CASE WHEN _et = 'click' THEN 'wide' END AS misfit_size,
+                  CASE WHEN _et = 'click' THEN 'c' || CAST(_k % 2 AS VARCHAR) END AS channel,
+                  CASE WHEN _et = 'click' THEN 'C' || CAST(_k % 3 AS VARCHAR) END AS twin,
+                  CASE WHEN _et NOT IN ('view', 'click') AND _id % 3 <> 0 THEN 'late' END AS late_twin,
+                  CASE WHEN _et = 'click' THEN 'own' END AS own_rescued,
+                  CASE WHEN _et = 'view' THEN CAST(_k AS BIGINT) WHEN _et = 'click' THEN CAST(1 AS BIGINT) END AS quoted_x,
+                  CASE WHEN _et = 'click' THEN CAST(_k AS VARCHAR) END AS quoted_y,
+                  _et NOT IN ('view', 'click') AND _id % 3 = 0 AS kept_whole
+           FROM raw""")
     q["quarantine_table"] = with_raw(
         """SELECT event_id, CASE _k WHEN 97 THEN 'missing_event_id' WHEN 98 THEN 'missing_site_id'
                                  ELSE 'unparseable_occurred_at' END AS reasons,

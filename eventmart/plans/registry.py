@@ -204,6 +204,7 @@ def queries() -> dict[str, Query]:
         "utm_from_url": utm_from_url,
         "bronze_ingest": table_flows.bronze_ingest,
         "bronze_evolve": table_flows.bronze_evolve,
+        "bronze_any_line": table_flows.bronze_any_line,
         "quarantine_table": table_flows.quarantine_table,
         "silver_merge_table": table_flows.silver_merge_table,
         "gold_refresh": table_flows.gold_refresh,

@@ -120,6 +120,39 @@ def bronze_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
         corrupt.alias("misfit_size")))
 
 
+def bronze_any_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that a strict reader stops at or loses fields of, in three drops; every value is accounted for.
+
+    Drop 1 (views): a numeric event_id, the key k twice, a name with a quote. Drop 2 (clicks): a text event_id, channel in two
+    spellings, a field named _rescued, a size of another type, a new key under the quoted name. Drop 3 (all
+    others): a third spelling, and text behind the object in every third line.
+    """
+    cfg, root = fresh_config(spark, "bronze-any-line")
+    base = fixtures.base_events(spark, sf_dir).selectExpr(
+        "*", "concat(',\"occurred_at\":\"', date_format(_t, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\"), "
+        "'\",\"site_id\":\"s', _uid % 4, '\"') AS start")
+    drops = {
+        "first": ("_et = 'view'", "concat('{\"event_id\":', _id, start, ',\"k\":', _k, ',\"k\":', _k + 1, ',\"size\":', _k, "
+                                  "',\"it\\'s\":{\"x\":', _k, '}}')"),
+        "second": ("_et = 'click'", "concat('{\"event_id\":\"e', _id, '\"', start, ',\"channel\":\"c', _k % 2, "
+                                    "'\",\"Channel\":\"C', _k % 3, '\",\"_rescued\":\"own\",\"size\":\"wide\","
+                                    "\"it\\'s\":{\"x\":1,\"y\":', _k, '}}')"),
+        "third": ("_et NOT IN ('view', 'click')", "concat('{\"event_id\":\"e', _id, '\"', start, ',\"CHANNEL\":\"late\"}', "
+                                                  "if(_id % 3 = 0, ' tail', ''))"),
+    }
+    for name, (which, line) in drops.items():
+        base.where(which).selectExpr(f"{line} AS value").write.text(f"{cfg.raw_events_path}/drop={name}")
+        start_bronze_stream(spark, cfg, trigger_once=True)
+    kept = F.from_json("_rescued", "map<string,string>")
+    value = lambda key: F.try_element_at(kept, F.lit(key))
+    return finished(spark, cfg, root, spark.read.table(cfg.bronze_fqn).select(
+        "event_id", "drop", "event_date", "k", F.regexp_count("_rescued", F.lit('"k":')).cast("long").alias("k_kept"), "size",
+        value("size").alias("misfit_size"), "channel", value("Channel").alias("twin"), value("CHANNEL").alias("late_twin"),
+        value("_rescued").alias("own_rescued"), F.col("`it's`.x").alias("quoted_x"),
+        F.get_json_object(value("it's"), "$.y").alias("quoted_y"),
+        F.coalesce(F.endswith("_corrupt_record", F.lit(" tail")), F.lit(False)).alias("kept_whole")))
+
+
 def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R10 as a job: rows without a site come twice; the first run reads all days, then more rows come and the second
     run reads an overlapping slice."""
