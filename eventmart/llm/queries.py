@@ -181,7 +181,7 @@ book{j} AS (
     return """
 WITH kept AS (
   SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, len(embedding) // 16 AS w FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, x -> isfinite(x)))),
+  WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))),
 flat AS (SELECT r, w, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS place FROM kept),
 parts AS (SELECT r, place // w AS part, place % w AS pos, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM flat),
 book0 AS (SELECT part, r - 1 AS entry, pos, x FROM parts WHERE r <= 64)""" + "".join(
