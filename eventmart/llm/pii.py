@@ -6,8 +6,9 @@ spelled-out emails, identity numbers). It is written and trained in numpy, from
 carrier text, once per process.
 
 The model reads every character of every text, in windows of ``READ`` characters that overlap. The windows' emissions
-are blended, weighted towards a window's middle, and one Viterbi path over the whole text reconciles them. A path's
-span is added if it is likely enough, passes its kind's check and touches no base span and no earlier added one.
+fade into each other, and one Viterbi path over the text (over each block of ``SEGMENT`` characters and its margins, if
+it is longer) reconciles them. A path's span is added if it is likely enough, passes its kind's check and touches no base
+span and no earlier added one.
 
 Edge cases: a null text is an empty one and has no spans; offsets are code points, ends exclusive; texts of any length
 are read whole, in windows; equal spans are reported once per document row; an empty table gives no rows; other
@@ -18,7 +19,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import ipaddress
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +32,11 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone", "secret", "id")
 BASE = KINDS[:4]
-WIDTH, HIDDEN, EMBEDDING = 80, 20, 16
+WIDTH, HIDDEN, EMBEDDING = 80, 8, 8
 #: Characters of a window when reading, and how many of them the next window reads again.
-READ, OVERLAP = 240, WIDTH // 2
+READ, OVERLAP = 960, WIDTH // 2
+#: A text is read in blocks of so many characters, with so many more on both sides; a span belongs to the block it starts in.
+SEGMENT, MARGIN = 1 << 19, 2000
 LIKELY = 0.85
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -46,6 +51,9 @@ _HOST = re.compile(rf"\S*?(?:(?:{_DOT.pattern})\S+?)*(?!\S)|\S*", re.IGNORECASE)
 #: What names a secret and leads up to it.
 _KEYED = re.compile(r"""(?:pass(?:word|wd|phrase)|pwd|token|secret|api[ _-]?key|auth)\w{0,12}["']?\s{0,3}(?:[=:]\s{0,3}|\sis\s)["']?""",
                     re.IGNORECASE)
+#: An address spelled in words: a user, one "at", a host with at least one "dot".
+_SPELLED = re.compile(r"[^\s@]{1,64}(?: at | ?[\[(]at[\])] ?)[^\s@.]{1,64}+(?:(?: dot | ?[\[(]dot[\])] ?|\.)[^\s@.,;|]{1,64}+)++"
+                      r"(?! at | ?[\[(]at[\])])", re.IGNORECASE)
 _ISSUED = re.compile(r"AKIA|sk_live_|ghp_|xoxb-")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -128,8 +136,9 @@ def _labelled(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
                      f"00{number(20, 99)} {a} {some(digits, 5, 7)}", f"+{number(1, 99)}.{a}.{b}.{c}"])
 
     def ip() -> str:
+        groups = lambda lo, hi: ":".join(some(hexes, 1, 4) for _ in range(int(rng.integers(lo, hi + 1))))
         return pick([".".join(number(0, 255) for _ in range(4)), ":".join(some(hexes, 4, 4) for _ in range(8)),
-                     ":".join(some(hexes, 1, 4) for _ in range(8))])
+                     ":".join(some(hexes, 1, 4) for _ in range(8)), f"{groups(1, 4)}::{groups(1, 3)}", f"{groups(2, 4)}::"])
 
     def secret() -> str:
         word = pick(["password", "token", "secret", "api_key", "passwd", "auth", "passphrase"])
@@ -137,7 +146,9 @@ def _labelled(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
         body = pick([some(hexes, 16, 40), some(lower + upper + digits, 14, 32), some(letters, 4, 28), some(letters, 4, 28),
                      some(lower, 3, 10) + some(digits, 1, 4), some(lower + upper, 5, 32)])
         quoted = pick([body, body, " ".join(some(letters, 2, 8) for _ in range(int(rng.integers(2, 5))))])
-        return pick([f"{word}={body}", f'{word} = "{quoted}"', f"{word}: {body}", f"{word} = {body}", f"{word}: {body}",
+        shown = some(lower, 3, 8) + some(digits, 1, 4)
+        return pick([f"{word}={body}", f'{word} = "{quoted}"', f'{word} = "{body}"', f"{word}: {body}", f"{word} = {body}",
+                     f"{word}: {body}", f"{word} is {shown}",
                      "AKIA" + some(upper + digits, 16, 16),
                      pick(["sk_live_", "ghp_", "xoxb-"]) + some(lower + upper + digits, 20, 32)])
 
@@ -152,7 +163,8 @@ def _labelled(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
                      f"{number(1, 9)},{some(digits, 3, 3)},{some(digits, 3, 3)}", some(lower, 2, 6) + number(1, 99),
                      f"{number(1, 99)}-{number(100, 200)}", "@" + some(lower, 3, 9), "(" + number(1, 30) + ")",
                      pick(["password", "token", "secret", "auth", "Password", "passphrase"]) + pick([" ", ", ", ". "]) + some(letters, 2, 9),
-                     "at " + pick(["", "the "]) + some(letters, 2, 9), pick(["at", "dot", "AT", "dot " + some(letters, 2, 9)]),
+                     "at " + pick(["", "the "]) + some(letters, 2, 9), pick(["me at", "us at", "mail at", "reach me at", "write to me at"]),
+                     pick(["password", "token", "passwd"]) + " is " + some(letters, 2, 9), pick(["at", "dot", "AT", "dot " + some(letters, 2, 9)]),
                      "at the dot " + some(letters, 2, 9), some(letters, 2, 9) + " at " + some(letters, 2, 9) + " " + some(letters, 2, 9),
                      some(letters, 2, 10) + pick([": ", "=", " = "]) + some(letters, 2, 12)])
 
@@ -199,8 +211,16 @@ def encode(text: str) -> np.ndarray:
     return np.where(points < len(_CODES), _CODES[np.minimum(points, len(_CODES) - 1)], 1)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+#: Gates are piecewise linear sigmoids, SLOPE * z + 1/2 within 0 and 1.
+SLOPE = 0.2
+
+
+def _gate(z: np.ndarray) -> np.ndarray:
+    return np.clip(SLOPE * z + 0.5, 0, 1)
+
+
+def _gate_slope(s: np.ndarray) -> np.ndarray:
+    return SLOPE * ((s > 0) & (s < 1))
 
 
 class Tagger:
@@ -217,52 +237,76 @@ class Tagger:
                        f"c{d}": np.zeros(4 * HIDDEN, np.float32)}
             self.p[f"c{d}"][HIDDEN:2 * HIDDEN] = 1  # remember by default
 
-    def _direction(self, x: np.ndarray, d: str, keep: bool):
-        """Hidden states (time, batch, HIDDEN) of time-major inputs, and what the way back needs."""
-        steps, n, _ = x.shape
-        gates = x @ self.p[f"X{d}"] + self.p[f"c{d}"]
-        weights = self.p[f"H{d}"]
-        h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
-        states, trace = np.empty((steps, n, HIDDEN), np.float32), []
+    def _both(self, name: str) -> np.ndarray:
+        return np.stack([self.p[f"{name}f"], self.p[f"{name}b"]])
+
+    def _states(self, x: np.ndarray):
+        """Hidden states (2, time, batch, HIDDEN) of inputs (2, time, batch, EMBEDDING), and what the way back needs."""
+        _, steps, n, _ = x.shape
+        gates = x @ self._both("X")[:, None] + self._both("c")[:, None, None]
+        weights = self._both("H")
+        h, c = np.zeros((2, n, HIDDEN), np.float32), np.zeros((2, n, HIDDEN), np.float32)
+        states, trace = np.empty((2, steps, n, HIDDEN), np.float32), []
         for t in range(steps):
-            z = gates[t] + h @ weights
-            s = _sigmoid(z[:, :3 * HIDDEN])
-            i, f, o, g = s[:, :HIDDEN], s[:, HIDDEN:2 * HIDDEN], s[:, 2 * HIDDEN:], np.tanh(z[:, 3 * HIDDEN:])
+            z = gates[:, t] + h @ weights
+            s = _gate(z[..., :3 * HIDDEN])
+            i, f, o, g = s[..., :HIDDEN], s[..., HIDDEN:2 * HIDDEN], s[..., 2 * HIDDEN:], np.tanh(z[..., 3 * HIDDEN:])
             before, h_before = c, h
             c = f * c + i * g
             tc = np.tanh(c)
             h = o * tc
-            states[t] = h
-            if keep:
-                trace.append((i, f, o, g, before, tc, h_before))
+            states[:, t] = h
+            trace.append((i, f, o, g, before, tc, h_before))
         return states, trace
 
     def emissions(self, codes: np.ndarray) -> np.ndarray:
         """(batch, time, labels) from (batch, time) codes."""
-        n, steps = codes.shape
-        out = np.empty((steps, len(self.p["o"]), n), np.float32)
-        out[:] = self.p["o"][:, None]
-        x = self.p["E"].astype(np.float32).T[:, codes.T]
-        # Features by rows, and one tanh for all gates, as sigmoid(z) is (1 + tanh(z / 2)) / 2; the states are kept doubled.
-        half = np.repeat(np.float32([0.5, 1]), [3 * HIDDEN, HIDDEN])[:, None]
+        return self._read(list(codes)).transpose(0, 2, 1)
+
+    def _read(self, windows: list[np.ndarray]) -> np.ndarray:
+        """Emissions (window, label, time) of windows of codes, the longest first. Features go by rows, and at each time only
+        the windows that are long enough take part."""
+        n, sizes = len(windows), np.array([len(w) for w in windows])
+        steps, k = int(sizes[0]), len(self.p["o"])
+        codes = np.zeros((n, steps), np.int64)
+        for row, w in enumerate(windows):
+            codes[row, :len(w)] = w
+        live = np.searchsorted(-sizes, -np.arange(steps), side="left").tolist()
+        zero, one = np.float32(0), np.float32(1)
+        x = np.take(self.p["E"].astype(np.float32).T, codes.T, axis=1, mode="clip")  # (feature, time, window)
+        read = np.empty((steps, k, n), np.float32)
+        read[:] = self.p["o"][:, None]
+        slope = np.repeat([SLOPE, 1], [3 * HIDDEN, HIDDEN])[:, None]
         for d, weights in (("f", self.p["O"][:HIDDEN]), ("b", self.p["O"][HIDDEN:])):
-            weights = (weights.T / 2).astype(np.float32)
-            full = half * np.concatenate([self.p[f"H{d}"] / 2, self.p[f"X{d}"], self.p[f"c{d}"][None]]).T.astype(np.float32)
-            state = np.ones((HIDDEN + EMBEDDING + 1, n), np.float32)
-            h, c, z = state[:HIDDEN], np.zeros((HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
-            h[:] = 0
-            gates, i, f, o, g = z[:3 * HIDDEN], z[:HIDDEN], z[HIDDEN:2 * HIDDEN], z[2 * HIDDEN:3 * HIDDEN], z[3 * HIDDEN:]
+            full = slope * np.concatenate([self.p[f"H{d}"], self.p[f"X{d}"], self.p[f"c{d}"][None]]).T
+            full[:3 * HIDDEN, -1] += 0.5
+            full, weights = full.astype(np.float32), np.ascontiguousarray(weights.T, np.float32)
+            emitted = np.empty((k, n), np.float32)
+            states, cells, sums = np.ones((HIDDEN + EMBEDDING + 1, n), np.float32), np.zeros((HIDDEN, n), np.float32), \
+                np.empty((4 * HIDDEN, n), np.float32)
+            states[:HIDDEN] = 0
+            m = 0
             for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-                state[HIDDEN:-1] = x[:, t]
-                np.tanh(np.matmul(full, state, out=z), out=z)
-                gates += 1
+                if live[t] != m:
+                    m = live[t]
+                    state, c, z = states[:, :m], cells[:, :m], sums[:, :m]
+                    h, gates, i, f, o, g = (state[:HIDDEN], z[:3 * HIDDEN], z[:HIDDEN], z[HIDDEN:2 * HIDDEN],
+                                            z[2 * HIDDEN:3 * HIDDEN], z[3 * HIDDEN:])
+                    e = emitted[:, :m]
+                state[HIDDEN:-1] = x[:, t, :m]
+                np.matmul(full, state, out=z)
+                np.maximum(gates, zero, out=gates)
+                np.minimum(gates, one, out=gates)
+                np.tanh(g, out=g)
                 c *= f
                 g *= i
                 c += g
-                c *= 0.5
                 np.multiply(o, np.tanh(c, out=h), out=h)
-                out[t] += weights @ h
-        return out.transpose(2, 0, 1)
+                read[t, :, :m] += np.matmul(weights, h, out=e)
+        lines = np.empty((n, k, steps), np.float32)
+        for t in range(0, steps, 32):  # a few steps at a time stay in the cache
+            lines[..., t:t + 32] = read[t:t + 32].transpose(2, 1, 0)
+        return lines
 
     def _crf(self, e: np.ndarray, y: np.ndarray):
         """Mean negative log-likelihood and its gradients for emissions (time, batch, labels), labels (time, batch)."""
@@ -289,42 +333,41 @@ class Tagger:
             de[t, rows, y[t]] -= 1
         return float((log_z - gold).mean()), (de / n).astype(np.float32), (dt / n).astype(np.float32)
 
-    def _back(self, dh_all: np.ndarray, x: np.ndarray, trace: list, d: str, grads: dict) -> np.ndarray:
-        weights = self.p[f"H{d}"]
-        dz_all = np.empty((len(trace), x.shape[1], 4 * HIDDEN), np.float32)
-        dh, dc = np.zeros_like(dh_all[0]), np.zeros_like(dh_all[0])
-        for t in range(len(trace) - 1, -1, -1):
+    def _back(self, dh_all: np.ndarray, x: np.ndarray, trace: list, grads: dict) -> np.ndarray:
+        weights = self._both("H")
+        _, steps, n, _ = x.shape
+        dz_all, d_weights = np.empty((2, steps, n, 4 * HIDDEN), np.float32), np.zeros_like(weights)
+        dh, dc = np.zeros_like(dh_all[:, 0]), np.zeros_like(dh_all[:, 0])
+        for t in range(steps - 1, -1, -1):
             i, f, o, g, before, tc, h_before = trace[t]
-            dh = dh + dh_all[t]
+            dh = dh + dh_all[:, t]
             dc = dc + dh * o * (1 - tc * tc)
-            dz = np.concatenate([dc * g * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o),
-                                 dc * i * (1 - g * g)], axis=1)
-            dz_all[t] = dz
-            grads[f"H{d}"] += h_before.T @ dz
-            dh, dc = dz @ weights.T, dc * f
-        flat = dz_all.reshape(-1, 4 * HIDDEN)
-        grads[f"X{d}"] += x.reshape(-1, EMBEDDING).T @ flat
-        grads[f"c{d}"] += flat.sum(axis=0)
-        return dz_all @ self.p[f"X{d}"].T
+            dz = np.concatenate([dc * g * _gate_slope(i), dc * before * _gate_slope(f), dh * tc * _gate_slope(o),
+                                 dc * i * (1 - g * g)], axis=2).astype(np.float32)
+            dz_all[:, t] = dz
+            d_weights += h_before.transpose(0, 2, 1) @ dz
+            dh, dc = dz @ weights.transpose(0, 2, 1), dc * f
+        flat = dz_all.reshape(2, -1, 4 * HIDDEN)
+        d_inputs = x.reshape(2, -1, EMBEDDING).transpose(0, 2, 1) @ flat
+        for k, d in enumerate("fb"):
+            grads[f"H{d}"], grads[f"X{d}"], grads[f"c{d}"] = d_weights[k], d_inputs[k], flat[k].sum(axis=0)
+        return dz_all @ self._both("X").transpose(0, 2, 1)[:, None]
 
     def step(self, codes: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         codes, y = codes.T, y.T
         x = self.p["E"][codes]
-        forward, trace_f = self._direction(x, "f", True)
-        backward, trace_b = self._direction(x[::-1], "b", True)
-        both = np.concatenate([forward, backward[::-1]], axis=2)
+        x = np.stack([x, x[::-1]])
+        states, trace = self._states(x)
+        both = np.concatenate([states[0], states[1, ::-1]], axis=2)
         loss, de, dt = self._crf((both @ self.p["O"] + self.p["o"]).astype(np.float64), y)
-        grads = {name: np.zeros_like(v) for name, v in self.p.items()}
-        grads["T"] = dt
-        grads["O"] = both.reshape(-1, 2 * HIDDEN).T @ de.reshape(-1, de.shape[2])
-        grads["o"] = de.sum(axis=(0, 1))
+        grads = {"E": np.zeros_like(self.p["E"]), "T": dt, "O": both.reshape(-1, 2 * HIDDEN).T @ de.reshape(-1, de.shape[2]),
+                 "o": de.sum(axis=(0, 1))}
         d_both = de @ self.p["O"].T
-        dx = self._back(d_both[:, :, :HIDDEN], x, trace_f, "f", grads)
-        dx += self._back(d_both[::-1, :, HIDDEN:], x[::-1], trace_b, "b", grads)[::-1]
-        np.add.at(grads["E"], codes, dx)
+        dx = self._back(np.stack([d_both[:, :, :HIDDEN], d_both[::-1, :, HIDDEN:]]), x, trace, grads)
+        np.add.at(grads["E"], codes, dx[0] + dx[1, ::-1])
         return loss, grads
 
-    def train(self, codes: np.ndarray, y: np.ndarray, epochs: int, batch: int = 96, rate: float = 0.012,
+    def train(self, codes: np.ndarray, y: np.ndarray, epochs: int, batch: int = 64, rate: float = 0.02,
               seed: int = 5) -> list[float]:
         rng = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -348,35 +391,115 @@ class Tagger:
         return losses
 
     def paths(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
-        """Viterbi path of each stretch (time, labels), all stretches step by step together."""
-        order = sorted(range(len(emissions)), key=lambda i: -len(emissions[i]))
-        steps = len(emissions[order[0]]) if order else 0
-        k = len(KINDS) + 1
-        score = np.zeros((len(order), k))
-        back = []
-        sizes = np.array([len(emissions[i]) for i in order])
-        for t in range(steps):
-            live = int(np.searchsorted(-sizes, -t, side="left"))
-            now = np.stack([emissions[i][t] for i in order[:live]])
+        """Viterbi path of each stretch (time, labels), stretches of like length step by step together."""
+        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(emissions)
+        trans = self.p["T"].astype(np.float64)[:, :, None]
+        for i, e in enumerate(emissions):
+            if len(e) > 4 * PIECE:
+                out[i] = self._long_path(e)
+        for rows, padded, sizes, live in _alike([e if len(e) <= 4 * PIECE else e[:0] for e in emissions]):
+            none = padded[:, 0].sum(axis=0, dtype=np.float64) + (sizes - 1) * float(self.p["T"][0, 0])
+            # Most stretches are "none" throughout: only those where another path is worth more are followed back.
+            won = np.flatnonzero(self._best_scores(padded, live) > none + 1e-9)
+            for j, i in enumerate(rows):
+                out[i] = np.zeros(sizes[j], np.int64)
+            if len(won):
+                padded, sizes = padded[:sizes[won[0]], :, won].astype(np.float64), sizes[won]
+                path = self._followed(padded, sizes)
+                for j, at in enumerate(won):
+                    out[rows[at]] = path[:sizes[j], j]
+        return out
+
+    def _best_scores(self, padded: np.ndarray, live: list[int]) -> np.ndarray:
+        """The score of each stretch's best path."""
+        trans = self.p["T"].astype(np.float64)[:, :, None]
+        score = padded[0].astype(np.float64)
+        for t in range(1, len(padded)):
+            m = live[t]
+            score[:, :m] = padded[t, :, :m] + (score[:, None, :m] + trans).max(axis=0)
+        return score.max(axis=0)
+
+    def _followed(self, padded: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The best paths (time, stretch)."""
+        steps, k, n = padded.shape
+        live = np.searchsorted(-sizes, -np.arange(steps), side="left").tolist()
+        trans = self.p["T"].astype(np.float64)[:, :, None]
+        back = np.empty((steps, k, n), np.int8)
+        score = padded[0].copy()
+        for t in range(1, steps):
+            m = live[t]
+            reach = score[:, None, :m] + trans
+            back[t, :, :m] = reach.argmax(axis=0)
+            score[:, :m] = padded[t, :, :m] + reach.max(axis=0)
+        path = np.empty((steps, n), np.int64)
+        label, every = score.argmax(axis=0), np.arange(n)
+        for t in range(steps - 1, -1, -1):
+            m = live[t]
+            path[t, :m] = label[:m]
             if t:
-                reach = score[:live, :, None] + self.p["T"]
-                back.append(reach.argmax(axis=1))
-                now = now + reach.max(axis=1)
-            score[:live] = now
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(order)
-        for row, i in enumerate(order):
-            path = np.empty(sizes[row], np.int64)
-            label = int(score[row].argmax())
-            for t in range(sizes[row] - 1, -1, -1):
-                path[t] = label
+                label[:m] = back[t, label[:m], every[:m]]
+        return path
+
+    def _long_path(self, e: np.ndarray) -> np.ndarray:
+        """The Viterbi path of one long stretch: its pieces side by side, from every first label, then piece after piece."""
+        trans = self.p["T"].astype(np.float64)
+        k, pieces = e.shape[1], len(e) // PIECE
+        cut = e[:pieces * PIECE].astype(np.float64).reshape(pieces, PIECE, k).transpose(1, 2, 0)  # (time, label, piece)
+        score = np.where(np.eye(k, dtype=bool)[:, :, None], cut[0][:, None], -np.inf)  # (first label, last label, piece)
+        back = np.empty((PIECE, k, k, pieces), np.int8)
+        for t in range(1, PIECE):
+            reach = score[:, :, None] + trans[None, :, :, None]
+            back[t] = reach.argmax(axis=1)
+            score = cut[t] + reach.max(axis=1)
+        best, came = score[:, :, 0].max(axis=0), [(None, score[:, :, 0].argmax(axis=0))]
+        for piece in range(1, pieces):
+            enter = best[:, None] + trans  # (label before, first label)
+            reach = enter.max(axis=0)[:, None] + score[:, :, piece]
+            came.append((enter.argmax(axis=0), reach.argmax(axis=0)))
+            best = reach.max(axis=0)
+        rest, tail = e[pieces * PIECE:], []
+        for now in rest:
+            enter = best[:, None] + trans
+            tail.append(enter.argmax(axis=0))
+            best = now + enter.max(axis=0)
+        path = np.empty(len(e), np.int64)
+        label, at = int(best.argmax()), len(e) - 1
+        for pointers in reversed(tail):
+            path[at] = label
+            label, at = int(pointers[label]), at - 1
+        for piece in range(pieces - 1, -1, -1):
+            before, firsts = came[piece]
+            first = int(firsts[label])
+            for t in range(PIECE - 1, -1, -1):
+                path[at] = label
+                at -= 1
                 if t:
-                    label = int(back[t - 1][row, label])
-            out[i] = path
-        return out
+                    label = int(back[t, first, label, piece])
+            if before is not None:
+                label = int(before[first])
+        return path
+
+
+def _alike(parts: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, list[int]]]:
+    """Stretches (time, labels) in groups of like length: their places, (time, labels, stretch) filled up, their sizes, falling,
+    and how many reach each time."""
+    groups: dict[int, list[int]] = {}
+    for i, e in enumerate(parts):
+        if len(e):
+            groups.setdefault(len(e).bit_length(), []).append(i)
+    for _, rows in sorted(groups.items()):
+        rows.sort(key=lambda i: -len(parts[i]))
+        for at in range(0, len(rows), ROUND):
+            some = rows[at:at + ROUND]
+            sizes = np.array([len(parts[i]) for i in some])
+            padded = np.zeros((sizes[0], parts[some[0]].shape[1], len(some)), parts[some[0]].dtype)
+            for j, i in enumerate(some):
+                padded[:sizes[j], :, j] = parts[i]
+            yield some, padded, sizes, np.searchsorted(-sizes, -np.arange(sizes[0]), side="left").tolist()
 
 
 @functools.lru_cache(maxsize=1)
-def trained(examples: int = 8000, epochs: int = 9) -> Tagger:
+def trained(examples: int = 14_000, epochs: int = 12) -> Tagger:
     """The model, trained once per process from seeded labelled spans; one text in six ends within its window."""
     rng = np.random.default_rng(3)
     texts, labels = _labelled(rng, examples)
@@ -392,34 +515,29 @@ def trained(examples: int = 8000, epochs: int = 9) -> Tagger:
 # ---------------------------------------------------------------- reading texts
 
 #: Windows that the model reads at once, and characters of the texts that are held as emissions at once.
-ROUND, HELD = 256, 1 << 20
+ROUND, HELD = 1024, 1 << 21
+#: Places of a piece of a long path, and on each side of a span those whose paths its probability considers.
+PIECE, AROUND = 256, 80
 
 
 def _blended(tagger: Tagger, parts: list[np.ndarray]) -> list[np.ndarray]:
-    """Emissions of each text: its overlapping windows, each weighted towards its middle."""
-    places: dict[int, list[tuple[int, int]]] = {}
-    for k, codes in enumerate(parts):
-        # Short texts are read in windows of their size, in steps that let several share a round.
-        width = min(READ, -(-len(codes) // OVERLAP) * OVERLAP)
-        last = max(0, len(codes) - width)
-        if len(codes):
-            places.setdefault(width, []).extend((k, at) for at in [*range(0, last, READ - OVERLAP), last])
-    sums = [np.zeros((len(c), len(KINDS) + 1), np.float32) for c in parts]
-    weights = [np.zeros((len(c), 1), np.float32) for c in parts]
-    for width, at_width in places.items():
-        near = np.minimum(np.arange(width), np.arange(width)[::-1])
-        middle = (1 + np.minimum(near, OVERLAP)).astype(np.float32)[:, None]
-        for at in range(0, len(at_width), ROUND):
-            some = at_width[at:at + ROUND]
-            windows = np.zeros((len(some), width), np.int64)
-            for row, (k, start) in enumerate(some):
-                cut = parts[k][start:start + width]
-                windows[row, :len(cut)] = cut
-            for (k, start), e in zip(some, tagger.emissions(windows), strict=True):
-                n = min(width, len(parts[k]) - start)
-                sums[k][start:start + n] += e[:n] * middle[:n]
-                weights[k][start:start + n] += middle[:n]
-    return [s / w for s, w in zip(sums, weights, strict=True)]
+    """Emissions (time, labels) of each text: its windows, each fading into the next where they overlap."""
+    starts = np.cumsum([0, *map(len, parts)])
+    whole = np.zeros((len(KINDS) + 1, starts[-1]), np.float32)
+    step = READ - OVERLAP
+    places = [(min(READ, len(codes) - at), row, at) for row, codes in enumerate(parts)
+              for at in range(0, max(len(codes) - OVERLAP, min(len(codes), 1)), step)]
+    places.sort(reverse=True)
+    fade = ((np.arange(OVERLAP) + 0.5) / OVERLAP).astype(np.float32)
+    for first in range(0, len(places), ROUND):
+        some = places[first:first + ROUND]
+        for (size, row, at), e in zip(some, tagger._read([parts[row][at:at + size] for size, row, at in some]), strict=True):
+            if at:
+                e[:, :OVERLAP] *= fade
+            if at + step < len(parts[row]) - OVERLAP:
+                e[:, step:READ] *= fade[::-1]
+            whole[:, starts[row] + at:starts[row] + at + size] += e[:, :size]
+    return [whole[:, a:b].T for a, b in zip(starts, starts[1:], strict=False)]
 
 
 def _whole_paths(tagger: Tagger, emissions: list[np.ndarray]) -> list[tuple[np.ndarray, list[tuple[int, int]]]]:
@@ -431,20 +549,22 @@ def _whole_paths(tagger: Tagger, emissions: list[np.ndarray]) -> list[tuple[np.n
     trans = tagger.p["T"].astype(np.float64)
     within, enter, leave = trans[1:, 1:].max(axis=0), trans[0, 1:], trans[1:, 0]
     ends = (enter - within).max() + (leave - trans[0, 0]).max()
+    gain = (within - trans[0, 0]).astype(np.float32)[:, None]
     parts, owners = [], []
     out: list[tuple[np.ndarray, list[tuple[int, int]]]] = []
     for k, e in enumerate(emissions):
         out.append((np.zeros(len(e), np.int64), []))
         if not len(e):
             continue
-        worth = (e[:, 1:] - e[:, :1] + (within - trans[0, 0])).max(axis=1)
+        by_label = e.T
+        worth = ((by_label[1:] + gain).max(axis=0) - by_label[0]).astype(np.float64)
         # A text's first place is not entered, its last one not left.
         worth[0] += max(0.0, (trans[0, 0] - enter).max())
         worth[-1] += max(0.0, (trans[0, 0] - leave).max())
         until = np.cumsum(worth)
         before = np.minimum.accumulate(until - worth)
         after = np.maximum.accumulate(until[::-1])[::-1]
-        open_ = np.flatnonzero(after - before + ends > -1e-3)
+        open_ = np.flatnonzero(after - before + ends > -1e-2)
         for run in np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1) if len(open_) else ():
             a, b = max(0, int(run[0]) - 1), min(len(e), int(run[-1]) + 2)
             part = e[a:b].copy()
@@ -454,24 +574,31 @@ def _whole_paths(tagger: Tagger, emissions: list[np.ndarray]) -> list[tuple[np.n
             parts.append(part)
             owners.append((k, a, b))
     for (k, a, b), path in zip(owners, tagger.paths(parts), strict=True):
-        out[k][0][a:b] = path
         if path.any():
+            out[k][0][a:b] = path
             out[k][1].append((a, b))
     return out
 
 
-def _posterior(tagger: Tagger, e: np.ndarray) -> np.ndarray:
-    """Probability of each label at each place (time, labels), all paths considered."""
+def _posteriors(tagger: Tagger, parts: list[np.ndarray]) -> list[np.ndarray]:
+    """Probability of each label at each place (time, labels) of each stretch, all of its paths considered."""
     trans = tagger.p["T"].astype(np.float64)
     lse = lambda v, axis: (m := v.max(axis=axis)) + np.log(np.exp(v - np.expand_dims(m, axis)).sum(axis=axis))
-    alpha, beta = e.astype(np.float64), np.zeros(e.shape)
-    for t in range(1, len(e)):
-        alpha[t] += lse(alpha[t - 1][:, None] + trans, 0)
-    for t in range(len(e) - 2, -1, -1):
-        beta[t] = lse(trans + (e[t + 1] + beta[t + 1])[None], 1)
-    both = alpha + beta
-    both = np.exp(both - both.max(axis=1, keepdims=True))
-    return both / both.sum(axis=1, keepdims=True)
+    out: list[np.ndarray] = [np.empty((0, len(KINDS) + 1))] * len(parts)
+    for rows, padded, sizes, live in _alike(parts):
+        alpha, beta = padded.astype(np.float64), np.zeros(padded.shape)
+        for t in range(1, len(alpha)):
+            m = live[t]
+            alpha[t, :, :m] += lse(alpha[t - 1, :, None, :m] + trans[:, :, None], 0)
+        for t in range(len(alpha) - 2, -1, -1):
+            m = live[t + 1]
+            beta[t, :, :m] = lse(trans[:, :, None] + (padded[t + 1] + beta[t + 1])[None, :, :m], 1)
+        both = alpha + beta
+        both = np.exp(both - both.max(axis=1, keepdims=True))
+        both /= both.sum(axis=1, keepdims=True)
+        for j, i in enumerate(rows):
+            out[i] = both[:sizes[j], :, j]
+    return out
 
 
 def _plausible(kind: str, text: str, left: int, right: int) -> bool:
@@ -487,7 +614,10 @@ def _plausible(kind: str, text: str, left: int, right: int) -> bool:
             return False  # a sentence's end
         return len(names) > (not bracketed) and all(re.fullmatch(r"\S+", part) for part in [user, *names])
     if kind == "ip":
-        return bool(re.fullmatch(r"([0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}", span))
+        try:
+            return ":" in span and len(digits) > 0 and bool(ipaddress.IPv6Address(span)) and span.count(":") + span.count("::") > 2
+        except ValueError:
+            return False
     if kind == "card":
         return bool(re.fullmatch(r"[0-9 .-]+", span)) and 13 <= len(digits) <= 19 and luhn(digits)
     if kind == "phone":
@@ -496,35 +626,82 @@ def _plausible(kind: str, text: str, left: int, right: int) -> bool:
         return bool(re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", span))
     before = text[max(0, left - 40):left]
     lead = _KEYED.match(span)
-    if lead or any(m.end() == len(before) for m in _KEYED.finditer(before)):
-        return bool(re.search(r"[^\s\"']", span[lead.end():] if lead else span))
+    lead = lead or next((m for m in _KEYED.finditer(before) if m.end() == len(before)), None)
+    if lead:
+        body = span[lead.end():] if lead.string == span else span
+        # "The password is required" holds none.
+        return bool(re.search(r"[0-9]" if re.search(r"\sis\s", lead[0]) else r"[^\s\"']", body))
     body = re.split(r"[=:\"' ]+", span.strip("\"'"))[-1]
     return len(body) >= 14 and bool(digits or _ISSUED.match(body)) and bool(re.search(r"[A-Za-z]", body))
 
 
 def added_spans(tagger: Tagger, texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
-    """What the model adds to each text's base spans."""
+    """What the model adds to each text's base spans. Equal texts are read once, and texts in blocks, so that none is held
+    whole as emissions."""
+    first = {text: i for i, text in reversed(list(enumerate(texts)))}
+    blocks = [(i, at) for text, i in first.items() for at in range(0, len(text), SEGMENT)]
+    taken = [_Taken((a, b) for _, a, b in spans) for spans in base]
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    ends = np.cumsum([len(t) for t in texts]) // HELD
-    for group in np.unique(ends):
-        rows = np.flatnonzero(ends == group)
-        emissions = _blended(tagger, [encode(texts[i]) for i in rows])
-        for i, e, (path, parts) in zip(rows, emissions, _whole_paths(tagger, emissions), strict=True):
-            for a, b in parts:
-                _add(tagger, texts[i], a, e[a:b], path[a:b], base[i], out[i])
-    return [sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1])) for spans in out]
-
-
-def _add(tagger: Tagger, text: str, start: int, e: np.ndarray, path: np.ndarray, base: list[tuple[str, int, int]],
-         out: list[tuple[str, int, int]]) -> None:
-    """Append to ``out`` the spans of a path from ``start`` on that are plausible and likely and touch no other."""
-    p = None
+    held: list[tuple[int, int]] = []
+    size = 0
+    for block in [*blocks, None]:
+        if held and (block is None or size >= HELD):
+            _add(tagger, texts, held, taken, out)
+            held, size = [], 0
+        if block:
+            held.append(block)
+            size += min(SEGMENT, len(texts[block[0]]) - block[1])
+    return [sorted(out[first[text]], key=lambda s: (KINDS.index(s[0]), s[1])) for text in texts]
+
+
+class _Taken:
+    """Stretches of a text that spans hold, joined where they overlap, in order."""
+
+    def __init__(self, spans):
+        self.joined: list[tuple[int, int]] = []
+        for a, b in sorted(spans):
+            if self.joined and a < self.joined[-1][1]:
+                a, last = self.joined.pop()
+                b = max(b, last)
+            self.joined.append((a, b))
+
+    def touches(self, left: int, right: int) -> bool:
+        k = bisect_left(self.joined, (right, -1)) - 1
+        return k >= 0 and self.joined[k][1] > left
+
+    def add(self, left: int, right: int) -> None:
+        insort(self.joined, (left, right))
+
+
+def _add(tagger: Tagger, texts: list[str], blocks: list[tuple[int, int]], taken: list[_Taken],
+         out: list[list[tuple[str, int, int]]]) -> None:
+    """Read blocks (text, start) and append the spans that are plausible and likely and touch no other."""
+    froms = [max(0, at - MARGIN) for _, at in blocks]
+    emissions = _blended(tagger, [encode(texts[i][start:at + SEGMENT + MARGIN])
+                                  for (i, at), start in zip(blocks, froms, strict=True)])
+    found, parts = [], []
+    for (i, at), start, e, (path, runs) in zip(blocks, froms, emissions, _whole_paths(tagger, emissions), strict=True):
+        for a, b in runs:
+            spans = [s for s in _path_spans(texts[i], start + a, path[a:b])
+                     if at <= s[1] < at + SEGMENT and not taken[i].touches(s[1], s[2]) and _plausible(s[0], texts[i], s[1], s[2])]
+            for kind, left, right, label, first, last in spans:
+                low = max(a, a + first - AROUND)
+                found.append((i, kind, left, right, label, max(a + first, left - start) - low, min(a + last, right - start) - low))
+                parts.append(e[low:min(b, a + last + AROUND)])
+    for (i, kind, left, right, label, first, last), p in zip(found, _posteriors(tagger, parts), strict=True):
+        if p[first:last, label].mean() >= LIKELY and not taken[i].touches(left, right):
+            taken[i].add(left, right)
+            out[i].append((kind, left, right))
+
+
+def _path_spans(text: str, start: int, path: np.ndarray) -> Iterator[tuple[str, int, int, int, int, int]]:
+    """(kind, left, right, label, a, b): the spans of a path from ``start`` on, fitted to words, and their places in the path."""
     cuts = np.flatnonzero(np.diff(path, prepend=-1, append=-1))
-    for a, b in zip(cuts, cuts[1:], strict=False):
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
         label = int(path[a])
         if not label:
             continue
-        left, right = start + int(a), start + int(b)
+        left, right = start + a, start + b
         while left < right and (text[left].isspace() or text[left] in ",;|"):
             left += 1
         while right > left and (text[right - 1].isspace() or text[right - 1] in ",;|.!"):
@@ -536,14 +713,16 @@ def _add(tagger: Tagger, text: str, start: int, e: np.ndarray, path: np.ndarray,
         kind = KINDS[label - 1]
         at = _AT.search(text, left, right) if kind == "email" else None
         if at:
-            # Spelled-out addresses are made of words: the neighbours' are left out.
-            left = max(left, 1 + max(text.rfind(c, left, at.start()) for c in " \n\t"))
-            right = at.end() + len(_HOST.match(text[at.end():right])[0])
-        if (right > left and _plausible(kind, text, left, right)
-                and not any(s < right and left < t for _, s, t in base + out)):
-            p = _posterior(tagger, e) if p is None else p
-            if p[max(a, left - start):min(b, right - start), label].mean() >= LIKELY:
-                out.append((kind, left, right))
+            # Spelled-out addresses are made of words: the neighbours' are left out. Of several "at", the one before a host counts.
+            spelled = next((m for m in _SPELLED.finditer(text, max(0, left - 40), right + 60)
+                            if m.start() < right and left < m.end()), None)
+            if spelled and "@" not in text[left:right]:
+                left, right = spelled.span()
+            else:
+                left = max(left, 1 + max(text.rfind(c, left, at.start()) for c in " \n\t"))
+                right = at.end() + len(_HOST.match(text[at.end():right])[0])
+        if right > left and min(b, right - start) > max(a, left - start):
+            yield kind, left, right, label, a, b
 
 
 def spans_text(spans: list[tuple[str, int, int]]) -> str:

@@ -139,3 +139,67 @@ def test_paths_of_whole_texts_are_the_best():
         parts = [rng.standard_normal((n, 7)).astype(np.float32) * 3 + [9, 0, 0, 0, 0, 0, 0] for n in (1, 2, 40, 300)]
         for (fast, _), path in zip(pii._whole_paths(tagger, parts), tagger.paths(parts), strict=True):
             assert (fast == path).all()
+
+
+def test_addresses_passwords_and_hosts_in_other_forms():
+    forms = [("reach me at jane.doe at gmail dot com today", "jane.doe at gmail dot com"), ("my passwd is hunter2 ok", "hunter2"),
+             ("host 2001:db8::1 is up", "2001:db8::1"), ("see fe80::1ff:fe23:4567:890a now", "fe80::1ff:fe23:4567:890a")]
+    for text, part in forms:
+        whole = FILL + text + " " + FILL
+        spans = pii.added_spans(pii.trained(), [whole], [pii.base_spans(whole)])[0]
+        assert [whole[a:b].endswith(part) for _, a, b in spans] == [True], text
+    start = len(FILL) + len("reach ")
+    spans = pii.added_spans(pii.trained(), [FILL + forms[0][0]], [[]])[0]
+    assert spans[0][1] == start + len("me at ")  # "me at" is no part of the address
+
+
+def test_blocks_of_a_long_text_change_nothing(monkeypatch):
+    rng = np.random.default_rng(8)
+    planted = [f'token = "{rng.integers(10**15, 10**16)}abcdef{k}"' for k in range(40)]
+    text = "".join(FILL * 3 + p + " " for p in planted)
+    whole = pii.added_spans(pii.trained(), [text, text], [pii.base_spans(text)] * 2)
+    assert whole[0] == whole[1] and len(whole[0]) >= 36
+    monkeypatch.setattr(pii, "SEGMENT", 1700)
+    monkeypatch.setattr(pii, "MARGIN", 500)
+    assert pii.added_spans(pii.trained(), [text], [pii.base_spans(text)])[0] == whole[0]
+
+
+def test_very_long_text_with_many_base_spans():
+    text = "a@b.co 10.0.0.1 " * 60_000 + "password=hunter2secret "
+    base = pii.base_spans(text)
+    assert len(base) == 120_000
+    assert [text[a:b] for _, a, b in pii.added_spans(pii.trained(), [text], [base])[0]] == ["password=hunter2secret"]
+
+
+def test_probabilities_equal_all_paths():
+    rng = np.random.default_rng(4)
+    tagger = pii.Tagger(3)
+    tagger.p["T"] = rng.standard_normal((7, 7)).astype(np.float32)
+    parts = [rng.standard_normal((n, 7)) for n in (4, 2, 3)]
+    for e, p in zip(parts, pii._posteriors(tagger, parts), strict=True):
+        every = np.stack(np.meshgrid(*[range(7)] * len(e), indexing="ij"), -1).reshape(-1, len(e))
+        worth = np.exp([sum(e[t, k] for t, k in enumerate(q)) + sum(tagger.p["T"][a, b] for a, b in zip(q, q[1:], strict=False))
+                        for q in every.tolist()])
+        for t in range(len(e)):
+            want = np.bincount(every[:, t], weights=worth, minlength=7) / worth.sum()
+            assert np.abs(p[t] - want).max() < 1e-6
+
+
+def test_a_long_path_in_pieces_is_the_best(monkeypatch):
+    rng = np.random.default_rng(9)
+    tagger = pii.Tagger(3)
+    for n in (70, 64, 129):
+        tagger.p["T"] = rng.standard_normal((7, 7)).astype(np.float32)
+        e = 2 * rng.standard_normal((n, 7))
+        plain = tagger._followed(e[:, :, None], np.array([n]))[:, 0]
+        monkeypatch.setattr(pii, "PIECE", 16)
+        assert (tagger.paths([e])[0] == plain).all()
+
+
+def test_held_out_recall_of_each_kind():
+    texts, labels = pii._labelled(np.random.default_rng(101), 1000)
+    tagger = pii.trained()
+    paths = np.stack(tagger.paths(list(tagger.emissions(np.stack([pii.encode(t) for t in texts])))))
+    assert (paths[labels > 0] == labels[labels > 0]).mean() > 0.95
+    for k in range(1, 7):
+        assert (paths[labels == k] == k).mean() > 0.9, pii.KINDS[k - 1]
