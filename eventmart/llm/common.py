@@ -57,11 +57,16 @@ def drop(spark: SparkSession, *paths: str) -> None:
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """doc_id, text and the other columns of ``labels`` for at most ``rows`` labelled documents, by a hash of doc_id.
 
-    The rows are chosen without their texts, and as there are at most ``rows`` of them, they can be broadcast.
+    One row for each doc_id, however often it stands in either table: the least labels, and the text with the least
+    hash. The rows are chosen without their texts, and as there are at most ``rows`` of them, they can be broadcast.
     """
-    there = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
-    chosen = there.orderBy(F.xxhash64("doc_id"), *there.columns).limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    marks = [c for c in labels.columns if c != "doc_id"]
+    one = labels.groupBy("doc_id").agg(F.min(F.struct(*marks)).alias("_marks")).select("doc_id", "_marks.*")
+    there = one.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return (found.groupBy("doc_id", *marks).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+            .select("doc_id", "text", *marks))
 
 
 def place(df: DataFrame, *order: str, tag: str) -> tuple[DataFrame, str]:

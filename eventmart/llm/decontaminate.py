@@ -34,11 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from eventmart.llm import shingles
+from eventmart.llm.common import drop, written
 
 CHUNK = 20_000
 THRESHOLD = 0.8
-#: Two texts of weighted similarity 0.8 differ in about 10 of 64 bits (deviation 3).
-RADIUS = 18
+#: Two texts of similarity 0.8 differ in about 10 of 64 bits (deviation 3).
+RADIUS = 24
 N = 5
 
 _SEPARATORS = bytes.maketrans(bytes(c for c in range(33, 127) if not chr(c).isalnum()),
@@ -115,20 +116,21 @@ class Items:
         return np.where(known[at] == grams, weights[at], self.unseen)
 
     def fingerprints(self, grams: np.ndarray, width: int) -> np.ndarray:
-        """SimHash of every run of ``width`` shingles."""
-        signs = ((grams[:, None] >> _BITS) & np.uint64(1)).astype(np.float64) * 2 - 1
-        sums = np.zeros((len(grams) + 1, 64))
-        np.cumsum(signs * self.weight(grams)[:, None], axis=0, out=sums[1:])
+        """SimHash of every run of ``width`` shingles; each votes alike, so that no chunk of items changes a fingerprint."""
+        signs = ((grams[:, None] >> _BITS) & np.uint64(1)).astype(np.int32) * 2 - 1
+        sums = np.zeros((len(grams) + 1, 64), np.int32)
+        np.cumsum(signs, axis=0, out=sums[1:])
         votes = sums[width:] - sums[:-width]
         return ((votes > 0).astype(np.uint64) << _BITS).sum(axis=1, dtype=np.uint64)
 
     def similarity(self, item: int, window: np.ndarray) -> float:
-        """Weighted Jaccard similarity of an item and a sorted set of shingles."""
+        """Weighted Jaccard similarity of an item and a sorted set of shingles. Shingles that the item does not hold weigh as
+        those of no item, so that the other items of a chunk don't count."""
         own = self.sets[item]
         at = np.minimum(np.searchsorted(own, window), len(own) - 1)
         shared = own[at] == window
         inside = float(self.weights[item][at[shared]].sum())
-        return inside / (self.totals[item] + float(self.weight(window[~shared]).sum()))
+        return inside / (self.totals[item] + self.unseen * int(np.count_nonzero(~shared)))
 
     def search(self, text: str | None, first_only: bool = False) -> list[tuple]:
         """(item_id, first word, words, distance, similarity) of each item found in ``text``."""
@@ -175,23 +177,39 @@ class Items:
                 best[place] = (self.ids[place], start, width + N - 1, distance, round(value, 6))
 
 
-def _rarity(rows: list[tuple]) -> tuple[tuple[np.ndarray, np.ndarray], float]:
-    sets = [np.unique(shingles.hashes(t, N)) for _, text in rows if len(t := tokens(text)) >= N]
-    grams, counts = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
-    return (grams, 1 + np.log((len(sets) + 1) / (counts + 1))), 1 + math.log(len(sets) + 1)
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, gram): each item's distinct shingles, and one row without a shingle for the item itself."""
+    for batch in batches:
+        for text, chunk in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = tokens(text)
+            if len(found) >= N:
+                grams = np.unique(shingles.hashes(found, N)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(grams) + 1, chunk), pa.int32()), pa.array([None, *grams.tolist()], pa.int64())],
+                    names=["chunk", "gram"])
 
 
 def item_chunks(benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS,
                 chunk: int = CHUNK) -> Iterator[Items]:
-    """The items in chunks of at most ``chunk``, dealt by a hash of the item. Rarity counts are those of a chunk."""
+    """The items in chunks of about ``chunk``, dealt by a hash of the item. Rarity is that among all items."""
+    spark = benchmark.sparkSession
     total = benchmark.count()
     chunks = max(1, -(-total // chunk))
-    dealt = benchmark.select("item_id", "text", F.expr(f"pmod(xxhash64(item_id, text), {chunks})").alias("chunk"))
+    dealt = benchmark.select("item_id", "text", F.expr(f"cast(pmod(xxhash64(item_id, text), {chunks}) as int)").alias("chunk"))
+    held, held_path = written(dealt.select("text", "chunk").mapInArrow(_held, "chunk int, gram long"), "item-shingles")
+    counts, counts_path = written(held.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "shingle-counts")
+    items = (counts.where("gram is null").first() or {"n": 0})["n"]
     for k in range(chunks):
         rows = sorted(((r["item_id"], r["text"]) for r in dealt.where(F.col("chunk") == k).collect()),
                       key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        rarity, unseen = _rarity(rows)
-        yield Items(rows, rarity, unseen, threshold, radius)
+        own = held.where((F.col("chunk") == k) & F.col("gram").isNotNull()).select("gram").distinct()
+        known = own.join(counts, "gram").toArrow()
+        grams, n = (known.column(c).to_numpy() for c in ("gram", "n"))
+        grams = grams.view(np.uint64)
+        order = np.argsort(grams)
+        rarity = (grams[order], 1 + np.log((items + 1) / (n[order] + 1)))
+        yield Items(rows, rarity, 1 + math.log(items + 1), threshold, radius)
+    drop(spark, held_path, counts_path)
 
 
 MATCHES = "doc_id long, item_id long, start_word long, n_words long, distance int, similarity double"

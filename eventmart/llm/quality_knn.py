@@ -10,8 +10,9 @@ The fit uses at most ``FIT_ROWS`` labelled rows of each class, chosen by a hash
 the tasks are bounded (2 * FIT_ROWS * RANK floats, and the projection). Every document is scored whole.
 
 Edge cases: null and empty texts have a zero vector and get the share of label 1 among the labelled rows; so does
-every text without labelled rows of both classes (0.5 if there are none); ties among neighbours go to the earlier
-labelled row; repeated rows count each; other columns are ignored.
+every text without labelled rows of both classes (0.5 if there are none); of labelled rows equally near at the border of
+the neighbourhood, those vote that the partial sort of the fixed row order yields; of several labels of a doc_id the
+lowest counts; repeated rows are scored each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -117,7 +118,8 @@ class Space:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, rank: int = RANK) -> Space:
     """Space from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality), at most ``rows`` rows of each class."""
-    labels = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("label in (0, 1)")
+    labels = (labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("label in (0, 1)")
+              .groupBy("doc_id").agg(F.min("label").alias("label")))
     totals = {r["label"]: r["count"] for r in labels.join(docs.select("doc_id"), "doc_id", "left_semi")
               .groupBy("label").count().collect()}
     sample = labelled_sample(docs, labels.where("label = 0"), rows).unionByName(

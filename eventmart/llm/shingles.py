@@ -11,21 +11,10 @@ LONG_WORD = 1 << 16
 #: Words hashed at once; neighbouring pieces overlap by n - 1 words.
 PIECE = 100_000
 
-_M = (1 << 64) - 1
-_PRIME = 0x9E3779B97F4A7C15
-_INVERSE = pow(_PRIME, -1, 1 << 64)
-_BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_tables = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_tables["up"]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        for name, base in (("up", _PRIME), ("down", _INVERSE)):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _tables[name] = np.multiply.accumulate(factors)
-    return _tables["up"], _tables["down"]
+_PRIME = np.uint64(0x9E3779B97F4A7C15)
+#: A random number for each byte, for each place in a word, and for each place of a word in a shingle.
+_BYTE, _PLACE, _ORDER = (np.random.default_rng(20 + k).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+                         for k, n in enumerate((256, LONG_WORD + 1, 64)))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -41,6 +30,25 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def word_hashes(items: list[bytes]) -> np.ndarray:
+    """A hash of each word: the sum of a mixed number for every byte at its place, which no algebra of places ties together."""
+    joined = b" ".join(items)
+    if len(joined) > LONG_WORD:
+        items = [w if len(w) <= LONG_WORD else hashlib.blake2b(w).hexdigest().encode() for w in items]
+        joined = b" ".join(items)
+    codes = np.frombuffer(joined, np.uint8)
+    starts = np.concatenate(([0], np.flatnonzero(codes == 32) + 1))
+    sizes = np.diff(np.append(starts, len(codes) + 1)) - 1
+    places = np.arange(len(codes)) - np.repeat(starts, sizes + 1)[:len(codes)]
+    values = (_BYTE[codes] ^ _PLACE[places]) * _PRIME
+    values ^= values >> np.uint64(29)
+    values *= _BYTE[codes]
+    values ^= values >> np.uint64(32)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    return mix(sums[starts + sizes] - sums[starts] + sizes.astype(np.uint64) * _PRIME)
+
+
 def hashes(items: list[bytes], n: int = 5) -> np.ndarray:
     """Hash of each run of ``n`` words, in text order; fewer words give the one hash of the whole sequence."""
     if not items:
@@ -48,19 +56,12 @@ def hashes(items: list[bytes], n: int = 5) -> np.ndarray:
     n = min(n, len(items))
     if len(items) > PIECE + n:
         return np.concatenate([hashes(items[i:i + PIECE + n - 1], n) for i in range(0, len(items) - n + 1, PIECE)])
-    joined = b" ".join(items)
-    if len(joined) > LONG_WORD:
-        items = [w if len(w) <= LONG_WORD else hashlib.blake2b(w).hexdigest().encode() for w in items]
-        joined = b" ".join(items)
-    codes = np.frombuffer(joined, np.uint8)
-    spaces = np.flatnonzero(codes == 32)
-    starts = np.concatenate(([0], spaces + 1))
-    ends = np.concatenate((spaces, [len(codes)]))
-    up, down = _powers(len(codes) + 1)
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(_BYTE[codes] * up[:len(codes)], out=sums[1:])
-    first, last = starts[:len(items) - n + 1], ends[n - 1:]
-    return mix((sums[last] - sums[first]) * down[first])
+    each = word_hashes(items)
+    found = np.full(len(each) - n + 1, n, np.uint64)
+    for k in range(n):
+        found += mix(each[k:len(each) - n + 1 + k] ^ _ORDER[k % len(_ORDER)])
+        found *= _PRIME
+    return mix(found)
 
 
 def shingle_set(text: str | None, n: int = 5) -> np.ndarray:

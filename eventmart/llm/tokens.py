@@ -14,6 +14,7 @@ text of any length stays within one block; repeated rows are encoded each on its
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
@@ -44,6 +45,15 @@ _LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\t-\\r \x85\xa0{_LETTERS}{_NUMBERS}]+")
 
 
+# How the tokenizer whose chunks `Encoder` knows prepares and splits a text.
+_PREPARED = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed",
+     "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
 def _visible() -> list[str]:
     """The characters that stand for the 256 bytes in byte-level vocabularies: printable ones for themselves."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -56,7 +66,8 @@ class Encoder:
 
     The tokenizer splits at white space and drops it, so a text's ids are its chunks' ids in a row. A new chunk of
     Latin-1 letters is split by the tokenizer's pattern and its new words go to the tokenizer's model; any other new
-    chunk, and a text that spells one of the special tokens, goes to the tokenizer whole.
+    chunk, and a text that spells one of the special tokens, goes to the tokenizer whole. So does every text if the
+    vocabulary file prepares or splits texts in another way.
     """
 
     def __init__(self, path: str):
@@ -66,6 +77,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.by_chunk = spec.get("normalizer") == _PREPARED and spec.get("pre_tokenizer") == _SPLIT and all(
+            t["content"].startswith("<|") for t in spec.get("added_tokens", ()))
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.visible = _visible()
@@ -97,7 +112,7 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if "<|" in text:
+        if not self.by_chunk or "<|" in text:
             return self._whole(text)
         try:
             text.encode("latin-1")

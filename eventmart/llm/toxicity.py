@@ -7,7 +7,7 @@ by their log odds. Copies of a text count once, and of nested terms the most tel
 neighbouring words with a lexicon term that clean texts use; a term within one does not count. A text's weight is
 divided by a slowly growing function of its length and mapped to 0..1 by a logistic curve fitted to the same rows.
 
-The fit uses at most ``FIT_ROWS`` labelled rows, chosen by a hash of doc_id; the lexicon has at most ``TERMS`` terms,
+The fit uses at most ``FIT_ROWS`` labelled rows of each class, chosen by a hash of doc_id; the lexicon has at most ``TERMS`` terms,
 so the automaton that goes to the tasks is bounded. Every text is scored whole.
 
 Edge cases: null and empty texts have no words and get the score of a text without terms; without labelled rows, or
@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -37,6 +37,8 @@ from eventmart.llm import shingles
 from eventmart.llm.common import drop, labelled_sample, written
 
 FIT_ROWS = 12_000
+#: A word stands among the candidates with its beginnings.
+BEGINNINGS = 7
 TERMS = 5_000
 PREFIXES = range(3, 9)
 #: Smallest shingle hashes by which copies are recognised in the sample.
@@ -142,15 +144,16 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def _significance(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
-    """Log-likelihood ratio (G2) of a term's counts against equal rates."""
-    total, n = toxic + clean, n_toxic + n_clean
+def _significance(n_toxic: int, n_clean: int) -> Column:
+    """Log-likelihood ratio (G2) of a term's counts ``toxic`` and ``clean`` against equal rates."""
+    toxic, clean, n = F.col("toxic").cast("double"), F.col("clean").cast("double"), float(n_toxic + n_clean)
+    total = toxic + clean
 
-    def part(observed: float, expected: float) -> float:
-        return observed * math.log(observed / expected) if observed else 0.0
+    def part(observed: Column, expected: Column) -> Column:
+        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
 
-    return 2 * (part(toxic, total * n_toxic / n) + part(clean, total * n_clean / n)
-                + part(n_toxic - toxic, (n - total) * n_toxic / n) + part(n_clean - clean, (n - total) * n_clean / n))
+    return 2 * (part(toxic, total * (n_toxic / n)) + part(clean, total * (n_clean / n))
+                + part(n_toxic - toxic, (n - total) * (n_toxic / n)) + part(n_clean - clean, (n - total) * (n_clean / n)))
 
 
 def _chosen(found: dict[str, tuple[float, int, int]], n_toxic: int, n_clean: int, most: int) -> dict[str, float]:
@@ -186,8 +189,13 @@ def _without_copies(rows: list[tuple]) -> list[int]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, terms: int = TERMS) -> Lexicon:
-    """Lexicon from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), at most ``rows`` labelled rows."""
-    sample = labelled_sample(docs, labels.select("doc_id", "toxic").where("toxic is not null"), rows)
+    """Lexicon from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), at most ``rows`` labelled rows of each class."""
+    labels = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
+              .groupBy("doc_id").agg(F.min("toxic").alias("toxic")))
+    totals = {r["toxic"]: r["count"] for r in labels.join(docs.select("doc_id"), "doc_id", "left_semi")
+              .groupBy("toxic").count().collect()}
+    sample = labelled_sample(docs, labels.where("toxic = 0"), rows).unionByName(
+        labelled_sample(docs, labels.where("toxic = 1"), rows))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,13 +239,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, terms: int = T
     n_toxic, n_clean = whole["toxic"], whole["clean"]
     # As many comparisons as candidates are allowed for one false term in twenty fits.
     least = 2 * math.log(20 * max(counted.count(), 1))
+    # The most significant ones of those that pass; several beginnings of a word stand beside it, hence the factor.
     telling = (counted.where(f"term <> '' and toxic >= 4 and toxic * {n_clean} > 4 * clean * {n_toxic}")
-               .orderBy(F.desc("toxic"), "term").limit(terms).collect())
-    found = {}
-    for r in telling:
-        significance = _significance(r["toxic"], r["clean"], n_toxic, n_clean)
-        if significance >= least:
-            found[r["term"]] = (significance, r["toxic"], r["clean"])
+               .withColumn("g2", _significance(n_toxic, n_clean)).where(F.col("g2") >= least)
+               .orderBy(F.desc("g2"), "term").limit(BEGINNINGS * terms).collect())
+    found = {r["term"]: (r["g2"], r["toxic"], r["clean"]) for r in telling}
     lexicon = Lexicon(_chosen(found, n_toxic, n_clean, terms))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,9 +272,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, terms: int = T
                 [pa.array([lexicon.judge(t)[1] for t in batch.column(1).to_pylist()], pa.float64()),
                  batch.column(2).cast(pa.int32())], names=["x", "y"])
 
-    points = sample.mapInArrow(densities, "x double, y int").collect()  # at most ``rows`` pairs of numbers
+    points = sample.mapInArrow(densities, "x double, y int").collect()  # at most 2 * ``rows`` pairs of numbers
     order = sorted((p["x"], p["y"]) for p in points)
     lexicon.slope, lexicon.offset = _logistic(np.array([x for x, _ in order]), np.array([y for _, y in order], float))
+    # The classes may be sampled at different rates.
+    lexicon.offset += math.log(max(1, totals.get(1, 0) / rows)) - math.log(max(1, totals.get(0, 0) / rows))
     drop(sample.sparkSession, path, sample_path, counted_path)
     return lexicon
 

@@ -85,3 +85,13 @@ def test_awkward_rows(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "2", "4", "None", "None", "7", "8", "10"])
     assert decontaminate.matches(empty(spark), items(spark, bench)).count() == 0
     assert decontaminate.matches(frame(spark), items(spark, bench).limit(0)).count() == 0
+
+
+def test_every_match_is_the_same_in_chunks(spark):
+    rng = np.random.default_rng(14)
+    docs, bench = corpus()
+    # Items that share passages, and windows near the threshold.
+    bench += [(100 + k, " ".join(bench[k][1].split()[:-2] + babble(rng, 3, 3000))) for k in range(15)]
+    whole = decontaminate.matches(frame(spark, docs), items(spark, bench)).collect()
+    parts = decontaminate.matches(frame(spark, docs), items(spark, bench), chunk=4).collect()
+    assert len(whole) > 12 and sorted(map(tuple, whole)) == sorted(map(tuple, parts))

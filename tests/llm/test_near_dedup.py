@@ -102,3 +102,20 @@ def test_the_estimate_loses_less_than_the_bands():
             lost = sum(math.comb(used, k) * p ** k * (1 - p) ** (used - k) for k in range(used + 1)
                        if k / used + near_dedup.MARGIN * spread[0] < p)
             assert lost < bands, (percent, used, lost)
+
+
+def test_words_that_defeat_polynomial_hashes_stay_apart(spark):
+    """Alternating words of a power of two letters and their swapped twins are equal for any polynomial modulo 2 ** 64."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(4096))
+    two = one.translate(str.maketrans("ab", "ba"))
+    assert shingles.word_hashes([one.encode()])[0] != shingles.word_hashes([two.encode()])[0]
+    rows = [(1, f"x {one} y z w v"), (2, f"x {two} y z w v"), (3, f"{one} {two}"), (4, f"{two} {one}")]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_word_hashes_are_distinct_and_free_of_place():
+    words = [w.encode() for w in sorted({f"{a}{b}" for a in "abcxyz019" for b in range(3000)})]
+    each = shingles.word_hashes(words)
+    assert len(np.unique(each)) == len(words)
+    assert (shingles.word_hashes(words[500:700]) == each[500:700]).all()

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from eventmart.llm import quality_knn, queries, quality_rules, toxicity
-from eventmart.llm.common import table
+from eventmart.llm.common import labelled_sample, table
 from tests.llm.cases import TEXTS, empty, frame, words
 
 SF = "/root/testdata/sf0.01"
@@ -95,3 +95,50 @@ def test_rules_awkward_rows(spark):
     assert {r["doc_id"] for r in quality_rules.keep(frame(spark, rows)).collect()} == kept
     assert quality_rules.report(empty(spark)).count() == 0
     assert set(quality_rules.ordered_rules(empty(spark))) == set(quality_rules.ordered_rules(frame(spark)))
+
+
+def test_a_repeated_labelled_id_is_one_row(spark):
+    rows = [(1, f"text {k}") for k in range(300)] + [(k, "other") for k in range(2, 40)]
+    labels = labels_of(spark, "toxic", [(1, 1)] * 5 + [(1, 0), *((k, k % 2) for k in range(2, 40))])
+    sample = labelled_sample(frame(spark, rows), labels.select("doc_id", "toxic"), 20).collect()
+    assert len(sample) == 20 and len({r["doc_id"] for r in sample}) == 20
+    whole = labelled_sample(frame(spark, rows), labels.select("doc_id", "toxic"), 100).collect()
+    assert [(r["toxic"], r["text"].startswith("text")) for r in whole if r["doc_id"] == 1] == [(0, True)]
+
+
+def rare(n=3000, toxic=12):
+    """Labelled rows of which few are toxic; each of those holds two planted words."""
+    rng = np.random.default_rng(12)
+    names = ["".join(rng.choice(list("abcdefghijklmnoprstuvw"), 6)) for _ in range(500)]
+    texts = [" ".join(rng.choice(names, 30)) for _ in range(n)]
+    return [(k, t + " grobian and flegelhaft" if k < toxic else t) for k, t in enumerate(texts)], [(k, int(k < toxic)) for k in range(n)]
+
+
+def test_a_rare_class_keeps_its_rows(spark):
+    rows, labels = rare()
+    lexicon = toxicity.fit(frame(spark, rows), labels_of(spark, "toxic", labels), rows=200)
+    assert any("grobian" in t for t in lexicon.terms) and any("flegel" in t for t in lexicon.terms)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_documents(frame(spark, rows), lexicon).collect()}
+    assert min(scores[k] for k in range(12)) > 0.3 and max(scores[k] for k in range(12, 3000)) < 0.3
+
+
+def test_toxicity_scores_equal_a_plain_scan():
+    """The automaton, the exceptions and the score against a scan of every place of the folded text."""
+    rng = np.random.default_rng(3)
+    terms = {" scum": 2.5, " idiot ": 2.0, " lout": 1.5, " oaf ": 1.0}
+    lexicon = toxicity.Lexicon(terms, {" scum bucket ", " my lout "}, 40.0, -2.0)
+    pool = ["scum", "scumbag", "idiot", "idiotic", "lout", "louts", "oaf", "my", "bucket", "fine", "day", "ok", "1d1ot", "sсum"]
+    for _ in range(300):
+        text = " ".join(rng.choice(pool, int(rng.integers(0, 25))))
+        folded = toxicity.fold(text)
+        body = f" {' '.join(folded.split())} "
+        covered = set()
+        for phrase in lexicon.exceptions:
+            at = body.find(phrase)
+            while at >= 0:
+                covered |= set(range(at, at + len(phrase)))
+                at = body.find(phrase, at + 1)
+        found = [w for t, w in terms.items() for at in range(len(body)) if body.startswith(t, at)
+                 and not set(range(at, at + len(t))) <= covered]
+        weight, n_terms, n_words = lexicon.weigh(text)
+        assert (round(weight, 6), n_terms, n_words) == (round(sum(found), 6), len(found), len(body.split()))

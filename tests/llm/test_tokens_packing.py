@@ -26,6 +26,16 @@ def test_encoder_equals_the_tokenizer(alphabet):
         assert np.frombuffer(enc.ids(text), "<u4").tolist() == reference_ids(text), repr(text)
 
 
+def test_other_vocabularies_are_encoded_whole():
+    import public_tokenizers
+    enc, rng = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(6)
+    assert not enc.by_chunk and tokens.encoder(tokenizer_path()).by_chunk
+    for _ in range(800):
+        text = "".join(rng.choice(" aAbB'sé\n\t12<|") for _ in range(rng.randint(0, 30)))
+        want = enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc.ids(text), "<u4").tolist() == want, repr(text)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 32), st.lists(st.integers(0, 2 ** 32 - 1), max_size=700), st.integers(0, 700), st.integers(0, 700))
 def test_blocks_round_trip_and_open_anywhere(bits, values, a, b):
