@@ -8,11 +8,12 @@ partitions (days) they touch.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.config import MartConfig
 from eventmart.operators import gold, quality
@@ -20,8 +21,11 @@ from eventmart.operators.dedup import dedup_latest
 from eventmart.operators.silver import SILVER_COLUMNS, incremental_slice, normalize_silver_events
 from eventmart.operators.upsert import accepted_changes, merge_replace
 from eventmart.session import configure
+from eventmart.sources import id_index
 from eventmart.sources.tables import (as_dates, create_databases, create_table, distinct_dates, drop_partitions, materialize,
                                       overwrite_partitions, read_dates, table_exists)
+from eventmart.streaming.bronze_stream import ANY_AGE, CONTINUOUS_TRIGGER, resolve_state_dir, start_bronze_stream
+from eventmart.streaming.schema_store import read_text, write_text
 
 
 def silver_incoming(spark: SparkSession, cfg: MartConfig, *, since_ingested_at: datetime | None = None,
@@ -34,28 +38,37 @@ def silver_incoming(spark: SparkSession, cfg: MartConfig, *, since_ingested_at:
 def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> dict:
     """J1 at table level (latest occurred_at_utc wins, ties keep the stored row).
 
-    1. dedup the batch; 2. classify it against the stored (event_id,
-    occurred_at_utc, event_date) - only these three columns of the table are
-    read; 3. collect the touched days (new day of each accepted row plus the
-    days its older copies live in; one value per day); 4. rebuild those days as
+    1. dedup the batch; 2. look its ids up in the fingerprint index (`sources.id_index`), which tells the days that
+    may hold one; 3. classify the batch against (event_id, occurred_at_utc, event_date) of those days only;
+    4. collect the touched days (new day of each accepted row plus the
+    days its older copies live in; one value per day); 5. enter the accepted ids in the index, rebuild those days as
     stored rows minus replaced ids plus accepted rows and overwrite just those
-    partitions, in one job; 5. drop partitions the rebuild left empty.
+    partitions, in one job; 6. drop partitions the rebuild left empty.
+
+    The outcome names the days opened for the comparison, and the bytes of the index and of those days.
     """
     configure(spark)
     if not table_exists(spark, fqn):
         create_table(dedup_latest(incoming).select(*SILVER_COLUMNS), fqn)
+        id_index.ensure_index(spark, fqn)
         return {"created": True}
-    target = spark.read.table(fqn)
-    # The deduplicated batch is read twice (its keys, then the classify join): checkpoint it once.
+    id_index.ensure_index(spark, fqn)
+    # The deduplicated batch is read three times (its ids twice, then the classify join): checkpoint it once.
     batch = materialize(dedup_latest(incoming))
+    opened = [d for d in id_index.days_with(spark, fqn, batch) if d is not None]
+    target = read_dates(spark, fqn, opened) if opened else spark.read.table(fqn).where(F.lit(False))
     accepted = materialize(accepted_changes(target.select("event_id", "occurred_at_utc", "event_date"), batch,
                                             deduplicated=True))
     touched = distinct_dates(accepted.select(F.explode(F.array_union(
         F.array(F.col("event_date")), F.coalesce(F.col("_old_dates"), F.array().cast("array<date>"))))
         .alias("event_date")))
+    read = {"opened": opened, "index_bytes": id_index.bytes_of(spark, id_index.index_name(fqn)),
+            "opened_bytes": id_index.bytes_of(spark, fqn, opened)}
     if not touched:
-        return {"created": False, "accepted": 0, "dates": []}
+        return {"created": False, "accepted": 0, "dates": [], **read}
     rows = accepted.select(*SILVER_COLUMNS)
+    # Entered before the rows are written: an id that is entered in vain costs an opened day, a missing one a second copy.
+    id_index.add_entries(spark, fqn, rows, distinct_dates(rows.select("event_date")))
     stored = read_dates(spark, fqn, touched)
     stays = stored.join(rows.select("event_id"), "event_id", "left_anti").select(*SILVER_COLUMNS)
     filled = distinct_dates(stays.select("event_date").unionByName(rows.select("event_date")))  # reads two columns
@@ -64,8 +77,9 @@ def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> di
     overwrite_partitions(spark, stays.unionByName(rows), fqn)
     emptied = sorted(set(touched) - set(filled) - {None})
     drop_partitions(spark, fqn, emptied)
+    id_index.drop_days(spark, fqn, emptied)
     spark.catalog.refreshTable(fqn)
-    return {"created": False, "accepted": rows.count(), "dates": touched, "dropped": emptied}
+    return {"created": False, "accepted": rows.count(), "dates": touched, "dropped": emptied, **read}
 
 
 def run_silver_upsert(spark: SparkSession, cfg: MartConfig | None = None, *,
@@ -78,6 +92,36 @@ def run_silver_upsert(spark: SparkSession, cfg: MartConfig | None = None, *,
     return upsert_silver_rows(spark, cfg.silver_fqn, incoming)
 
 
+def stream_silver(spark: SparkSession, cfg: MartConfig | None = None, *, trigger_once: bool = True,
+                  await_termination: bool = True, after_batch: Callable[[int], None] | None = None) -> StreamingQuery:
+    """ST5 as a stream: each new bronze file is upserted once, in micro-batches.
+
+    The id of the last finished micro-batch is kept beside the stream's checkpoint. A batch that comes again, because the
+    run ended after its write and before the stream's commit, is passed over; one that ended within its write is
+    upserted again, to the same rows. ``after_batch`` is called with the id when a batch is written and recorded.
+    """
+    cfg = cfg or MartConfig.from_env()
+    configure(spark)
+    state = f"{resolve_state_dir(spark, cfg)}/silver-stream"
+    bronze = spark.readStream.option("maxFileAge", ANY_AGE).table(cfg.bronze_fqn)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        done = read_text(spark, f"{state}/done")
+        if done is not None and batch_id <= int(done):
+            return
+        upsert_silver_rows(spark, cfg.silver_fqn, normalize_silver_events(rows, carry=("_ingested_at",)))
+        write_text(spark, f"{state}/done", str(batch_id))
+        if after_batch:
+            after_batch(batch_id)
+
+    writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", f"{state}/checkpoint")
+    writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime=CONTINUOUS_TRIGGER)
+    query = writer.start()
+    if await_termination:
+        query.awaitTermination()
+    return query
+
+
 def upsert_gold(spark: SparkSession, fqn: str, incoming: DataFrame, keys: Sequence[str], *,
                 mode: str = "merge", days: Sequence[date] | None = None,
                 date_col: str = "event_date") -> list[date]:
@@ -161,7 +205,6 @@ def task_gold_all(spark: SparkSession, cfg: MartConfig | None = None, *,
 
 def task_bronze(spark: SparkSession, cfg: MartConfig | None = None, *, trigger_once: bool = True):
     """ST6."""
-    from eventmart.streaming.bronze_stream import start_bronze_stream
     return start_bronze_stream(spark, cfg or MartConfig.from_env(), trigger_once=trigger_once)
 
 

@@ -295,7 +295,7 @@ def oracle_sql() -> dict[str, str]:
                   max(CAST(floor(epoch(_ingested_at)) AS BIGINT) - CAST(floor(epoch(event_time)) AS BIGINT))
                     AS max_lag_seconds
            FROM raw GROUP BY 1, 2""")
-    q["silver_merge_table"] = q["silver_upsert"]
+    q["silver_merge_table"] = q["silver_stream"] = q["silver_upsert"]
     q["gold_refresh"] = _refresh_sql()
     for name, n in (("bi_top_searches", 5), ("bi_top_products", 10), ("bi_silver_sample", 20)):
         q[f"{name}_{n}"] = f"SELECT * FROM ({q[name]}) LIMIT {n}"

@@ -207,5 +207,6 @@ def queries() -> dict[str, Query]:
         "bronze_any_line": table_flows.bronze_any_line,
         "quarantine_table": table_flows.quarantine_table,
         "silver_merge_table": table_flows.silver_merge_table,
+        "silver_stream": table_flows.silver_stream,
         "gold_refresh": table_flows.gold_refresh,
     }

@@ -12,6 +12,7 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from eventmart.config import MartConfig
@@ -190,6 +191,33 @@ def silver_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(spark, cfg, root, spark.read.table(cfg.silver_fqn).select(*SILVER_DATA_COLUMNS))
 
 
+class _Ended(Exception):
+    """Stands for a run that ends between a batch's write and the stream's commit."""
+
+
+def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5, W1, J1 as a stream: bronze files upserted as they come. The first run ends after its write and before its commit,
+    the second gets the same micro-batch again; then the corrections come."""
+    cfg, root = fresh_config(spark, "silver-stream")
+
+    def end(batch_id: int) -> None:
+        raise _Ended(batch_id)
+
+    rows = fixtures.bronze_like(spark, sf_dir)
+    create_table(rows.withColumn("event_date", F.to_date(event_time(rows))), cfg.bronze_fqn)
+    try:
+        jobs.stream_silver(spark, cfg, after_batch=end)
+        raise RuntimeError("the first run was to end")
+    except StreamingQueryException:
+        pass
+    jobs.stream_silver(spark, cfg)
+    rows = fixtures.bronze_like(spark, sf_dir, copies_only=True)
+    rows = rows.withColumn("event_date", F.to_date(event_time(rows)))
+    rows.select(*spark.read.table(cfg.bronze_fqn).columns).write.insertInto(cfg.bronze_fqn)
+    jobs.stream_silver(spark, cfg)
+    return finished(spark, cfg, root, spark.read.table(cfg.silver_fqn).select(*SILVER_DATA_COLUMNS))
+
+
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST7: create the five gold tables, correct silver, refresh two days; all five tables, one row per measure."""
     cfg, root = _silver_table(spark, sf_dir, "gold-refresh")

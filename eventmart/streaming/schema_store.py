@@ -51,7 +51,7 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.listFiles(p, True).hasNext()
 
 
-def _read_text(spark: SparkSession, file: str) -> str | None:
+def read_text(spark: SparkSession, file: str) -> str | None:
     fs, p = _fs(spark, file)
     if not fs.exists(p):
         return None
@@ -69,7 +69,7 @@ def _read_text(spark: SparkSession, file: str) -> str | None:
     return "\n".join(lines)
 
 
-def _write_text(spark: SparkSession, file: str, text: str) -> None:
+def write_text(spark: SparkSession, file: str, text: str) -> None:
     fs, p = _fs(spark, file)
     out = fs.create(p, True)
     try:
@@ -79,12 +79,12 @@ def _write_text(spark: SparkSession, file: str, text: str) -> None:
 
 
 def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    text = _read_text(spark, f"{path.rstrip('/')}/schema.json")
+    text = read_text(spark, f"{path.rstrip('/')}/schema.json")
     return None if text is None else T.StructType.fromJson(json.loads(text))
 
 
 def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    _write_text(spark, f"{path.rstrip('/')}/schema.json", schema.json())
+    write_text(spark, f"{path.rstrip('/')}/schema.json", schema.json())
 
 
 def is_in_path(field: T.StructField) -> bool:
