@@ -49,19 +49,24 @@ def query_ctr(silver: DataFrame, window_minutes: int = 30) -> DataFrame:
     [s, s + window] and before the session's next search (a later timestamp).
 
     Within a session ordered from late to early both are running minimums: the earliest view at or after s and the
-    earliest search after s, so the cost is linear in the session's events.
+    earliest search after s, so the cost is linear in the session's events. The rows lie in range partitions by (site,
+    session, time), so a session of any size is cut into segments; each segment is scanned alone, and a session
+    that goes over several partitions carries the minimums of its later segments into the earlier ones.
     """
     width = window_minutes * 60 * 1_000_000
     is_view = F.col("event_type") == "product_view"
     is_search = ~F.coalesce(is_view, F.lit(False)) & not_blank(F.col("search_query"))
-    rows = (silver.where(F.col("session_id").isNotNull()).where(is_search | is_view)
-            .select("site_id", "session_id", "event_date", "search_query",
-                    F.unix_micros("occurred_at_utc").alias("_us"), is_search.alias("_is_search")))
-    late_first = Window.partitionBy("site_id", "session_id").orderBy(F.col("_us").desc())
-    here = late_first.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    later = late_first.rangeBetween(Window.unboundedPreceding, -1)
-    next_view = F.min(F.when(~F.col("_is_search"), F.col("_us"))).over(here)
-    next_search = F.min(F.when(F.col("_is_search"), F.col("_us"))).over(later)
+    rows = _segments(silver.where(F.col("session_id").isNotNull()).where(is_search | is_view)
+                     .select("site_id", "session_id", "event_date", "search_query",
+                             F.unix_micros("occurred_at_utc").alias("_us"), is_search.alias("_is_search")))
+    view, search = F.when(~F.col("_is_search"), F.col("_us")), F.when(F.col("_is_search"), F.col("_us"))
+    late_first = Window.partitionBy("_part", "site_id", "session_id").orderBy(F.col("_us").desc())
+    rows = (rows.withColumn("_view", F.min(view).over(late_first.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn("_search", F.min(search).over(late_first.rangeBetween(Window.unboundedPreceding, -1)))
+            .join(F.broadcast(_carried(rows, view, search)),
+                  F.col("site_id").eqNullSafe(F.col("_site")) & (F.col("session_id") == F.col("_session"))
+                  & (F.col("_part") == F.col("_at")), "left"))
+    next_view, next_search = F.least("_view", "_later_view"), F.least("_search", "_later_search")
     clicked = F.coalesce((next_view <= F.col("_us") + width)
                          & (next_search.isNull() | (next_view < next_search)), F.lit(False))
     return (rows.withColumn("_clicked", clicked).where("_is_search")
@@ -71,6 +76,32 @@ def query_ctr(silver: DataFrame, window_minutes: int = 30) -> DataFrame:
             .withColumn("ctr", safe_ratio(F.col("clicked_searches"), F.col("searches"))))
 
 
+def _segments(rows: DataFrame) -> DataFrame:
+    """Rows in range partitions by (site, session, time from late to early) with the partition's number as ``_part``.
+
+    Checkpointed, as the numbers must be the same in every branch. Equal times of a session lie in one partition.
+    """
+    laid = rows.repartitionByRange("site_id", "session_id", F.col("_us").desc())
+    return materialize(laid.withColumn("_part", F.spark_partition_id()))
+
+
+def _carried(rows: DataFrame, view: Column, search: Column) -> DataFrame:
+    """For each later partition of a session that goes over several: the earliest view and search of those before it.
+
+    At most one row for each partition, as only one session can go on from the partition before; so it can be broadcast.
+    """
+    keys = ["site_id", "session_id"]
+    wide = (rows.groupBy(*keys).agg(F.min("_part").alias("_first"), F.max("_part").alias("_last"))
+            .where("_first < _last").select(F.col("site_id").alias("_site"), F.col("session_id").alias("_session")))
+    parts = (rows.join(F.broadcast(wide), F.col("site_id").eqNullSafe(F.col("_site")) & (F.col("session_id") == F.col("_session")))
+             .groupBy("_site", "_session", F.col("_part").alias("_at"))
+             .agg(F.min(view).alias("_v"), F.min(search).alias("_s")))
+    before = Window.partitionBy("_site", "_session").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    return (parts.select("_site", "_session", "_at", F.min("_v").over(before).alias("_later_view"),
+                         F.min("_s").over(before).alias("_later_search"))
+            .where("_later_view IS NOT NULL OR _later_search IS NOT NULL"))
+
+
 #: Products (or queries) of one group that meet in one block.
 PAIR_BLOCK = 512
 
@@ -171,14 +202,19 @@ def normalized_query(col: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(col, r"\s+", " ")))
 
 
-def autocomplete(silver: DataFrame, n: int = 5, min_len: int = 2, max_len: int = 10) -> DataFrame:
-    """For every prefix (min_len..max_len chars) of normalised queries, the n most searched."""
+def autocomplete(silver: DataFrame, n: int = 5, min_len: int = 2, max_len: int | None = 10) -> DataFrame:
+    """For every prefix (min_len..max_len chars) of normalised queries, the n most searched.
+
+    ``max_len=None`` gives suggestions after any number of typed characters, whole queries included; the table then has
+    a row for each prefix of each query at least.
+    """
     q = normalized_query(F.col("search_query"))
     freq = (silver.where(not_blank(F.col("search_query")))
             .groupBy("site_id", q.alias("query"))
             .agg(F.count(F.lit(1)).alias("frequency"))
             .where(F.length("query") >= min_len))
-    lengths = F.sequence(F.lit(min_len), F.least(F.length("query"), F.lit(max_len)))
+    longest = F.length("query") if max_len is None else F.least(F.length("query"), F.lit(max_len))
+    lengths = F.sequence(F.lit(min_len), longest)
     prefixes = freq.withColumn("prefix", F.explode(F.transform(lengths, lambda i: F.substring("query", 1, i))))
     w = Window.partitionBy("site_id", "prefix").orderBy(F.col("frequency").desc(), F.col("query").asc())
     return (prefixes.withColumn("suggestion_rank", F.row_number().over(w))

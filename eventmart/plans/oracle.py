@@ -54,15 +54,16 @@ _EXTRA = """_t0 + to_seconds(60 + _id % 600 + CASE WHEN _copy > 0 THEN 86400 ELS
     _copy"""
 
 
-def _silver_cte(name: str = "silver") -> str:
+def _silver_cte(name: str = "silver", rejected: str = "97, 98, 99") -> str:
     return f"""{name} AS (
   SELECT {_SILVER_COLS},
     {_EXTRA}
-  FROM _src WHERE _k NOT IN (97, 98, 99))"""
+  FROM _src WHERE _k NOT IN ({rejected}))"""
 
 
-def with_silver(body: str, *, copies: bool = False, extra: str = "") -> str:
-    ctes = [_BASE, _WITH_COPIES if copies else _PLAIN, _silver_cte()]
+def with_silver(body: str, *, copies: bool = False, extra: str = "", from_folders: bool = False) -> str:
+    """``from_folders``: an event without a site (_k 98) takes the one that its folder names."""
+    ctes = [_BASE, _WITH_COPIES if copies else _PLAIN, _silver_cte(rejected="97, 99" if from_folders else "97, 98, 99")]
     if extra:
         ctes.append(extra)
     return "WITH " + ",\n".join(ctes) + "\n" + body
@@ -295,6 +296,7 @@ def oracle_sql() -> dict[str, str]:
                   max(CAST(floor(epoch(_ingested_at)) AS BIGINT) - CAST(floor(epoch(event_time)) AS BIGINT))
                     AS max_lag_seconds
            FROM raw GROUP BY 1, 2""")
+    q["cli_run"] = with_silver(FUNNEL_METRICS, from_folders=True)
     q["silver_merge_table"] = q["silver_stream"] = q["silver_upsert"]
     q["gold_refresh"] = _refresh_sql()
     for name, n in (("bi_top_searches", 5), ("bi_top_products", 10), ("bi_silver_sample", 20)):

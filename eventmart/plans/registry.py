@@ -208,5 +208,6 @@ def queries() -> dict[str, Query]:
         "quarantine_table": table_flows.quarantine_table,
         "silver_merge_table": table_flows.silver_merge_table,
         "silver_stream": table_flows.silver_stream,
+        "cli_run": table_flows.cli_run,
         "gold_refresh": table_flows.gold_refresh,
     }

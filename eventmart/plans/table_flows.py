@@ -8,6 +8,7 @@ checkpointed, and the databases and the folder are dropped.
 
 from __future__ import annotations
 
+import os
 import time
 import uuid
 
@@ -191,6 +192,30 @@ def silver_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(spark, cfg, root, spark.read.table(cfg.silver_fqn).select(*SILVER_DATA_COLUMNS))
 
 
+def cli_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5, ST6, ST8, ST9, S15: the command line over two drops, configured by environment variables, with all three parts of
+    the table names; the second run takes a lookback and bronze first. Returned is the funnel table."""
+    cfg, root = fresh_config(spark, "cli")
+    late = "date IN ({})".format(", ".join(f"DATE'{d}'" for d in LATE_DAYS))
+    wanted = {"CATALOG": "spark_catalog", "BRONZE_DB": cfg.bronze_db, "SILVER_DB": cfg.silver_db, "GOLD_DB": cfg.gold_db,
+              "RAW_EVENTS_PATH": cfg.raw_events_path, "STATE_DIR": cfg.state_dir}
+    wanted = {f"EVENTMART_{k}": v for k, v in wanted.items()}
+    before = {k: os.environ.get(k) for k in wanted}
+    os.environ.update(wanted)
+    try:
+        write_raw_files(spark, sf_dir, cfg.raw_events_path, f"NOT ({late})")
+        jobs.main(["--bronze"])
+        write_raw_files(spark, sf_dir, cfg.raw_events_path, late)
+        jobs.main(["--bronze", "--since-hours", "24"])
+        jobs.main(["--tasks", "gold", "--gold", "funnel_metrics", "--dates", *LATE_DAYS])
+    finally:
+        for k, v in before.items():
+            os.environ.pop(k)
+            if v is not None:
+                os.environ[k] = v
+    return finished(spark, cfg, root, spark.read.table(cfg.gold_fqn("funnel_metrics")).drop("_gold_updated_at"))
+
+
 class _Ended(Exception):
     """Stands for a run that ends between a batch's write and the stream's commit."""
 

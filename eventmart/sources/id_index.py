@@ -17,7 +17,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.sources.tables import distinct_dates, drop_partitions, overwrite_partitions, read_dates, table_exists
+from eventmart.sources.tables import balanced, distinct_dates, drop_partitions, read_dates, table_exists
 
 
 def index_name(fqn: str) -> str:
@@ -54,8 +54,9 @@ def add_entries(spark: SparkSession, fqn: str, rows: DataFrame, days: Sequence[d
     name = index_name(fqn)
     held = read_dates(spark, name, days).select("fp", "event_date")
     whole = held.unionByName(_entries(rows)).distinct()
-    overwrite_partitions(spark, whole.repartition("event_date", F.pmod("fp", F.lit(16))).sortWithinPartitions("event_date", "fp"),
-                         name)
+    # REBALANCE sizes the files, as for the table; the sort keeps a file's fingerprints close, which packs them.
+    (balanced(whole, ("event_date",)).sortWithinPartitions("event_date", "fp").select("fp", "event_date")
+     .write.insertInto(name, overwrite=True))
     spark.catalog.refreshTable(name)
 
 
