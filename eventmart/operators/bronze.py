@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.functions.timestamps import parse_timestamp_text
 
@@ -56,3 +57,28 @@ def with_bronze_columns(df: DataFrame, *, source_file: bool = True) -> DataFrame
         cols["_source_file"] = F.col("_metadata.file_path")
     df = df.withColumns(cols)
     return df.withColumn("occurred_at_ts", occurred).withColumn("event_date", F.to_date("occurred_at_ts"))
+
+
+#: Fields of the canonical layer that may wait in ``_rescued``, with the spellings that they are sent in.
+RESTORED = {**{new: (new, old) for old, new in SDK_RENAMES.items()},
+            **{n: (n,) for n in ("user_id", "url", "page_url", "pageUrl", "referrer", "properties")}}
+
+
+def with_rescued_fields(df: DataFrame) -> DataFrame:
+    """Bronze rows with the canonical fields that are NULL taken from ``_rescued``, as text.
+
+    A field first seen while a stream ran, or a value that did not fit an older column type, is kept there until the
+    schema knows it; this brings it back, so rows can be replayed without reading the raw files again.
+    """
+    if RESCUED_COLUMN not in df.columns:
+        return df
+    texts = F.from_json(RESCUED_COLUMN, "map<string,string>")
+    rows = df.select("*", F.explode(F.array(F.struct(texts.alias("fields")))).alias("_kept"))  # one parse a row
+    restored = {}
+    for name, spellings in RESTORED.items():
+        kept = [F.try_element_at("_kept.fields", F.lit(s)) for s in spellings]
+        if name not in df.columns:
+            restored[name] = kept[0] if len(kept) == 1 else F.coalesce(*kept)
+        elif not isinstance(df.schema[name].dataType, (T.StructType, T.MapType, T.ArrayType)):
+            restored[name] = F.coalesce(F.col(name).cast("string"), *kept)
+    return rows.withColumns(restored).drop("_kept")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.timestamps import event_time
+from eventmart.operators.bronze import with_rescued_fields
 from eventmart.operators.silver import first_present
 
 
@@ -49,6 +50,7 @@ def _ingest_date(df: DataFrame) -> Column:
 
 def dq_checks(bronze: DataFrame) -> DataFrame:
     """Per ingest date, row count, failing rows per rule and type conflicts, in one pass."""
+    bronze = with_rescued_fields(bronze)
     rules = _rules(bronze)
     return (bronze.groupBy(_ingest_date(bronze).alias("ingest_date"))
             .agg(F.count(F.lit(1)).alias("rows"),
@@ -90,10 +92,12 @@ def ingest_lag(bronze: DataFrame) -> DataFrame:
 
 def quarantine_records(bronze: DataFrame) -> DataFrame:
     """R10 rows for storage: reasons, source file, the raw row as JSON text, its hash and its number among equal rows."""
+    payload = [c for c in bronze.columns if c not in ("_ingested_at", "event_date", "occurred_at_ts")]
+    # The record is the row as it is stored; it is judged with the fields that `_rescued` holds.
+    bronze = with_rescued_fields(bronze.withColumn("_raw_record", F.to_json(F.struct(*[F.col(c) for c in payload]))))
+    raw_json = F.col("_raw_record")
     rules = _rules(bronze)
     reasons = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in rules.items()])
-    payload = [c for c in bronze.columns if c not in ("_ingested_at", "event_date", "occurred_at_ts")]
-    raw_json = F.to_json(F.struct(*[F.col(c) for c in payload]))
     source = F.col("_source_file") if "_source_file" in bronze.columns else F.lit(None).cast("string")
     event_id = F.col("event_id").cast("string") if "event_id" in bronze.columns else F.lit(None).cast("string")
     rows = bronze.select(event_id.alias("event_id"), reasons.alias("reasons"), source.alias("source_file"),

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.config import MartConfig
 from eventmart.operators import gold, quality
+from eventmart.operators.bronze import with_rescued_fields
 from eventmart.operators.dedup import dedup_latest
 from eventmart.operators.silver import SILVER_COLUMNS, incremental_slice, normalize_silver_events
 from eventmart.operators.upsert import accepted_changes, merge_replace
@@ -32,7 +33,7 @@ def silver_incoming(spark: SparkSession, cfg: MartConfig, *, since_ingested_at:
                     since_received_at: datetime | str | None = None) -> DataFrame:
     bronze = spark.read.table(cfg.bronze_fqn)
     sliced = incremental_slice(bronze, since_ingested_at=since_ingested_at, since_received_at=since_received_at)
-    return normalize_silver_events(sliced, carry=("_ingested_at",))
+    return normalize_silver_events(with_rescued_fields(sliced), carry=("_ingested_at",))
 
 
 def upsert_silver_rows(spark: SparkSession, fqn: str, incoming: DataFrame) -> dict:
@@ -109,7 +110,7 @@ def stream_silver(spark: SparkSession, cfg: MartConfig | None = None, *, trigger
         done = read_text(spark, f"{state}/done")
         if done is not None and batch_id <= int(done):
             return
-        upsert_silver_rows(spark, cfg.silver_fqn, normalize_silver_events(rows, carry=("_ingested_at",)))
+        upsert_silver_rows(spark, cfg.silver_fqn, normalize_silver_events(with_rescued_fields(rows), carry=("_ingested_at",)))
         write_text(spark, f"{state}/done", str(batch_id))
         if after_batch:
             after_batch(batch_id)
@@ -178,6 +179,25 @@ def run_quarantine(spark: SparkSession, cfg: MartConfig | None = None, *,
     return upsert_gold(spark, cfg.quarantine_fqn, bad, QUARANTINE_KEYS, date_col="ingest_date")
 
 
+def replay(spark: SparkSession, cfg: MartConfig | None = None, *, since_ingested_at: datetime | None = None) -> dict:
+    """Judge bronze again, all of it or the days from the mark on, after rules or the schema changed.
+
+    Rows that are valid now, also by fields that wait in ``_rescued``, are upserted into silver, and the
+    quarantine of these ingest days is replaced by the rows that are still rejected.
+    """
+    cfg = cfg or MartConfig.from_env()
+    bronze = spark.read.table(cfg.bronze_fqn)
+    days = distinct_dates(incremental_slice(bronze, since_ingested_at=since_ingested_at)
+                          .select(F.to_date("_ingested_at").alias("ingest_date")), "ingest_date")
+    whole = bronze.where(F.to_date("_ingested_at").isin(days)) if days else bronze.limit(0)
+    done = upsert_silver_rows(spark, cfg.silver_fqn, normalize_silver_events(with_rescued_fields(whole), carry=("_ingested_at",)))
+    bad = materialize(quality.quarantine_records(whole))
+    left = upsert_gold(spark, cfg.quarantine_fqn, bad, QUARANTINE_KEYS, mode="replace_dates", date_col="ingest_date")
+    drop_partitions(spark, cfg.quarantine_fqn, set(days) - set(left), "ingest_date")
+    spark.catalog.refreshTable(cfg.quarantine_fqn)
+    return {**done, "rejected": bad.count()}
+
+
 def run_gold(spark: SparkSession, name: str, cfg: MartConfig | None = None, *,
              for_event_dates: Sequence | None = None, silver: DataFrame | None = None,
              mode: str = "merge", days: Sequence[date] | None = None) -> list[date]:

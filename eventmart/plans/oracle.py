@@ -296,6 +296,11 @@ def oracle_sql() -> dict[str, str]:
                   max(CAST(floor(epoch(_ingested_at)) AS BIGINT) - CAST(floor(epoch(event_time)) AS BIGINT))
                     AS max_lag_seconds
            FROM raw GROUP BY 1, 2""")
+    known = "CASE WHEN event_date NOT IN (DATE '2024-01-05', DATE '2024-01-20') THEN {0} END AS {0}"
+    q["silver_replay"] = with_silver(
+        "SELECT event_id, site_id, event_date, " + ", ".join(
+            known.format(c) for c in ("session_id", "search_query", "product_id", "utm_source")) + " FROM silver",
+        from_folders=True)
     q["cli_run"] = with_silver(FUNNEL_METRICS, from_folders=True)
     q["silver_merge_table"] = q["silver_stream"] = q["silver_upsert"]
     q["gold_refresh"] = _refresh_sql()

@@ -208,6 +208,7 @@ def queries() -> dict[str, Query]:
         "quarantine_table": table_flows.quarantine_table,
         "silver_merge_table": table_flows.silver_merge_table,
         "silver_stream": table_flows.silver_stream,
+        "silver_replay": table_flows.silver_replay,
         "cli_run": table_flows.cli_run,
         "gold_refresh": table_flows.gold_refresh,
     }

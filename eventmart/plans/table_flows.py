@@ -58,10 +58,11 @@ def finished(spark: SparkSession, cfg: MartConfig, root: str, rows: DataFrame) -
     return kept
 
 
-def write_raw_files(spark: SparkSession, sf_dir: str, path: str, days: str = "true") -> None:
-    """Raw events as JSON lines in ``site_id=…/date=…`` folders (SDK names on even ids), for days that meet a condition."""
+def write_raw_files(spark: SparkSession, sf_dir: str, path: str, days: str = "true", without: tuple[str, ...] = ()) -> None:
+    """Raw events as JSON lines in ``site_id=…/date=…`` folders (SDK names on even ids), for days that meet a condition and
+    without some of the fields."""
     raw = fixtures.raw_events(spark, sf_dir, camel_case=True)
-    payload = [c for c in raw.columns if not c.startswith("_") and c != "site_id"]
+    payload = [c for c in raw.columns if not c.startswith("_") and c != "site_id" and c not in without]
     (raw.selectExpr(*payload, "_path_site AS site_id", "_path_date AS date").where(days)
         .hint("rebalance", "site_id", "date")
         .write.mode("append").partitionBy("site_id", "date").json(path))
@@ -192,6 +193,24 @@ def silver_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(spark, cfg, root, spark.read.table(cfg.silver_fqn).select(*SILVER_DATA_COLUMNS))
 
 
+def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2, S3: a running stream meets sessions and payloads only in its second files; silver gets them from ``_rescued``."""
+    cfg, root = fresh_config(spark, "silver-replay")
+    late = "date IN ({})".format(", ".join(f"DATE'{d}'" for d in LATE_DAYS))
+    write_raw_files(spark, sf_dir, cfg.raw_events_path, late, without=("sessionId", "session_id", "properties"))
+    query = start_bronze_stream(spark, cfg, trigger_once=False, await_termination=False, interval="1 second")
+    try:
+        query.processAllAvailable()
+        write_raw_files(spark, sf_dir, cfg.raw_events_path, f"NOT ({late})")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    spark.catalog.refreshTable(cfg.bronze_fqn)
+    jobs.replay(spark, cfg)
+    return finished(spark, cfg, root, spark.read.table(cfg.silver_fqn).select(
+        "event_id", "site_id", "event_date", "session_id", "search_query", "product_id", "utm_source"))
+
+
 def cli_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST5, ST6, ST8, ST9, S15: the command line over two drops, configured by environment variables, with all three parts of
     the table names; the second run takes a lookback and bronze first. Returned is the funnel table."""

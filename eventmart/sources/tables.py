@@ -85,9 +85,9 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, fqn: str, *, date_c
     balanced(df.select(*cols), (date_col,)).write.insertInto(fqn, overwrite=True)
 
 
-def drop_partitions(spark: SparkSession, fqn: str, dates: Iterable) -> None:
+def drop_partitions(spark: SparkSession, fqn: str, dates: Iterable, date_col: str = "event_date") -> None:
     for d in filter(None, as_dates(dates)):
-        spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION (event_date = DATE '{d.isoformat()}')")
+        spark.sql(f"ALTER TABLE {fqn} DROP IF EXISTS PARTITION ({date_col} = DATE '{d.isoformat()}')")
 
 
 def sql_type(kind: T.DataType) -> str:

@@ -137,9 +137,9 @@ def observe_batches(stream: DataFrame) -> DataFrame:
 
 def start_bronze_stream(spark: SparkSession, cfg: MartConfig | None = None, *, trigger_once: bool = True,
                         await_termination: bool = True, sampling_ratio: float = 1.0,
-                        max_files_per_trigger: int | None = None,
-                        archive_dir: str | None = None) -> StreamingQuery | None:
-    """S6 + ST1-ST3: evolve the schema, then append to the bronze table.
+                        max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+                        interval: str = CONTINUOUS_TRIGGER) -> StreamingQuery | None:
+    """S6 + ST1-ST3: evolve the schema, then append to the bronze table; once, or every ``interval``.
 
     Returns None when there are no raw files yet.
     """
@@ -163,7 +163,7 @@ def start_bronze_stream(spark: SparkSession, cfg: MartConfig | None = None, *, t
     writer = (stream.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", cfg.checkpoint_path(state))
               .partitionBy("event_date"))
-    writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime=CONTINUOUS_TRIGGER)
+    writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime=interval)
     query = writer.toTable(cfg.bronze_fqn)
     if await_termination:
         query.awaitTermination()

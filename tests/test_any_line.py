@@ -114,3 +114,39 @@ def test_sdk_spellings_in_any_case(spark, workdir):
     start_bronze_stream(spark, cfg)
     got = rows_of(spark, cfg)
     assert set(got) == {"e1", "e2"} and rescued(got["e1"]) == {"EVENTID": "x", "Event_Id": "y"}
+
+
+def test_fields_first_seen_in_a_running_stream_reach_silver(spark, workdir):
+    cfg = config(spark, workdir)
+    put(workdir, "a.json", '{"event_id":"e1","occurred_at":"2026-03-01T08:00:00Z","site_id":"north"}')
+    query = start_bronze_stream(spark, cfg, trigger_once=False, await_termination=False, interval="1 second")
+    try:
+        query.processAllAvailable()
+        put(workdir, "b.json", '{"eventId":"e2","occurredAt":"2026-03-02T08:00:00Z","siteId":"south","sessionId":"s2",'
+            '"properties":{"product_id":"p2"}}', '{"occurred_at":"never"}', line(3, '"user_id":"u3"'))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    spark.catalog.refreshTable(cfg.bronze_fqn)
+    jobs.run_silver_upsert(spark, cfg)
+    rows = {r["event_id"]: r for r in spark.read.table(cfg.silver_fqn).collect()}
+    assert set(rows) == {"e1", "e2", "e3"} and rows["e3"]["user_id"] == "u3"
+    assert (rows["e2"]["site_id"], rows["e2"]["session_id"], rows["e2"]["product_id"]) == ("south", "s2", "p2")
+    jobs.run_quarantine(spark, cfg)
+    assert [r["reasons"] for r in spark.read.table(cfg.quarantine_fqn).collect()] == [
+        "missing_event_id,unparseable_occurred_at,missing_site_id"]
+
+
+def test_replay_empties_the_quarantine_of_rows_that_are_valid_now(spark, workdir, monkeypatch):
+    cfg = config(spark, workdir)
+    put(workdir, "a.json", line(1), '{"event_id":"e2","site_id":"north"}')
+    start_bronze_stream(spark, cfg)
+    jobs.run_silver_upsert(spark, cfg)
+    jobs.run_quarantine(spark, cfg)
+    assert spark.read.table(cfg.quarantine_fqn).count() == 1
+    rules = jobs.quality._rules
+    monkeypatch.setattr(jobs.quality, "_rules", lambda df: {k: v & False for k, v in rules(df).items()})
+    assert jobs.replay(spark, cfg)["rejected"] == 0
+    assert spark.read.table(cfg.quarantine_fqn).count() == 0
+    monkeypatch.undo()
+    assert jobs.replay(spark, cfg)["rejected"] == 1 and spark.read.table(cfg.quarantine_fqn).count() == 1
