@@ -48,6 +48,10 @@ class MartConfig:
     def quarantine_fqn(self) -> str:
         return f"{self.namespace(self.bronze_db)}.quarantine"
 
+    @property
+    def lag_fqn(self) -> str:
+        return f"{self.namespace(self.bronze_db)}.ingest_lag"
+
     def gold_fqn(self, name: str) -> str:
         return f"{self.namespace(self.gold_db)}.{name}"
 

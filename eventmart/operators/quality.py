@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import functools
 import operator
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventmart.functions.metrics import safe_ratio
 from eventmart.functions.timestamps import event_time
 from eventmart.operators.bronze import with_rescued_fields
 from eventmart.operators.silver import first_present
@@ -90,6 +92,34 @@ def ingest_lag(bronze: DataFrame) -> DataFrame:
                  F.max(lag).alias("max_lag_seconds")))
 
 
+def lag_parts(bronze: DataFrame, seen_until: datetime | None, allowed_seconds: int) -> DataFrame:
+    """R11 in flight: mergeable parts of `ingest_lag` over some rows, with a sketch of the lags and late rows apart.
+
+    A row is late if its event lies more than ``allowed_seconds`` before ``seen_until``, the newest event of earlier rows.
+    """
+    bronze = with_rescued_fields(bronze)
+    parsed = event_time(bronze)
+    lag = F.unix_timestamp("_ingested_at") - F.unix_timestamp(parsed)
+    late = (F.lit(False) if seen_until is None
+            else F.coalesce(F.unix_timestamp(parsed) < F.unix_timestamp(F.lit(seen_until)) - allowed_seconds, F.lit(False)))
+    return (bronze.groupBy(_ingest_date(bronze).alias("ingest_date"), source_of(F.col("_source_file")).alias("source"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(_any(_rules(bronze))).alias("bad_rows"),
+                 F.count_if(late).alias("late_rows"), F.count(lag).alias("lags"), F.sum(lag).alias("lag_sum"),
+                 F.max(lag).alias("lag_max"), F.max(parsed).alias("newest_event"), F.kll_sketch_agg_bigint(lag).alias("lag_sketch")))
+
+
+def lag_totals(parts: DataFrame) -> DataFrame:
+    """The columns of `ingest_lag` from stored parts, with late rows and approximate lag quantiles (KLL sketches, merged)."""
+    sketch = F.kll_merge_agg_bigint("lag_sketch")
+    at = lambda q: F.when(F.col("_lags") > 0, F.kll_sketch_get_quantile_bigint("_sketch", F.lit(q)))
+    return (parts.groupBy("ingest_date", "source")
+            .agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"), F.sum("late_rows").alias("late_rows"),
+                 F.sum("lags").alias("_lags"), F.sum("lag_sum").alias("_sum"), F.max("lag_max").alias("max_lag_seconds"),
+                 sketch.alias("_sketch"))
+            .select("ingest_date", "source", "rows", "bad_rows", safe_ratio(F.col("_sum"), F.col("_lags")).alias("avg_lag_seconds"),
+                    "max_lag_seconds", "late_rows", at(0.5).alias("p50_lag_seconds"), at(0.95).alias("p95_lag_seconds")))
+
+
 def quarantine_records(bronze: DataFrame) -> DataFrame:
     """R10 rows for storage: reasons, source file, the raw row as JSON text, its hash and its number among equal rows."""
     payload = [c for c in bronze.columns if c not in ("_ingested_at", "event_date", "occurred_at_ts")]

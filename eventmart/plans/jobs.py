@@ -123,6 +123,39 @@ def stream_silver(spark: SparkSession, cfg: MartConfig | None = None, *, trigger
     return query
 
 
+def stream_lag(spark: SparkSession, cfg: MartConfig | None = None, *, allowed_seconds: int = 86_400, trigger_once: bool = True,
+               await_termination: bool = True, after_batch: Callable[[int], None] | None = None) -> StreamingQuery:
+    """R11 in flight: lag figures of each micro-batch of bronze, kept in ``<bronze_db>.ingest_lag`` (see `quality.lag_totals`).
+
+    The table is partitioned by micro-batch, so a batch that comes again replaces its own rows. Late rows are
+    counted against the newest event of the batches before.
+    """
+    cfg = cfg or MartConfig.from_env()
+    configure(spark)
+    state = f"{resolve_state_dir(spark, cfg)}/lag-stream"
+    bronze = spark.readStream.option("maxFileAge", ANY_AGE).table(cfg.bronze_fqn)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        there = table_exists(spark, cfg.lag_fqn)
+        seen = (spark.read.table(cfg.lag_fqn).where(F.col("batch_id") < batch_id).agg(F.max("newest_event")).first()[0]
+                if there else None)
+        parts = quality.lag_parts(rows, seen, allowed_seconds).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if there:
+            overwrite_partitions(spark, parts, cfg.lag_fqn, date_col="batch_id")
+        else:
+            create_table(parts, cfg.lag_fqn, ("batch_id",))
+        spark.catalog.refreshTable(cfg.lag_fqn)
+        if after_batch:
+            after_batch(batch_id)
+
+    writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", f"{state}/checkpoint")
+    writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime=CONTINUOUS_TRIGGER)
+    query = writer.start()
+    if await_termination:
+        query.awaitTermination()
+    return query
+
+
 def upsert_gold(spark: SparkSession, fqn: str, incoming: DataFrame, keys: Sequence[str], *,
                 mode: str = "merge", days: Sequence[date] | None = None,
                 date_col: str = "event_date") -> list[date]:

@@ -296,6 +296,7 @@ def oracle_sql() -> dict[str, str]:
                   max(CAST(floor(epoch(_ingested_at)) AS BIGINT) - CAST(floor(epoch(event_time)) AS BIGINT))
                     AS max_lag_seconds
            FROM raw GROUP BY 1, 2""")
+    q["ingest_lag_stream"] = q["ingest_lag"]
     known = "CASE WHEN event_date NOT IN (DATE '2024-01-05', DATE '2024-01-20') THEN {0} END AS {0}"
     q["silver_replay"] = with_silver(
         "SELECT event_id, site_id, event_date, " + ", ".join(

@@ -209,6 +209,7 @@ def queries() -> dict[str, Query]:
         "silver_merge_table": table_flows.silver_merge_table,
         "silver_stream": table_flows.silver_stream,
         "silver_replay": table_flows.silver_replay,
+        "ingest_lag_stream": table_flows.ingest_lag_stream,
         "cli_run": table_flows.cli_run,
         "gold_refresh": table_flows.gold_refresh,
     }

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from eventmart.config import MartConfig
 from eventmart.functions.timestamps import event_time
-from eventmart.operators import gold
+from eventmart.operators import gold, quality
 from eventmart.operators.silver import SILVER_DATA_COLUMNS, normalize_silver_events
 from eventmart.plans import jobs
 from eventmart.session import configure, materialize, scratch_dir
@@ -262,6 +262,29 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(spark, cfg, root, spark.read.table(cfg.silver_fqn).select(*SILVER_DATA_COLUMNS))
 
 
+def ingest_lag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R11 in flight: two drops of bronze rows, the second run ending before its commit; the figures of `ingest_lag`."""
+    cfg, root = fresh_config(spark, "lag-stream")
+
+    def end(batch_id: int) -> None:
+        raise _Ended(batch_id)
+
+    rows = fixtures.bronze_like(spark, sf_dir)
+    rows = rows.withColumn("event_date", F.to_date(event_time(rows)))
+    second = F.col("_ingested_at") >= F.lit(QUARANTINE_SINCE).cast("timestamp")
+    create_table(rows.where(~second), cfg.bronze_fqn)
+    jobs.stream_lag(spark, cfg)
+    rows.where(second).select(*spark.read.table(cfg.bronze_fqn).columns).write.insertInto(cfg.bronze_fqn)
+    try:
+        jobs.stream_lag(spark, cfg, after_batch=end)
+        raise RuntimeError("the second run was to end")
+    except StreamingQueryException:
+        pass
+    jobs.stream_lag(spark, cfg)
+    return finished(spark, cfg, root, quality.lag_totals(spark.read.table(cfg.lag_fqn)).select(
+        "ingest_date", "source", "rows", "bad_rows", "avg_lag_seconds", "max_lag_seconds"))
+
+
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST7: create the five gold tables, correct silver, refresh two days; all five tables, one row per measure."""
     cfg, root = _silver_table(spark, sf_dir, "gold-refresh")
