@@ -15,7 +15,7 @@ def _one(spark, rows, schema=BASE, **kw):
 
 
 def test_output_order_and_types(spark):
-    out = normalize_silver_events(spark.createDataFrame([("e", "2026-01-01T00:00:00Z", "s", "x")], BASE))
+    out = normalize_silver_events(spark.createDataFrame([("layout-7", "2031-08-19T06:45:10Z", "harbour", "scroll")], BASE))
     assert out.columns == SILVER_COLUMNS
     types = dict(out.dtypes)
     assert types["occurred_at_utc"] == "timestamp" and types["event_date"] == "date"
@@ -51,13 +51,13 @@ def test_url_cleanup_type_and_defaults(spark):
 
 
 def _props_expect(row):
-    assert row["search_query"] == "shoes"
+    assert row["search_query"] == "teapot"
     assert row["product_id"] == "p1"
     assert row["zero_results"] is True
 
 
 def test_properties_as_json_text(spark):
-    props = json.dumps({"search_query": "shoes", "product_id": "p1", "zero_result": "YES"})
+    props = json.dumps({"search_query": "teapot", "product_id": "p1", "zero_result": "YES"})
     _props_expect(_one(spark, [("a", "2026-01-01T00:00:00Z", "s", "x", props)], BASE + ", properties string")[0])
 
 
@@ -65,7 +65,7 @@ def test_properties_as_struct(spark):
     schema = T.StructType([*spark.createDataFrame([], BASE).schema.fields, T.StructField("properties", T.StructType([
         T.StructField("query", T.StringType()), T.StructField("product_id", T.StringType()),
         T.StructField("zero_results", T.BooleanType()), T.StructField("n", T.DoubleType())]))])
-    row = _one(spark, [("a", "2026-01-01T00:00:00Z", "s", "x", ("shoes", "p1", True, 1.5))], schema)[0]
+    row = _one(spark, [("a", "2026-01-01T00:00:00Z", "s", "x", ("teapot", "p1", True, 1.5))], schema)[0]
     _props_expect(row)
 
 

@@ -24,7 +24,7 @@ def test_bronze_stream_once_evolves_and_quarantines(spark, workdir):
     create_databases(spark, cfg, location_root=os.path.join(workdir, "wh"))
     _write(raw, "site_1", "2026-05-16", "a.jsonl", [
         json.dumps({"eventId": "e1", "occurredAt": "2026-05-16T23:05:01.000Z", "siteId": "payload",
-                    "eventType": "search", "properties": {"query": "shoes"}}),
+                    "eventType": "search", "properties": {"query": "teapot"}}),
         json.dumps({"event_id": "e2", "occurred_at": "2026-05-16T23:06:01Z", "site_id": "payload_loses",
                     "event_type": "page_view"}),
         '{"event_id": "broken", ',
@@ -53,7 +53,7 @@ def test_bronze_stream_once_evolves_and_quarantines(spark, workdir):
 
     silver = {r["event_id"]: r for r in normalize_silver_events(bronze).collect()}
     assert set(silver) == {"e1", "e2", "e3"}
-    assert silver["e1"]["site_id"] == "payload" and silver["e1"]["search_query"] == "shoes"
+    assert silver["e1"]["site_id"] == "payload" and silver["e1"]["search_query"] == "teapot"
     assert silver["e3"]["product_id"] == "p9"
 
 
