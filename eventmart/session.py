@@ -37,8 +37,16 @@ CLUSTER_CONF = {
 }
 
 
+# The JVM compiles longer methods only with this option, which a running session cannot be given.
+HUGE_METHODS = "-XX:-DontCompileHugeMethods"
+METHOD_LIMIT = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    for key, value in REQUIRED_CONF.items():
+    side = "driver" if spark.sparkContext.master.startswith("local[") else "executor"
+    compiled = HUGE_METHODS in (spark.conf.get(f"spark.{side}.extraJavaOptions", None) or "")
+    # Without the option a wide projection would run interpreted; under the limit Spark splits it into short methods.
+    for key, value in (REQUIRED_CONF if compiled else REQUIRED_CONF | METHOD_LIMIT).items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -68,7 +76,7 @@ def build_session(master: str | None = "local[*]", app: str = "eventmart", shuff
             builder = builder.config(key, value)
     # Wide projections compile to methods above the JIT's 8000-byte limit; let
     # the JIT compile them instead of interpreting them per row.
-    java_opts = "-XX:-DontCompileHugeMethods"
+    java_opts = HUGE_METHODS
     extra = dict(extra or {})
     extra["spark.driver.extraJavaOptions"] = (java_opts + " " + extra.get("spark.driver.extraJavaOptions", "")).strip()
     extra["spark.executor.extraJavaOptions"] = (java_opts + " " + extra.get("spark.executor.extraJavaOptions", "")).strip()

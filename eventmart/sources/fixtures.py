@@ -76,10 +76,11 @@ def spread(df: DataFrame) -> DataFrame:
 
     The driver's files are single row groups (one task). ``observe`` records
     the rows read and keeps later filters on derived columns above the
-    exchange, so the per-row derivation runs on all cores.
+    exchange, so the per-row derivation runs on all cores. Rows are dealt by
+    their hash: dealing in turn would first sort them all within the one task.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores).observe(f"rows_read_{uuid.uuid4().hex[:10]}", F.count(F.lit(1)).alias("rows"))
+    return df.repartition(cores, *df.columns).observe(f"rows_read_{uuid.uuid4().hex[:10]}", F.count(F.lit(1)).alias("rows"))
 
 
 def base_events(spark: SparkSession, sf_dir: str, *, with_copies: bool = False,
