@@ -83,20 +83,35 @@ def parse_lines(lines: DataFrame, payload: T.StructType, path_columns: list[str]
     """
     schema = schema_store.with_corrupt_column(payload)
     corrupt = schema_store.CORRUPT_COLUMN
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("parsed")
     # As a list of objects: text after the first object makes it unreadable or longer than one.
-    objects = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), T.ArrayType(_TEXTS))
+    objects = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), T.ArrayType(_TEXTS)).alias("objects")
+    texts = all(isinstance(f.dataType, T.StringType) for f in payload.fields)
     # The generators keep the optimizer from parsing the line once for every field that is read from it.
-    once = F.explode(F.array(F.struct(parsed.alias("parsed"), objects.alias("objects")))).alias("_once")
+    once = F.explode(F.array(F.struct(*([objects] if texts else [parsed, objects])))).alias("_once")
     rows = lines.where(F.trim("value") != "").select("value", *path_columns, once)
     fields = F.get("_once.objects", F.lit(0))
     unknown = _not_held(fields, F.col("_once.parsed"), payload, [*payload.fieldNames(), *path_columns])
-    rows = rows.select("*", F.explode(F.array(F.struct(unknown.alias("names"), fields.alias("fields")))).alias("_unknown"))
+    found = F.struct(unknown.alias("names"), fields.alias("fields"), *([parsed] if texts else []))
+    if texts:
+        # With as many keys as columns found, every key is a column and none is repeated: the texts found are the row, and
+        # a second parse with the schema would give the same. Any other line is parsed and looked through.
+        at = {n: f"_text_{i}" for i, n in enumerate(payload.fieldNames())}
+        rows = rows.select("*", *[F.try_element_at(fields, F.lit(n)).alias(c) for n, c in at.items()])
+        held = sum((F.col(c).isNotNull().cast("int") for c in at.values()), F.lit(0))
+        found = F.when(fields.isNull() | (F.size(fields) != held), found)
+    rows = rows.select("*", F.explode(F.array(F.struct(found.alias("line")))).alias("_found"))
+    rows = rows.withColumn("_unknown", F.col("_found.line"))
     rescued = F.when(F.size("_unknown.names") > 0, F.to_json(
         F.map_filter("_unknown.fields", lambda k, _: F.array_contains("_unknown.names", k))))
     whole = F.when(F.coalesce(F.size("_once.objects"), F.lit(0)) != 1, F.col("value"))
-    return rows.select(*[F.col("_once.parsed").getField(n).alias(n) for n in payload.fieldNames()],
-                       F.coalesce(F.col("_once.parsed").getField(corrupt), whole).alias(corrupt),
+    typed = F.col("_unknown.parsed" if texts else "_once.parsed")
+
+    def value(name: str) -> Column:
+        return F.when(F.col("_unknown").isNull(), F.col(at[name])).otherwise(typed[name]) if texts else typed[name]
+
+    return rows.select(*[value(n).alias(n) for n in payload.fieldNames()],
+                       F.coalesce(typed.getField(corrupt), whole).alias(corrupt),
                        *path_columns, rescued.alias(RESCUED_COLUMN))
 
 
