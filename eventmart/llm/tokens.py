@@ -33,8 +33,9 @@ from eventmart.llm.common import written
 #: Ids after which a block is closed, and ids of one page.
 BLOCK_IDS = 65_536
 PAGE_IDS = 4_096
-#: Chunks, and words, whose ids a worker remembers.
+#: Chunks and words, together, whose ids a worker remembers, and the most characters of one. Both bound its memory.
 CACHE = 400_000
+CACHED_CHARS = 64
 
 BLOCKS = ("part int, seq int, part_start long, n_ids long, doc_ids array<long>, doc_ends array<long>, "
           "payload binary")
@@ -81,22 +82,24 @@ class Encoder:
             spec = json.load(file)
         self.by_chunk = spec.get("normalizer") == _PREPARED and spec.get("pre_tokenizer") == _SPLIT and all(
             t["content"].startswith("<|") for t in spec.get("added_tokens", ()))
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # a word split once more is itself, so words and chunks share it
         self.visible = _visible()
         self.spelled = [i.to_bytes(4, "little") for i in range(self.size)]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _remember(self, part: str, ids: bytes) -> None:
+        if len(self.known) < CACHE and len(part) <= CACHED_CHARS:
+            self.known[part] = ids
+
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
+        ids = self.known.get(word)
         if ids is None:
             spelled = word if word.isascii() and word.isalnum() else "".join(
                 self.visible[b] for b in word.encode())
             ids = b"".join([self.spelled[t.id] for t in self.model.tokenize(spelled)])
-            if len(self.words) < CACHE:
-                self.words[word] = ids
+            self._remember(word, ids)
         return ids
 
     def _chunk(self, chunk: str, latin: bool) -> bytes:
@@ -104,8 +107,7 @@ class Encoder:
             ids = b"".join(map(self._word, _PARTS.findall(chunk)))
         else:
             ids = self._whole(chunk)
-        if len(self.known) < CACHE:
-            self.known[chunk] = ids
+        self._remember(chunk, ids)
         return ids
 
     def ids(self, text: str | None) -> bytes:

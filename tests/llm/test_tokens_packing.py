@@ -26,6 +26,20 @@ def test_encoder_equals_the_tokenizer(alphabet):
         assert np.frombuffer(enc.ids(text), "<u4").tolist() == reference_ids(text), repr(text)
 
 
+def test_remembered_chunks_and_words_are_bounded_together_in_number_and_length(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 100)
+    monkeypatch.setattr(tokens, "CACHED_CHARS", 16, raising=False)
+    enc, rng = tokens.Encoder(tokenizer_path()), random.Random(7)
+    started = {k: len(v) for k, v in vars(enc).items() if isinstance(v, dict)}
+    for _ in range(300):
+        text = " ".join("".join(rng.choice("abcé'1.") for _ in range(rng.choice((1, 3, 12, 40)))) for _ in range(8))
+        for _ in range(2):  # new, then partly remembered
+            assert np.frombuffer(enc.ids(text), "<u4").tolist() == reference_ids(text), repr(text)
+    remembered = [v for k, v in vars(enc).items() if k in started and len(v) > started[k]]
+    assert 0 < sum(map(len, remembered)) <= 100
+    assert all(len(part) <= 16 for cache in remembered for part in cache)
+
+
 def test_other_vocabularies_are_encoded_whole():
     import public_tokenizers
     enc, rng = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(6)
